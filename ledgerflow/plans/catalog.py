@@ -95,3 +95,18 @@ def history_date_pull(t: Tables) -> DataFrame:
     dates = t.events.select(F.col("ts").cast("date").alias("d")).distinct()
     return (cal.date_calculations(dates, "d", data_calendar(t))
             .select("business_date", "history_start_date"))
+
+
+# ---- history snapshots and meter profiles --------------------------------------
+from . import meter, snapshots  # noqa: E402
+
+for _name, _fn in {
+    "snap_customer_address": snapshots.snap_customer_address,
+    "snap_employee_role": snapshots.snap_employee_role,
+    "snap_product_price": snapshots.snap_product_price,
+    "snap_orders": snapshots.snap_orders,
+    "snap_hard_delete": snapshots.snap_hard_delete,
+    "snap_from_change_log": snapshots.snap_from_change_log,
+    "meter_profile_48": meter.meter_profile_48,
+}.items():
+    job(_name)(_fn)
