@@ -55,6 +55,18 @@ class Tables:
         self.sf_dir = sf_dir.rstrip("/")
         self._raw: dict[str, DataFrame] = {}
 
+    def restrict(self, **predicates) -> "Tables":
+        """A view of the same tables where the named adapters are filtered, e.g.
+        ``t.restrict(stg_transactions=F.col("transaction_timestamp") < cutoff)``.
+        Used to replay incremental runs against the same inputs."""
+        new = Tables(self.spark, self.sf_dir)
+        new._raw = self._raw
+        for name, pred in {**getattr(self, "_preds", {}), **predicates}.items():
+            base = getattr(type(self), name)
+            setattr(new, name, (lambda b=base, p=pred: b(new).where(p)))
+        new._preds = {**getattr(self, "_preds", {}), **predicates}
+        return new
+
     # ---- raw tables -------------------------------------------------------
     def raw(self, name: str) -> DataFrame:
         if name not in self._raw:
