@@ -68,3 +68,24 @@ for _name, _fn in {
 
 from . import quality_jobs  # noqa: E402,F401  (registers dq_* and audit_* jobs)
 from . import incremental_jobs  # noqa: E402,F401  (registers incr_* and mark filters)
+
+
+# ---- join operators on their own ------------------------------------------------
+@job("account_date_spine")
+def account_date_spine(t: Tables) -> DataFrame:
+    """Account x day from the open date to as_of (range join as a generator)."""
+    from ..operators.balances import account_day_spine
+    from ..sources.adapters import ORDERS_AS_OF
+    return account_day_spine(t.stg_accounts().select("account_id", "account_open_date"),
+                             "account_open_date", ORDERS_AS_OF).select("account_id", "balance_date")
+
+
+@job("pit_policy_join")
+def pit_policy_join(t: Tables) -> DataFrame:
+    """Every reserve snapshot with the policy version valid on its date (left
+    join: snapshots outside every version keep null policy columns)."""
+    from ..operators.pit import point_in_time_join
+    r = facts.reserve_snapshots(t).join(facts.fct_claims(t).select("claim_id", "policy_id"), "claim_id")
+    pol = dims.dim_policy(t).select("policy_id", "policy_sk", "policy_status", "effective_from", "effective_to")
+    return point_in_time_join(r, pol, ["policy_id"], "snapshot_date", "effective_from", "effective_to",
+                              how="left")
