@@ -89,3 +89,6 @@ def pit_policy_join(t: Tables) -> DataFrame:
     pol = dims.dim_policy(t).select("policy_id", "policy_sk", "policy_status", "effective_from", "effective_to")
     return point_in_time_join(r, pol, ["policy_id"], "snapshot_date", "effective_from", "effective_to",
                               how="left")
+
+
+from . import io_jobs  # noqa: E402,F401  (registers file/stream round trips)
