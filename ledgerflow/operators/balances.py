@@ -31,8 +31,10 @@ def account_day_spine(accounts: DataFrame, open_col: str, as_of: dt.date | str,
                       partitions: int | None = None) -> DataFrame:
     """One row per account and day from the open date to ``as_of`` inclusive."""
     n = partitions or shuffle_partitions(accounts.sparkSession)
-    a = accounts.repartition(n, key)
-    return a.withColumn(date_col, F.explode(F.sequence(F.col(open_col), F.lit(str(as_of)).cast("date"))))
+    end = F.lit(str(as_of)).cast("date")
+    # sequence() would count down for an account opened after as_of: no rows instead
+    a = accounts.where(F.col(open_col) <= end).repartition(n, key)
+    return a.withColumn(date_col, F.explode(F.sequence(F.col(open_col), end)))
 
 
 def daily_balances(accounts: DataFrame, daily_amounts: DataFrame, as_of: dt.date | str,
