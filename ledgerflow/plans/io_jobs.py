@@ -16,14 +16,14 @@ from ..streaming import jobs as streaming
 from .meter import day_profiles, fold_half_hours
 from .registry import job
 
-EVENT_FILE_COLS = ["event_id", "user_id", "event_type", F.col("value").cast("decimal(18,2)").alias("value"),
-                   F.col("ts").cast("date").alias("event_day")]
 EVENT_FILE_SCHEMA = "event_id bigint, user_id bigint, event_type string, value decimal(18,2), event_day date"
 SPLIT_DAY = "2024-01-16"
 
 
 def _event_rows(t: Tables) -> DataFrame:
-    return t.events.select(*EVENT_FILE_COLS)
+    return t.events.select("event_id", "user_id", "event_type",
+                           F.col("value").cast("decimal(18,2)").alias("value"),
+                           F.col("ts").cast("date").alias("event_day"))
 
 
 @job("csv_staging_scan")
