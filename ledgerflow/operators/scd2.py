@@ -1,7 +1,8 @@
 """Type-2 history operators.
 
 * ``close_versions``  - version chain from a change log (H7): each version ends
-  where the next one for the same key starts (half-open intervals).
+  where the next one for the same key starts (half-open intervals);
+  ``close_versions_chunked`` is the form for hot keys.
 * ``snapshot_apply``  - timestamp-strategy snapshot (H1) with optional
   hard-delete invalidation (H2): one full-outer join of the open versions with
   the current source state on the business key.
@@ -30,13 +31,35 @@ def close_versions(df: DataFrame, keys: Sequence[str], valid_from: str,
     """Add ``valid_to`` = the next ``valid_from`` of the same key (null = current).
 
     The input should hold one row per (key, valid_from): reduce a raw change
-    log with ``latest_per_key(..., extra_keys=[valid_from])`` first, so the
-    window holds at most one row per key and distinct change time.
+    log with ``latest_per_key(log, [*keys, valid_from], tiebreak)`` first, so
+    the window holds at most one row per key and distinct change time; use
+    ``close_versions_chunked`` when one key may hold a large share of them.
     """
     w = Window.partitionBy(*keys).orderBy(F.col(valid_from), *[F.col(c) for c in tiebreak])
     return df.withColumn(valid_to, F.lead(valid_from).over(w))
 
 
+def close_versions_chunked(df: DataFrame, keys: Sequence[str], valid_from: str,
+                           valid_to: str = VALID_TO, unit: str = "month") -> DataFrame:
+    """``close_versions`` that never puts one key's whole history in one task.
+
+    Versions are windowed per (key, time chunk); the last version of a chunk
+    ends at the first version of the key's next non-empty chunk, found with a
+    second window over one row per (key, chunk). A key holding a large share
+    of the log is thus spread over as many tasks as it has chunks, and the
+    chunk-level window is bounded by the number of chunks, not rows.
+    """
+    chunk = F.date_trunc(unit, F.col(valid_from)).alias("_chunk")
+    d = df.withColumn("_chunk", chunk)
+    within = F.lead(valid_from).over(Window.partitionBy(*keys, "_chunk").orderBy(valid_from))
+    firsts = (d.groupBy(*keys, "_chunk").agg(F.min(valid_from).alias("_first"))
+              .withColumn("_next_first", F.lead("_first").over(Window.partitionBy(*keys).orderBy("_chunk")))
+              .drop("_first"))
+    return (d.withColumn("_within", within).join(firsts, [*keys, "_chunk"])
+            .withColumn(valid_to, F.coalesce(F.col("_within"), F.col("_next_first")))
+            .drop("_chunk", "_within", "_next_first"))
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_col: str,
                    tiebreak: str | None = None) -> DataFrame:
     """Last row per key by ``order_col`` (ties broken by ``tiebreak``).

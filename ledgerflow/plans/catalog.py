@@ -85,7 +85,7 @@ def pit_policy_join(t: Tables) -> DataFrame:
     """Every reserve snapshot with the policy version valid on its date (left
     join: snapshots outside every version keep null policy columns)."""
     from ..operators.pit import point_in_time_join
-    r = facts.reserve_snapshots(t).join(facts.fct_claims(t).select("claim_id", "policy_id"), "claim_id")
+    r = facts.reserve_snapshots(t).join(facts.claim_policy(t), "claim_id")
     pol = dims.dim_policy(t).select("policy_id", "policy_sk", "policy_status", "effective_from", "effective_to")
     return point_in_time_join(r, pol, ["policy_id"], "snapshot_date", "effective_from", "effective_to",
                               how="left")

@@ -144,11 +144,18 @@ def reserve_snapshots(t: Tables) -> DataFrame:
         "reserve_type", "reserve_amount")
 
 
+def claim_policy(t: Tables) -> DataFrame:
+    """(claim_id, policy_id) of the claims fact: claims whose policy has a
+    current version. The fact's other joins are left joins on unique keys and
+    never change its rows, so they are not evaluated here."""
+    cur = dims.current_policy(t).select("policy_id")
+    return t.stg_claims().select("claim_id", "policy_id").join(cur, "policy_id", "left_semi")
+
+
 def fct_claim_reserve_snapshots(t: Tables) -> DataFrame:
     """Reserve snapshots with the claim's policy and the policy's current attributes."""
-    claims = fct_claims(t).select("claim_id", "policy_id")
     cur = dims.current_policy(t).select("policy_id", "product_code", "customer_id")
-    j = reserve_snapshots(t).join(claims, "claim_id").join(cur, "policy_id")
+    j = reserve_snapshots(t).join(claim_policy(t), "claim_id").join(cur, "policy_id")
     return j.select(
         surrogate_key("claim_id", "snapshot_date", "reserve_type").alias("claim_reserve_sk"),
         "claim_id", "policy_id", "product_code", "customer_id", "snapshot_date",
@@ -157,10 +164,9 @@ def fct_claim_reserve_snapshots(t: Tables) -> DataFrame:
 
 def fct_claim_reserve_snapshots_pit(t: Tables) -> DataFrame:
     """Point-in-time form: the policy version valid on the snapshot date."""
-    claims = fct_claims(t).select("claim_id", "policy_id")
     pol = dims.dim_policy(t).select("policy_id", "policy_sk", "product_code", "customer_id",
                                      "effective_from", "effective_to")
-    r = reserve_snapshots(t).join(claims, "claim_id")
+    r = reserve_snapshots(t).join(claim_policy(t), "claim_id")
     j = point_in_time_join(r, pol, ["policy_id"], "snapshot_date", "effective_from", "effective_to",
                            how="inner")
     return j.select(

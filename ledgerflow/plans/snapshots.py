@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.scd2 import VALID_FROM, VALID_TO, close_versions, latest_per_key, snapshot_apply
+from ..operators.scd2 import VALID_FROM, VALID_TO, close_versions_chunked, latest_per_key, snapshot_apply
 from ..sources.adapters import Tables
 
 # Fixed run times of the replays (order-derived and event-derived logs).
@@ -114,9 +114,10 @@ def snap_hard_delete(t: Tables) -> DataFrame:
 def snap_from_change_log(t: Tables) -> DataFrame:
     """Bulk history from a change log (H7): every distinct change time of a key
     opens a version that ends at the next one. Reduced first to one row per
-    (key, change time) so the version window is bounded by distinct times."""
+    (key, change time), then chained per (key, month) so no task holds a
+    key's whole history."""
     ch = t.crm_customer_changes()
     per_time = latest_per_key(ch, ["customer_id", "last_updated_at"], "change_id")
-    hist = close_versions(per_time.withColumn(VALID_FROM, F.col("last_updated_at")),
-                          ["customer_id"], VALID_FROM, VALID_TO)
+    hist = close_versions_chunked(per_time.withColumn(VALID_FROM, F.col("last_updated_at")),
+                                  ["customer_id"], VALID_FROM, VALID_TO, unit="month")
     return hist.select(*ADDRESS_COLS, VALID_FROM, VALID_TO)

@@ -168,3 +168,14 @@ def test_surrogate_key_matches_sql_text(spark):
     got = df.select(surrogate_key("a", "b", "c").alias("k")).first().k
     want = duckdb.sql("select " + surrogate_key_sql("1::bigint", "null::varchar", "date '2001-01-01'")).fetchall()[0][0]
     assert got == want
+
+
+def test_chunked_version_chain_equals_plain(spark):
+    from ledgerflow.operators.scd2 import close_versions, close_versions_chunked
+    rows = [("a", dt.datetime(2024, m, d)) for m in (1, 2, 4) for d in (1, 15, 28)] + \
+           [("b", dt.datetime(2024, 3, 3))]
+    df = spark.createDataFrame(rows, "k string, f timestamp_ntz")
+    plain = sorted(close_versions(df, ["k"], "f", "t").collect())
+    chunked = sorted(close_versions_chunked(df, ["k"], "f", "t", unit="month").select("k", "f", "t").collect())
+    assert plain == chunked
+    assert [r.t for r in plain if r.k == "b"] == [None]
