@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import surrogate_key
 from ..operators.quality import require_columns
+from .shared import shared
 from ..sources.adapters import Tables
 
 TERMINATED = ("CANCELLED", "EXPIRED", "LAPSED")
@@ -45,6 +46,7 @@ def dim_reserve_type(t: Tables) -> DataFrame:
 
 
 # ---- type-2 dimensions ------------------------------------------------------
+@shared("dim_policy")
 def dim_policy(t: Tables) -> DataFrame:
     """Policy versions with attributes. Emits both status_start/end_date and
     effective_from/to (the tests and README use the latter)."""
@@ -75,6 +77,7 @@ def account_summary(t: Tables) -> DataFrame:
         F.max("account_open_date").alias("latest_account_open_date"))
 
 
+@shared("dim_customer_360")
 def dim_customer_360(t: Tables) -> DataFrame:
     cs = t.customer_snapshot()
     j = cs.join(account_summary(t), "customer_id", "left")
@@ -91,6 +94,7 @@ def dim_customer_360(t: Tables) -> DataFrame:
     )
 
 
+@shared("dim_account_lifecycle")
 def dim_account_lifecycle(t: Tables) -> DataFrame:
     s = t.account_snapshot()
     a = t.stg_accounts().select("account_id", "account_open_date", "account_close_date",

@@ -18,6 +18,7 @@ from ..functions.money import MONEY_SUM, exact_avg, ratio, signed_amount
 from ..operators.balances import daily_balances
 from ..operators.pit import point_in_time_join
 from ..operators.scd2 import compress_runs, latest_per_key
+from .shared import shared
 from ..sources.adapters import ORDERS_AS_OF, Tables
 from . import dims
 
@@ -35,6 +36,7 @@ def base_transactions(t: Tables) -> DataFrame:
         "merchant_name", F.col("country_code").alias("transaction_country"))
 
 
+@shared("fct_transactions")
 def fct_transactions(t: Tables) -> DataFrame:
     ctx = dims.account_context(t)
     j = base_transactions(t).join(ctx, "account_id", "left")
@@ -52,6 +54,7 @@ def daily_net(t: Tables) -> DataFrame:
             .agg(F.sum("signed_amount").alias("daily_net_amount")))
 
 
+@shared("fct_account_daily_balance")
 def fct_account_daily_balance(t: Tables, as_of: dt.date = ORDERS_AS_OF) -> DataFrame:
     acc = t.stg_accounts().select("account_id", "account_open_date", "opening_balance", "currency_code")
     bal = daily_balances(acc, daily_net(t), as_of)
@@ -100,6 +103,7 @@ def fct_credit_exposure(t: Tables) -> DataFrame:
 
 
 # ---- insurance -----------------------------------------------------------------
+@shared("fct_premium")
 def fct_premium(t: Tables) -> DataFrame:
     p = t.stg_premium_transactions()
     ptype = F.upper("premium_type")
@@ -113,6 +117,7 @@ def fct_premium(t: Tables) -> DataFrame:
         "currency_code", "product_code", "risk_rating")
 
 
+@shared("fct_claims")
 def fct_claims(t: Tables) -> DataFrame:
     """Claims with total paid, largest reserve and incurred = paid + reserve.
 
@@ -152,6 +157,7 @@ def claim_policy(t: Tables) -> DataFrame:
     return t.stg_claims().select("claim_id", "policy_id").join(cur, "policy_id", "left_semi")
 
 
+@shared("fct_claim_reserve_snapshots")
 def fct_claim_reserve_snapshots(t: Tables) -> DataFrame:
     """Reserve snapshots with the claim's policy and the policy's current attributes."""
     cur = dims.current_policy(t).select("policy_id", "product_code", "customer_id")
@@ -190,6 +196,7 @@ def entity_ratings(t: Tables) -> DataFrame:
     return cust.unionByName(acc).unionByName(pol)
 
 
+@shared("fct_risk_score")
 def fct_risk_score(t: Tables) -> DataFrame:
     """One score per (entity, type, day): the latest of the day (merge-key
     semantics), with the entity's current rating."""

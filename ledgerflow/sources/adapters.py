@@ -54,6 +54,7 @@ class Tables:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self._raw: dict[str, DataFrame] = {}
+        self.materialized: dict[str, DataFrame] = {}
 
     def restrict(self, **predicates) -> "Tables":
         """A view of the same tables where the named adapters are filtered, e.g.
@@ -61,6 +62,7 @@ class Tables:
         Used to replay incremental runs against the same inputs."""
         new = Tables(self.spark, self.sf_dir)
         new._raw = self._raw
+        new.materialized = dict(self.materialized)
         for name, pred in {**getattr(self, "_preds", {}), **predicates}.items():
             base = getattr(type(self), name)
             setattr(new, name, (lambda b=base, p=pred: b(new).where(p)))
