@@ -26,11 +26,27 @@ from pyspark.sql import functions as F
 from ..session import shuffle_partitions
 
 
+# Spine rows per task: the spine is generated after its exchange, where AQE
+# cannot split it, so the partition count is sized from the spine itself.
+SPINE_ROWS_PER_TASK = 8_000_000
+
+
+def spine_partitions(accounts: DataFrame, open_col: str, as_of: dt.date | str,
+                     rows_per_task: int = SPINE_ROWS_PER_TASK) -> int:
+    """At least the session's shuffle partitions, and enough that no task
+    generates more than ``rows_per_task`` spine rows (one-row aggregate over
+    the accounts table)."""
+    end = F.lit(str(as_of)).cast("date")
+    days = F.greatest(F.datediff(end, F.col(open_col)) + 1, F.lit(0))
+    total = accounts.agg(F.sum(days).alias("n")).first()["n"] or 0
+    return max(shuffle_partitions(accounts.sparkSession), -(-int(total) // rows_per_task))
+
+
 def account_day_spine(accounts: DataFrame, open_col: str, as_of: dt.date | str,
                       date_col: str = "balance_date", key: str = "account_id",
                       partitions: int | None = None) -> DataFrame:
     """One row per account and day from the open date to ``as_of`` inclusive."""
-    n = partitions or shuffle_partitions(accounts.sparkSession)
+    n = partitions or spine_partitions(accounts, open_col, as_of)
     end = F.lit(str(as_of)).cast("date")
     # sequence() would count down for an account opened after as_of: no rows instead
     a = accounts.where(F.col(open_col) <= end).repartition(n, key)
@@ -52,7 +68,7 @@ def daily_balances(accounts: DataFrame, daily_amounts: DataFrame, as_of: dt.date
     Output: key, date_col, keep..., daily_net_amount, opening_balance,
     closing_balance; opening of the first day is the account's opening balance.
     """
-    n = partitions or shuffle_partitions(accounts.sparkSession)
+    n = partitions or spine_partitions(accounts, open_col, as_of)
     money = "decimal(38,2)"
     spine = (account_day_spine(accounts, open_col, as_of, date_col, key, n)
              .select(key, date_col, *keep, F.col(opening_col).cast(money).alias("_opening"),

@@ -179,3 +179,12 @@ def test_chunked_version_chain_equals_plain(spark):
     chunked = sorted(close_versions_chunked(df, ["k"], "f", "t", unit="month").select("k", "f", "t").collect())
     assert plain == chunked
     assert [r.t for r in plain if r.k == "b"] == [None]
+
+
+def test_spine_partitions_follow_spine_size(spark):
+    from ledgerflow.operators.balances import spine_partitions
+    acc = spark.createDataFrame([(i, D) for i in range(100)], "account_id long, account_open_date date")
+    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert spine_partitions(acc, "account_open_date", days(9)) == base            # 1,000 rows
+    assert spine_partitions(acc, "account_open_date", days(9), rows_per_task=10) == 100
+    assert spine_partitions(acc, "account_open_date", days(-5), rows_per_task=1) == base  # opened later
