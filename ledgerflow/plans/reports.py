@@ -156,4 +156,5 @@ def reserve_trend_90d(t: Tables, as_of: dt.date = ORDERS_AS_OF,
     j = j.join(c, F.col("snapshot_date") == F.col("date_day"))
     return (j.where(F.col("date_day") >= F.lit(str(start)).cast("date"))
             .groupBy(F.col("pit_product_code").alias("product_code"), F.col("date_day").alias("snapshot_date"))
-            .agg(F.sum("reserve_amount").cast(MONEY_SUM).alias("total_reserve")))
+            .agg(F.sum("reserve_amount").cast(MONEY_SUM).alias("total_reserve"))
+            .orderBy("snapshot_date", "product_code"))  # one row per product and day: small

@@ -188,3 +188,12 @@ def test_spine_partitions_follow_spine_size(spark):
     assert spine_partitions(acc, "account_open_date", days(9)) == base            # 1,000 rows
     assert spine_partitions(acc, "account_open_date", days(9), rows_per_task=10) == 100
     assert spine_partitions(acc, "account_open_date", days(-5), rows_per_task=1) == base  # opened later
+
+
+def test_safe_cast_returns_null_instead_of_raising(spark):
+    from ledgerflow.functions.casts import safe_cast
+    df = spark.createDataFrame([("12.50",), ("n/a",), (None,)], "s string")
+    out = [r.v for r in df.select(safe_cast("s", "decimal(18,2)").alias("v")).collect()]
+    assert out == [Decimal("12.50"), None, None]
+    with pytest.raises(Exception):
+        df.select(F.col("s").cast("decimal(18,2)")).collect()
