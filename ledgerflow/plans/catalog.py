@@ -4,9 +4,7 @@ demonstrations, each over the driver's tables."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from ..operators import calendar as cal
 from ..sources.adapters import Tables
 from . import dims, facts, insolvency, reports
 from .registry import job

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import surrogate_key
 from ..operators.quality import require_columns
-from .shared import shared
+from .shared import memo, shared
 from ..sources.adapters import Tables
 
 TERMINATED = ("CANCELLED", "EXPIRED", "LAPSED")
@@ -68,6 +68,7 @@ def dim_policy(t: Tables) -> DataFrame:
     )
 
 
+@memo
 def account_summary(t: Tables) -> DataFrame:
     a = t.stg_accounts()
     return a.groupBy("customer_id").agg(
@@ -114,27 +115,32 @@ def dim_account_lifecycle(t: Tables) -> DataFrame:
 
 
 # ---- current-record contexts (dimension-sized; joined to facts once) -------
+@memo
 def current_customer(t: Tables) -> DataFrame:
     return (dim_customer_360(t).where("is_current_record")
             .select("customer_id", "risk_rating", F.col("country_code").alias("customer_country")))
 
 
+@memo
 def current_account(t: Tables) -> DataFrame:
     return (dim_account_lifecycle(t).where("is_current_status")
             .select("account_id", "customer_id", "product_code"))
 
 
+@memo
 def current_policy(t: Tables) -> DataFrame:
     return (dim_policy(t).where("is_current_record")
             .select("policy_id", "policy_sk", "customer_id", "product_code"))
 
 
+@memo
 def account_context(t: Tables) -> DataFrame:
     """Current account joined to its current customer: built on the dimension
     side so a fact joins it once, on account_id."""
     return current_account(t).join(current_customer(t), "customer_id", "left")
 
 
+@memo
 def policy_context(t: Tables) -> DataFrame:
     return current_policy(t).join(current_customer(t).select("customer_id", "risk_rating"),
                                   "customer_id", "left")

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import surrogate_key
@@ -18,12 +18,13 @@ from ..functions.money import MONEY_SUM, exact_avg, ratio, signed_amount
 from ..operators.balances import daily_balances
 from ..operators.pit import point_in_time_join
 from ..operators.scd2 import compress_runs, latest_per_key
-from .shared import shared
+from .shared import memo, shared
 from ..sources.adapters import ORDERS_AS_OF, Tables
 from . import dims
 
 
 # ---- banking -----------------------------------------------------------------
+@memo
 def base_transactions(t: Tables) -> DataFrame:
     tx = t.stg_transactions()
     ttype = F.upper("transaction_type")
@@ -47,6 +48,7 @@ def fct_transactions(t: Tables) -> DataFrame:
         "transaction_country", "product_code", "risk_rating", "customer_country")
 
 
+@memo
 def daily_net(t: Tables) -> DataFrame:
     """Net signed amount per account and day (the fact's rows; its left joins
     never drop a transaction, so the base rows are read directly)."""
@@ -143,12 +145,14 @@ def fct_claims(t: Tables) -> DataFrame:
         "product_code", "risk_rating")
 
 
+@memo
 def reserve_snapshots(t: Tables) -> DataFrame:
     return t.stg_claim_reserves_snapshots().select(
         "claim_id", F.col("reserve_snapshot_date").cast("date").alias("snapshot_date"),
         "reserve_type", "reserve_amount")
 
 
+@memo
 def claim_policy(t: Tables) -> DataFrame:
     """(claim_id, policy_id) of the claims fact: claims whose policy has a
     current version. The fact's other joins are left joins on unique keys and
@@ -181,6 +185,7 @@ def fct_claim_reserve_snapshots_pit(t: Tables) -> DataFrame:
         "reserve_type", "reserve_amount")
 
 
+@memo
 def entity_ratings(t: Tables) -> DataFrame:
     """Current rating per (entity_id, entity_type): customers from the customer
     history, accounts and policies from their snapshots. One row per entity."""

@@ -1,21 +1,47 @@
-"""Shared models: a model built once per pipeline run is read back by every
-downstream job instead of being recomputed from the sources."""
+"""Shared models.
+
+* ``shared(name)``: a model built once per pipeline run is read back by every
+  downstream job instead of being recomputed from the sources.
+* ``memo``: within one job, a builder called several times on the same
+  ``Tables`` handle returns the same DataFrame, so the plan holds one copy of
+  that subtree and Spark can reuse its exchanges.
+"""
 
 from __future__ import annotations
 
 import functools
 
 
+def _cache(t) -> dict:
+    return t.__dict__.setdefault("_memo", {})
+
+
+def memo(fn):
+    key = f"{fn.__module__}.{fn.__qualname__}"
+
+    @functools.wraps(fn)
+    def wrapper(t, *args, **kwargs):
+        if args or kwargs:
+            return fn(t, *args, **kwargs)
+        c = _cache(t)
+        if key not in c:
+            c[key] = fn(t)
+        return c[key]
+    return wrapper
+
+
 def shared(name: str):
     """Mark a model builder; when the Tables handle carries a materialised
     copy of ``name`` (see ``plans.pipeline``), that copy is returned."""
     def deco(fn):
+        cached = memo(fn)
+
         @functools.wraps(fn)
         def wrapper(t, *args, **kwargs):
             m = getattr(t, "materialized", {}).get(name)
             if m is not None and not args and not kwargs:
                 return m
-            return fn(t, *args, **kwargs)
+            return cached(t, *args, **kwargs)
         wrapper.model_name = name
         return wrapper
     return deco

@@ -10,7 +10,6 @@ version chain built in one pass from the distinct states.
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame

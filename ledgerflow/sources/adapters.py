@@ -9,6 +9,7 @@ that uses it. Nothing is cached or collected here.
 from __future__ import annotations
 
 import datetime as dt
+import functools
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,6 +48,19 @@ def _status_by_mod4(key: Column) -> Column:
             .otherwise("CLOSED"))
 
 
+def _memo_adapter(fn):
+    """One DataFrame per adapter and Tables handle (same subtree in every use)."""
+    name = fn.__name__
+
+    @functools.wraps(fn)
+    def wrapper(self):
+        c = self.__dict__.setdefault("_adapters", {})
+        if name not in c:
+            c[name] = fn(self)
+        return c[name]
+    return wrapper
+
+
 class Tables:
     """Reader for one scale-factor directory and the contracts derived from it."""
 
@@ -465,3 +479,8 @@ class Tables:
     def bank_holidays(self) -> DataFrame:
         return self.spark.createDataFrame([(d,) for d in BANK_HOLIDAYS], "h string").select(
             F.col("h").cast("date").alias("holiday_date"))
+
+
+for _n, _f in list(vars(Tables).items()):
+    if callable(_f) and not _n.startswith("_") and _n not in ("raw", "restrict"):
+        setattr(Tables, _n, _memo_adapter(_f))

@@ -5,7 +5,6 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
 
 from ledgerflow.operators import incremental as inc
 from ledgerflow.operators.balances import daily_balances, incremental_daily_balances

@@ -1,7 +1,6 @@
 import datetime as dt
 from decimal import Decimal
 
-from pyspark.sql import functions as F
 
 from ledgerflow.operators.pit import pit_match_counts, point_in_time_join
 from ledgerflow.plans.meter import day_profiles, fold_half_hours
