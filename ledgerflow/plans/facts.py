@@ -71,12 +71,11 @@ def dim_account_balance_scd2(t: Tables, balances: DataFrame | None = None) -> Da
     bal = balances if balances is not None else fct_account_daily_balance(t)
     periods = compress_runs(bal.select("account_id", "balance_date", "closing_balance"),
                             ["account_id"], "balance_date", ["closing_balance"])
-    last = bal.agg(F.max("balance_date").alias("_last_day"))  # one row
-    return (periods.crossJoin(F.broadcast(last))
-            .select(surrogate_key("account_id", "effective_start_date").alias("account_balance_scd2_sk"),
-                    "account_id", "closing_balance", "effective_start_date", "effective_end_date",
-                    F.when(F.col("effective_end_date") == F.col("_last_day"), 1).otherwise(0)
-                    .alias("is_current")))
+    last_day = bal.agg(F.max("balance_date")).scalar()  # scalar subquery, evaluated once
+    return periods.select(
+        surrogate_key("account_id", "effective_start_date").alias("account_balance_scd2_sk"),
+        "account_id", "closing_balance", "effective_start_date", "effective_end_date",
+        F.when(F.col("effective_end_date") == last_day, 1).otherwise(0).alias("is_current"))
 
 
 def eom_balance(t: Tables) -> DataFrame:
@@ -274,17 +273,18 @@ def fct_suspicious_activity(t: Tables) -> DataFrame:
         "transaction_date", F.abs("amount").alias("amount"), "currency_code", "transaction_country")
     cust = dims.current_customer(t).select("customer_id", "risk_rating")
     country = F.broadcast(t.seed_country_risk())  # one row per country: bounded domain
-    th = (t.seed_aml_thresholds().agg(
-        F.max(F.when(F.col("rule_name") == "LARGE_TRANSACTION", F.col("threshold_value"))).alias("large_txn_limit"),
-        F.max(F.when(F.col("rule_name") == "HIGH_VELOCITY_TXN", F.col("threshold_value"))).alias("velocity_limit")))
+    seed = t.seed_aml_thresholds()
+    large_limit = seed.agg(F.max(F.when(F.col("rule_name") == "LARGE_TRANSACTION",
+                                        F.col("threshold_value")))).scalar()
+    velocity_limit = seed.agg(F.max(F.when(F.col("rule_name") == "HIGH_VELOCITY_TXN",
+                                           F.col("threshold_value")))).scalar()
     velocity = tx.groupBy("account_id", "transaction_date").agg(F.count(F.lit(1)).alias("txn_count"))
     j = (tx.join(cust, "customer_id")
          .join(country, F.col("transaction_country") == F.col("country_code"), "left")
-         .join(velocity, ["account_id", "transaction_date"], "left")
-         .crossJoin(F.broadcast(th)))  # one row
-    large = F.col("amount") >= F.col("large_txn_limit")
+         .join(velocity, ["account_id", "transaction_date"], "left"))
+    large = F.col("amount") >= large_limit
     high_country = F.col("risk_level") == "HIGH"
-    fast = F.col("txn_count") >= F.col("velocity_limit")
+    fast = F.col("txn_count") >= velocity_limit
     flagged = j.where(large | high_country | fast)
     rule = (F.when(large, "LARGE_TRANSACTION").when(high_country, "HIGH_RISK_COUNTRY")
             .when(fast, "HIGH_VELOCITY"))

@@ -119,3 +119,37 @@ def schema_sync(t: Tables) -> DataFrame:
            .withColumn("load_batch", F.lit("v1")))
     new = full.where(F.col("snapshot_date") > cut)
     return inc.schema_sync(old, new)
+
+
+SPENDING_CUTOFF = "1998-01-01 00:00:00"
+
+
+@job("incr_spending")
+def incr_spending(t: Tables) -> DataFrame:
+    """customer_spending_analysis merged on its five grouping columns: rows
+    updated after the mark touch some groups, and those groups are recomputed
+    from all their rows (a partial group never replaces a whole one)."""
+    src = t.retail_daily_transactions()
+    run1 = reports.spending(src.where(F.col("last_updated_at") < _ts(SPENDING_CUTOFF)))
+    changed = src.where(F.col("last_updated_at") >= _ts(SPENDING_CUTOFF))
+    touched = changed.select(*reports.SPENDING_KEYS).distinct()
+    run2 = reports.spending(src.join(touched, reports.SPENDING_KEYS, "left_semi"))
+    return inc.merge(run1, run2, reports.SPENDING_KEYS)
+
+
+@job("incr_balance_scd2")
+def incr_balance_scd2(t: Tables) -> DataFrame:
+    """Balance periods after the 14-day balance increment: periods of every
+    account touched by the increment are rebuilt from the account's whole
+    stored history, keyed (account_id, effective_start_date)."""
+    balances = incr_merge(t)
+    run1 = facts.dim_account_balance_scd2(t, facts.fct_account_daily_balance(t, as_of=BALANCE_RUN1_AS_OF))
+    window_start = ORDERS_AS_OF - dt.timedelta(days=BALANCE_LOOKBACK_DAYS)
+    touched = balances.where(F.col("balance_date") >= F.lit(str(window_start)).cast("date")) \
+        .select("account_id").distinct()
+    rebuilt = facts.dim_account_balance_scd2(t, balances.join(touched, "account_id", "left_semi"))
+    kept = run1.join(touched, "account_id", "left_anti")
+    # is_current compares with the last balance day of the whole fact
+    last_day = balances.agg(F.max("balance_date")).scalar()
+    return (kept.unionByName(rebuilt)
+            .withColumn("is_current", F.when(F.col("effective_end_date") == last_day, 1).otherwise(0)))

@@ -41,18 +41,26 @@ def rpt_fca_returns(t: Tables) -> DataFrame:
 
 
 def rpt_fca_returns_literal(t: Tables) -> DataFrame:
-    """The report as written: premium rows joined to claim rows of the same
-    policy and month before summing (amounts repeat on both sides)."""
-    p = facts.fct_premium(t).withColumn("period", _month("premium_date"))
-    c = (facts.fct_claims(t).select("policy_id", "incurred_amount",
-                                    _month("claim_reported_date").alias("claim_period")))
-    j = p.join(c, (p["policy_id"] == c["policy_id"]) & (F.col("period") == F.col("claim_period")), "left") \
-        .drop(c["policy_id"])
-    mf = j.groupBy("policy_id", "period").agg(
-        F.sum("premium_amount").cast(MONEY_SUM).alias("total_premium"),
-        F.sum(F.when(F.col("premium_type") == "EARNED", F.col("premium_amount")).otherwise(F.lit(0)))
-        .cast(MONEY_SUM).alias("earned_premium"),
-        F.sum(F.coalesce("incurred_amount", F.lit(0))).cast(MONEY_SUM).alias("total_claims"))
+    """The report as written: premium rows left-joined to the claim rows of the
+    same policy and month before summing, so each premium counts once per
+    matching claim (at least once) and each claim once per premium row.
+
+    The same totals come from per-side sums and row counts, without forming
+    the premium x claim pairs (which grow quadratically on a busy policy)."""
+    prem = (facts.fct_premium(t).groupBy("policy_id", _month("premium_date").alias("period"))
+            .agg(F.sum("premium_amount").alias("_p"),
+                 F.sum(F.when(F.col("premium_type") == "EARNED", F.col("premium_amount"))
+                       .otherwise(F.lit(0))).alias("_e"),
+                 F.count(F.lit(1)).alias("_np")))
+    clm = (facts.fct_claims(t).groupBy("policy_id", _month("claim_reported_date").alias("period"))
+           .agg(F.sum(F.coalesce("incurred_amount", F.lit(0))).alias("_c"), F.count(F.lit(1)).alias("_nc")))
+    j = prem.join(clm, ["policy_id", "period"], "left")
+    rep = F.greatest(F.coalesce(F.col("_nc"), F.lit(0)), F.lit(1))
+    mf = j.select(
+        "policy_id", "period",
+        (F.col("_p") * rep).cast(MONEY_SUM).alias("total_premium"),
+        (F.col("_e") * rep).cast(MONEY_SUM).alias("earned_premium"),
+        F.coalesce(F.col("_c") * F.col("_np"), F.lit(0)).cast(MONEY_SUM).alias("total_claims"))
     return _fca_final(t, mf)
 
 

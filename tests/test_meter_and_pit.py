@@ -37,3 +37,23 @@ def test_point_in_time_half_open(spark):
     counts = {(r.pid, r.d): r.match_cnt for r in
               pit_match_counts(fact, dim, ["pid", "d"], ["pid"], "d", "f", "t").collect()}
     assert counts[(2, DAY)] == 0 and counts[(1, DAY)] == 1
+
+
+def test_bucketed_point_in_time_equals_plain(spark):
+    import random
+    rnd = random.Random(7)
+    versions, facts = [], []
+    for k in range(5):
+        start = DAY
+        for v in range(rnd.randint(1, 12)):  # many versions per key
+            end = start + dt.timedelta(days=rnd.randint(5, 70))
+            versions.append((k, start, end if v < 11 else None, f"{k}-{v}"))
+            start = end + dt.timedelta(days=rnd.randint(0, 3))  # gaps between some versions
+        versions[-1] = versions[-1][:2] + (None, versions[-1][3])
+        facts += [(k, DAY + dt.timedelta(days=rnd.randint(-10, 900))) for _ in range(40)]
+    fact = spark.createDataFrame(facts, "pid long, d date")
+    dim = spark.createDataFrame(versions, "pid long, f date, t date, ver string")
+    for b in ("month", "year"):
+        plain = sorted(point_in_time_join(fact, dim, ["pid"], "d", "f", "t").collect())
+        bucketed = sorted(point_in_time_join(fact, dim, ["pid"], "d", "f", "t", bucket=b).collect())
+        assert plain == bucketed
