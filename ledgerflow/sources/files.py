@@ -66,6 +66,9 @@ def write_meter_output(profiles: DataFrame, out_root: str, load_date: str) -> st
 
 # ---- new-file ingestion with a processed-file ledger ----------------------------
 LEDGER_SCHEMA = "file_path string, file_size bigint, batch_id string"
+# Sub-folders of the raw area that are never ingested, plus
+# Spark's own marker files (_SUCCESS, _committed...).
+SKIP_FOLDERS = ("/Processed/", "/Backup/", "/staging/", "/_")
 
 
 def list_files(spark: SparkSession, raw_dir: str, skip_prefixes: Sequence[str] = ()) -> DataFrame:
@@ -93,7 +96,7 @@ def ingest_new_files(spark: SparkSession, raw_dir: str, ledger_path: str, schema
                      table_path: str, batch_id: str, fmt: str = "csv") -> int:
     """Read only files not yet in the ledger, append their rows to the table,
     then record them in the ledger (after the append succeeded)."""
-    todo = new_files(spark, raw_dir, ledger_path, skip_prefixes=("/_",)).collect()  # file names only
+    todo = new_files(spark, raw_dir, ledger_path, skip_prefixes=SKIP_FOLDERS).collect()  # file names only
     if not todo:
         return 0
     paths = [r["file_path"] for r in todo]

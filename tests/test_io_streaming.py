@@ -13,6 +13,7 @@ def test_ledger_reads_each_file_once(spark):
     files.write_staging_csv(df.where("k < 50"), f"{root}/raw/a")
     assert files.ingest_new_files(spark, f"{root}/raw", f"{root}/ledger", "k bigint", f"{root}/t", "1") > 0
     files.write_staging_csv(df.where("k >= 50"), f"{root}/raw/b")
+    files.write_staging_csv(df, f"{root}/raw/Processed/old")  # archived copies are never read
     files.ingest_new_files(spark, f"{root}/raw", f"{root}/ledger", "k bigint", f"{root}/t", "2")
     assert files.ingest_new_files(spark, f"{root}/raw", f"{root}/ledger", "k bigint", f"{root}/t", "3") == 0
     assert sorted(r.k for r in spark.read.parquet(f"{root}/t").collect()) == list(range(100))
