@@ -77,8 +77,11 @@ def list_files(spark: SparkSession, raw_dir: str, skip_prefixes: Sequence[str] =
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(raw_dir)
              .select(F.col("path").alias("file_path"), F.col("length").alias("file_size"))
              .where(F.col("file_size") > 0))
+    base = raw_dir.rstrip("/").removeprefix("file:")
+    # the part of the path below raw_dir (the listed path carries a scheme)
+    rel = F.expr(f"substr(file_path, locate('{base}', file_path) + {len(base)})")
     for p in skip_prefixes:
-        files = files.where(~F.col("file_path").contains(p))
+        files = files.where(~rel.contains(p))
     return files
 
 
