@@ -96,8 +96,12 @@ def insert_overwrite(target: DataFrame | None, new: DataFrame, partition_cols: S
     """Partitions present in ``new`` are replaced whole; others are kept."""
     if target is None:
         return new
-    touched = new.select(*partition_cols).distinct()
-    return target.join(touched, list(partition_cols), "left_anti").unionByName(new)
+    touched = new.select(*[F.col(c).alias(f"_p_{c}") for c in partition_cols]).distinct()
+    cond = None
+    for c in partition_cols:  # null-safe: a null partition value is a partition too
+        e = target[c].eqNullSafe(touched[f"_p_{c}"])
+        cond = e if cond is None else cond & e
+    return target.join(touched, cond, "left_anti").unionByName(new)
 
 
 def schema_sync(target: DataFrame, new: DataFrame) -> DataFrame:

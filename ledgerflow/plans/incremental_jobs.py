@@ -153,3 +153,19 @@ def incr_balance_scd2(t: Tables) -> DataFrame:
     last_day = balances.agg(F.max("balance_date")).scalar()
     return (kept.unionByName(rebuilt)
             .withColumn("is_current", F.when(F.col("effective_end_date") == last_day, 1).otherwise(0)))
+
+
+LOSS_RATIO_LOOKBACK_MONTHS = 12
+
+
+@job("incr_loss_ratio")
+def incr_loss_ratio(t: Tables) -> DataFrame:
+    """fct_loss_ratio: run 1 saw claims and premiums up to the start of the
+    12-month lookback; run 2 recomputes the lookback months (and the
+    no-claim rows, whose period is null) and overwrites those periods."""
+    start = F.trunc(F.add_months(F.lit(str(ORDERS_AS_OF)).cast("date"), -LOSS_RATIO_LOOKBACK_MONTHS), "month")
+    before = t.restrict(stg_claims=F.col("claim_reported_date").cast("date") < start,
+                        stg_premium_transactions=F.col("posting_date").cast("date") < start)
+    run1 = facts.fct_loss_ratio(before)
+    recent = facts.fct_loss_ratio(t).where((F.col("period_month") >= start) | F.col("period_month").isNull())
+    return inc.insert_overwrite(run1, recent, ["period_month"])

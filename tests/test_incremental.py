@@ -95,3 +95,9 @@ def test_partition_overwrite_sink(spark):
     inc.write_partitions(frame(spark, [(3, "c", D)]), path, ["d"])
     got = sorted(r.k for r in spark.read.parquet(path).collect())
     assert got == [2, 3]
+
+
+def test_insert_overwrite_null_partition(spark):
+    tgt = spark.createDataFrame([(1, None), (2, D)], "k int, d date")
+    new = spark.createDataFrame([(3, None)], "k int, d date")
+    assert sorted(r.k for r in inc.insert_overwrite(tgt, new, ["d"]).collect()) == [2, 3]
