@@ -21,7 +21,6 @@ PERSON_SEGMENTS = ("HOUSEHOLD", "FURNITURE")
 INSOLVENCY_CODES = ("BANKRUPT", "IVA", "DRO", "ADMINISTRATION", "LIQUIDATION")
 AML_THRESHOLDS = (("LARGE_TRANSACTION", 400000), ("HIGH_VELOCITY_TXN", 2))
 BANK_HOLIDAYS = ("2001-01-01", "2001-04-13", "2001-05-07", "2001-05-28", "2024-01-01")
-TRANSACTIONS_FROM = "2001-01-01 00:00:00"
 
 # Fixed run dates: order-derived jobs and event-derived jobs.
 ORDERS_AS_OF = dt.date(2001, 8, 1)
@@ -304,7 +303,7 @@ class Tables:
 
     # ---- banking transactions, limits, exposures ----------------------------
     def stg_transactions(self) -> DataFrame:
-        o = self.raw("orders").where(F.col("o_orderdate") >= F.lit(TRANSACTIONS_FROM).cast("timestamp_ntz"))
+        o = self.raw("orders")  # every order; those before an account opened never enter a balance
         j = o.join(self._customer_nation().select("c_custkey", "n_name"),
                    F.col("o_custkey") == F.col("c_custkey"))
         return j.select(
