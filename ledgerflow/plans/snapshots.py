@@ -37,12 +37,19 @@ def state_at(changes: DataFrame, keys: Sequence[str], updated_at: str, run_ts: s
     return latest_per_key(upto, list(keys), updated_at, tiebreak).select(*columns)
 
 
+# Runs applied before the history is checkpointed: each run adds a join to
+# the plan, so a long replay cuts lineage in the shared checkpoint folder.
+CHECKPOINT_EVERY = 4
+
+
 def replay(states: Sequence[tuple[DataFrame, str]], keys: Sequence[str], updated_at: str,
-           hard_delete: bool = False) -> DataFrame:
+           hard_delete: bool = False, checkpoint_every: int = CHECKPOINT_EVERY) -> DataFrame:
     """Apply snapshot runs in order; each state is (source frame, run time)."""
     hist = None
-    for src, run_ts in states:
+    for i, (src, run_ts) in enumerate(states, start=1):
         hist = snapshot_apply(hist, src, keys, updated_at, _ts(run_ts), hard_delete)
+        if checkpoint_every and i % checkpoint_every == 0 and i < len(states):
+            hist = hist.checkpoint(eager=True)  # reliable: written under spark.checkpoint.dir
     return hist
 
 
