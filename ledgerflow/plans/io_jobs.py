@@ -45,16 +45,16 @@ def bulk_stage_load(t: Tables) -> DataFrame:
 
 @job("meter_output")
 def meter_output(t: Tables) -> DataFrame:
-    """Half-hourly profiles written one CSV per (meter, qty) under
-    load_date=yymmdd/, read back with their partition values."""
+    """Half-hourly profiles written as CSV under load_date=yymmdd/qty=../,
+    each (meter, qty) series whole in one file, read back with the
+    partition values."""
     out = files.scratch_dir(t.spark, "meter_output")
     prof = day_profiles(fold_half_hours(t.meter_reads())).select(
         "meter_id", "qty", "read_day",
         F.array_join(F.col("hh_values").cast("array<string>"), ",").alias("hh_values"),
         F.array_join("hh_flags", ",").alias("hh_flags"))
     files.write_meter_output(prof, out, EVENTS_AS_OF.strftime("%y%m%d"))
-    schema = ("read_day date, hh_values string, hh_flags string, load_date string, qty string, "
-              "meter_id bigint")
+    schema = "meter_id bigint, read_day date, hh_values string, hh_flags string, load_date string, qty string"
     return t.spark.read.schema(schema).option("basePath", out).csv(out)
 
 

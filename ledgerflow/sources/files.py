@@ -52,15 +52,18 @@ def bulk_stage_load(df: DataFrame, staging_root: str, table_path: str, run_id: s
 
 # ---- partitioned meter output ---------------------------------------------------
 def write_meter_output(profiles: DataFrame, out_root: str, load_date: str) -> str:
-    """One CSV file per (meter, quantity) under ``load_date=yymmdd/``, rows by day.
+    """Profiles as CSV under ``load_date=yymmdd/qty=../``; every (meter, qty)
+    series lies whole in one file, its rows sorted by day.
 
-    Repartitioning on (meter, qty) puts each series in one task, so each
-    output directory gets exactly one file, written by the executors.
+    Hash-partitioning on (meter, qty) sends each series to one task, and the
+    sort puts its days together in order; the number of files follows the
+    partition count, not the number of meters (one file per meter would be
+    hundreds of millions of small files at scale).
     """
     (profiles.withColumn("load_date", F.lit(load_date))
-     .repartition("meter_id", "qty").sortWithinPartitions("meter_id", "qty", "read_day")
+     .repartition("meter_id", "qty").sortWithinPartitions("qty", "meter_id", "read_day")
      .write.mode("overwrite").option("header", False)
-     .partitionBy("load_date", "qty", "meter_id").csv(out_root))
+     .partitionBy("load_date", "qty").csv(out_root))
     return out_root
 
 

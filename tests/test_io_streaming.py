@@ -48,3 +48,25 @@ def test_write_with_audit_counts_during_write(spark):
     n = write_with_audit(spark.range(42), f"{root}/t", "m", run, f"{root}/log")
     assert n == 42
     assert spark.read.parquet(f"{root}/log").first().row_count == 42
+
+
+def test_meter_output_one_file_per_series_sorted(spark):
+    import datetime as dt
+    import glob
+    import os
+    root = files.scratch_dir(spark, "test_meter_out")
+    day = dt.date(2024, 1, 1)
+    rows = [(m, q, day + dt.timedelta(days=d), "0", "A") for m in range(20) for q in ("AI", "RI") for d in (2, 0, 1)]
+    prof = spark.createDataFrame(rows, "meter_id long, qty string, read_day date, hh_values string, hh_flags string")
+    files.write_meter_output(prof, root, "240131")
+    seen = {}
+    for path in glob.glob(os.path.join(root.removeprefix("file:"), "load_date=240131", "qty=*", "*.csv")):
+        qty = path.split("qty=")[1].split("/")[0]
+        lines = [ln.split(",") for ln in open(path).read().splitlines() if ln]
+        for m, d in {(ln[0], ln[1]) for ln in lines}:
+            assert (m, qty) not in seen or seen[(m, qty)] == path  # a series never spans two files
+            seen[(m, qty)] = path
+        for m in {ln[0] for ln in lines}:
+            days = [ln[1] for ln in lines if ln[0] == m]
+            assert days == sorted(days)
+    assert len(seen) == 40
