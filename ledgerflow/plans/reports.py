@@ -86,8 +86,10 @@ def _ifrs(t: Tables, reserve_summary: DataFrame) -> DataFrame:
     icm = t.stg_ifrs_contract_metrics()
     pi = dims.current_policy(t).select("policy_id", "product_code")
     keys = ["policy_id", "reporting_period"]
-    j = (pi.join(ps, "policy_id", "left")
-         .join(cs, keys, "left").join(reserve_summary, keys, "left").join(icm, keys, "left"))
+    # the period-keyed summaries are each aggregated on (policy, month), so
+    # they join without a further exchange; the policy list joins last
+    periods = (ps.join(cs, keys, "left").join(reserve_summary, keys, "left").join(icm, keys, "left"))
+    j = pi.join(periods, "policy_id", "left")
     zero = F.lit(0).cast(MONEY_SUM)
     return j.select(
         surrogate_key("policy_id", "reporting_period").alias("ifrs_balance_sk"),
