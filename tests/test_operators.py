@@ -197,3 +197,11 @@ def test_safe_cast_returns_null_instead_of_raising(spark):
     assert out == [Decimal("12.50"), None, None]
     with pytest.raises(Exception):
         df.select(F.col("s").cast("decimal(18,2)")).collect()
+
+
+def test_business_date_in_local_time_zone(spark):
+    df = spark.createDataFrame([(dt.datetime(2024, 7, 1, 23, 30),), (dt.datetime(2024, 7, 2, 4, 30),)],
+                               "ts timestamp_ntz")
+    out = df.select(cal.business_date("ts", "Europe/London", 4).alias("b")).collect()
+    # 00:30 BST on 2 July is before the 04:00 cutoff -> 1 July; 05:30 BST -> 2 July
+    assert [r.b for r in out] == [dt.date(2024, 7, 1), dt.date(2024, 7, 2)]
