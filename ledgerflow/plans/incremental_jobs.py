@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import incremental as inc
+from ..functions.keys import surrogate_key
 from ..operators.balances import incremental_daily_balances
 from ..sources.adapters import ORDERS_AS_OF, Tables
 from . import facts, reports
@@ -33,11 +34,18 @@ def _ts(s: str):
     return F.lit(s).cast("timestamp_ntz")
 
 
+def stored(run: DataFrame) -> DataFrame:
+    """The first run's output as the stored target table the second run reads:
+    written once under spark.checkpoint.dir (reliable checkpoint), which also
+    cuts the lineage between the runs."""
+    return run.checkpoint(eager=True)
+
+
 @job("incr_append")
 def incr_append(t: Tables) -> DataFrame:
     """fct_premium: run 2 reads postings on or after the loaded mark and appends
     the ones whose key is new (idempotent on the boundary day)."""
-    run1 = facts.fct_premium(t.restrict(stg_premium_transactions=F.col("posting_date") < _ts(PREMIUM_CUTOFF)))
+    run1 = stored(facts.fct_premium(t.restrict(stg_premium_transactions=F.col("posting_date") < _ts(PREMIUM_CUTOFF))))
     mark = inc.high_water_mark(run1, "premium_date")
     since = F.col("posting_date").cast("date") >= F.lit(str(mark)).cast("date")
     run2 = facts.fct_premium(t.restrict(stg_premium_transactions=since))
@@ -49,7 +57,7 @@ def hwm_filter(t: Tables) -> DataFrame:
     """fct_claim_reserve_snapshots: run 2 appends snapshots strictly after
     coalesce(max(snapshot_date), '1900-01-01')."""
     cut = F.col("reserve_snapshot_date") <= F.lit(RESERVE_CUTOFF).cast("date")
-    run1 = facts.fct_claim_reserve_snapshots(t.restrict(stg_claim_reserves_snapshots=cut))
+    run1 = stored(facts.fct_claim_reserve_snapshots(t.restrict(stg_claim_reserves_snapshots=cut)))
     mark = inc.high_water_mark(run1, "snapshot_date")
     newer = F.col("reserve_snapshot_date") > F.lit(str(mark)).cast("date")
     run2 = facts.fct_claim_reserve_snapshots(t.restrict(stg_claim_reserves_snapshots=newer))
@@ -59,32 +67,35 @@ def hwm_filter(t: Tables) -> DataFrame:
 @job("incremental_filter")
 def incremental_filter(t: Tables) -> DataFrame:
     """fct_transactions: inclusive mark on transaction_ts plus anti-join on key."""
-    run1 = facts.fct_transactions(t.restrict(stg_transactions=F.col("transaction_timestamp") < _ts(TXN_CUTOFF)))
+    run1 = stored(facts.fct_transactions(t.restrict(stg_transactions=F.col("transaction_timestamp") < _ts(TXN_CUTOFF))))
     mark = inc.high_water_mark(run1, "transaction_ts")
     run2 = facts.fct_transactions(t.restrict(stg_transactions=F.col("transaction_timestamp") >= F.lit(mark)))
     return inc.append_new(run1, run2, ["transaction_sk"])
 
 
-@job("incr_merge")
-def incr_merge(t: Tables) -> DataFrame:
-    """fct_account_daily_balance: run 1 to 2001-07-25, run 2 recomputes the last
-    14 days to 2001-08-01 seeded with stored closings, merged on the key."""
-    run1 = facts.fct_account_daily_balance(t, as_of=BALANCE_RUN1_AS_OF)
+def _merge_balance_increment(t: Tables, run1: DataFrame) -> DataFrame:
     window_start = ORDERS_AS_OF - dt.timedelta(days=BALANCE_LOOKBACK_DAYS)
     acc = t.stg_accounts().select("account_id", "account_open_date", "opening_balance", "currency_code")
     new = incremental_daily_balances(run1, acc, facts.daily_net(t), window_start, ORDERS_AS_OF)
-    from ..functions.keys import surrogate_key
     new = new.select(surrogate_key("account_id", "balance_date").alias("account_balance_sk"),
                      "account_id", "balance_date", "currency_code", "daily_net_amount",
                      "opening_balance", "closing_balance")
     return inc.merge(run1, new, ["account_balance_sk"])
 
 
+@job("incr_merge")
+def incr_merge(t: Tables) -> DataFrame:
+    """fct_account_daily_balance: run 1 to 2001-07-25, run 2 recomputes the last
+    14 days to 2001-08-01 seeded with stored closings, merged on the key."""
+    run1 = stored(facts.fct_account_daily_balance(t, as_of=BALANCE_RUN1_AS_OF))
+    return _merge_balance_increment(t, run1)
+
+
 @job("incr_merge_composite")
 def incr_merge_composite(t: Tables) -> DataFrame:
     """fct_risk_score on (entity_id, entity_type, score_date): run 1 stops
     mid-day; run 2 re-reads from the last loaded day and replaces its rows."""
-    run1 = facts.fct_risk_score(t.restrict(stg_risk_scores=F.col("score_date") < _ts(RISK_CUTOFF)))
+    run1 = stored(facts.fct_risk_score(t.restrict(stg_risk_scores=F.col("score_date") < _ts(RISK_CUTOFF))))
     mark = inc.high_water_mark(run1, "score_date")
     run2 = facts.fct_risk_score(t.restrict(
         stg_risk_scores=F.col("score_date").cast("date") >= F.lit(str(mark)).cast("date")))
@@ -95,7 +106,7 @@ def incr_merge_composite(t: Tables) -> DataFrame:
 def incr_insert_overwrite(t: Tables) -> DataFrame:
     """rpt_pra_exposures: run 2 recomputes from the start of the last loaded
     month and replaces those reporting periods whole."""
-    run1 = reports.pra_exposures(t.exposures().where(F.col("exposure_date") < F.lit(EXPOSURE_CUTOFF).cast("date")))
+    run1 = stored(reports.pra_exposures(t.exposures().where(F.col("exposure_date") < F.lit(EXPOSURE_CUTOFF).cast("date"))))
     mark = inc.high_water_mark(run1, "reporting_period")
     run2 = reports.pra_exposures(t.exposures().where(F.col("exposure_date") >= F.lit(str(mark)).cast("date")))
     return inc.insert_overwrite(run1, run2, ["reporting_period"])
@@ -142,8 +153,9 @@ def incr_balance_scd2(t: Tables) -> DataFrame:
     """Balance periods after the 14-day balance increment: periods of every
     account touched by the increment are rebuilt from the account's whole
     stored history, keyed (account_id, effective_start_date)."""
-    balances = incr_merge(t)
-    run1 = facts.dim_account_balance_scd2(t, facts.fct_account_daily_balance(t, as_of=BALANCE_RUN1_AS_OF))
+    run1_balances = stored(facts.fct_account_daily_balance(t, as_of=BALANCE_RUN1_AS_OF))
+    balances = _merge_balance_increment(t, run1_balances)
+    run1 = facts.dim_account_balance_scd2(t, run1_balances)
     window_start = ORDERS_AS_OF - dt.timedelta(days=BALANCE_LOOKBACK_DAYS)
     touched = balances.where(F.col("balance_date") >= F.lit(str(window_start)).cast("date")) \
         .select("account_id").distinct()

@@ -21,12 +21,15 @@ def memo(fn):
 
     @functools.wraps(fn)
     def wrapper(t, *args, **kwargs):
-        if args or kwargs:
+        k = (key, args, tuple(sorted(kwargs.items())))
+        try:
+            hash(k)
+        except TypeError:  # e.g. a DataFrame argument: build afresh
             return fn(t, *args, **kwargs)
         c = _cache(t)
-        if key not in c:
-            c[key] = fn(t)
-        return c[key]
+        if k not in c:
+            c[k] = fn(t, *args, **kwargs)
+        return c[k]
     return wrapper
 
 
