@@ -200,15 +200,21 @@ def entity_ratings(t: Tables) -> DataFrame:
     return cust.unionByName(acc).unionByName(pol)
 
 
+@memo
+def daily_risk_scores(t: Tables) -> DataFrame:
+    """The latest score of each (entity, type, day): the rows of the risk fact
+    (its ratings join is a left join on a unique key and adds columns only)."""
+    s = t.stg_risk_scores().select(
+        "entity_id", "entity_type", "risk_score", F.upper("risk_category").alias("risk_category"),
+        F.col("score_date").cast("date").alias("score_day"), F.col("score_date").alias("score_ts"), "score_id")
+    return latest_per_key(s, ["entity_id", "entity_type", "score_day"], "score_ts", "score_id")
+
+
 @shared("fct_risk_score")
 def fct_risk_score(t: Tables) -> DataFrame:
     """One score per (entity, type, day): the latest of the day (merge-key
     semantics), with the entity's current rating."""
-    s = t.stg_risk_scores().select(
-        "entity_id", "entity_type", "risk_score", F.upper("risk_category").alias("risk_category"),
-        F.col("score_date").cast("date").alias("score_day"), F.col("score_date").alias("score_ts"), "score_id")
-    daily = latest_per_key(s, ["entity_id", "entity_type", "score_day"], "score_ts", "score_id")
-    j = daily.join(entity_ratings(t), ["entity_id", "entity_type"], "left")
+    j = daily_risk_scores(t).join(entity_ratings(t), ["entity_id", "entity_type"], "left")
     return j.select(
         surrogate_key("entity_id", "entity_type", "score_day").alias("risk_score_sk"),
         "entity_id", "entity_type", "risk_score", "risk_category", "historic_risk_rating",
@@ -249,9 +255,9 @@ def fct_product_performance(t: Tables) -> DataFrame:
     mc = (fct_claims(t).groupBy("product_code", _month("claim_reported_date").alias("month"))
           .agg(F.sum("incurred_amount").cast(MONEY_SUM).alias("mc_incurred")))
     pol = dims.current_policy(t).select(F.col("policy_id").alias("entity_id"), "product_code")
-    risk = (fct_risk_score(t).where(F.col("entity_type") == "POLICY")
+    risk = (daily_risk_scores(t).where(F.col("entity_type") == "POLICY")
             .join(pol, "entity_id")
-            .groupBy("product_code", _month("score_date").alias("month"))
+            .groupBy("product_code", _month("score_day").alias("month"))
             .agg(exact_avg("risk_score").alias("avg_risk_score")))
     pm = mp.join(mc, ["product_code", "month"], "full_outer")
     zero = F.lit(0).cast(MONEY_SUM)

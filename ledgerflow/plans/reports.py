@@ -20,8 +20,8 @@ def _month(c: str):
 
 def policy_risk_by_month(t: Tables) -> DataFrame:
     """Average risk score per policy and month (scores of entity_type POLICY)."""
-    return (facts.fct_risk_score(t).where(F.col("entity_type") == "POLICY")
-            .groupBy(F.col("entity_id").alias("policy_id"), _month("score_date").alias("period"))
+    return (facts.daily_risk_scores(t).where(F.col("entity_type") == "POLICY")
+            .groupBy(F.col("entity_id").alias("policy_id"), _month("score_day").alias("period"))
             .agg(exact_avg("risk_score").alias("avg_risk_score")))
 
 
