@@ -104,13 +104,26 @@ def fct_credit_exposure(t: Tables) -> DataFrame:
 
 
 # ---- insurance -----------------------------------------------------------------
-@shared("fct_premium")
-def fct_premium(t: Tables) -> DataFrame:
+@memo
+def premium_base(t: Tables) -> DataFrame:
     p = t.stg_premium_transactions()
     ptype = F.upper("premium_type")
-    base = p.select("premium_txn_id", "policy_id", F.col("posting_date").cast("date").alias("premium_date"),
+    return p.select("premium_txn_id", "policy_id", F.col("posting_date").cast("date").alias("premium_date"),
                     ptype.alias("premium_type"), "amount", "currency_code")
-    j = base.join(dims.policy_context(t), "policy_id")
+
+
+@memo
+def premium_lines(t: Tables) -> DataFrame:
+    """The premium fact's rows with the measures reports need: premiums of
+    policies with a current version, signed, with the policy's product. The
+    fact's customer context only adds columns, so reports skip it."""
+    return (premium_base(t).join(dims.current_policy(t).select("policy_id", "product_code"), "policy_id")
+            .withColumn("premium_amount", signed_amount("amount", "premium_type", "REFUND")))
+
+
+@shared("fct_premium")
+def fct_premium(t: Tables) -> DataFrame:
+    j = premium_base(t).join(dims.policy_context(t), "policy_id")
     return j.select(
         surrogate_key("premium_txn_id").alias("premium_sk"),
         "premium_txn_id", "policy_id", "policy_sk", "customer_id", "premium_date", "premium_type",
@@ -125,23 +138,39 @@ def fct_claims(t: Tables) -> DataFrame:
     Payments and reserves are aggregated per claim before the join, and both
     join the claims on claim_id; the policy context joins once on policy_id.
     """
+    j = _claims_with_amounts(t).join(dims.policy_context(t), "policy_id")
+    return j.select(
+        surrogate_key("claim_id").alias("claim_sk"),
+        "claim_id", "policy_id", "policy_sk", "customer_id", "claim_reported_date", "loss_date",
+        "claim_type", "claim_status",
+        F.col("paid_amt").alias("paid_amount"), F.col("res_amt").alias("reserve_amount"),
+        (F.col("paid_amt") + F.col("res_amt")).cast(MONEY_SUM).alias("incurred_amount"),
+        "product_code", "risk_rating")
+
+
+@memo
+def _claims_with_amounts(t: Tables) -> DataFrame:
     c = t.stg_claims().select(
         "claim_id", "policy_id", F.col("claim_reported_date").cast("date").alias("claim_reported_date"),
         F.col("loss_date").cast("date").alias("loss_date"), "claim_type", "claim_status")
     paid = t.stg_claim_payments().groupBy("claim_id").agg(F.sum("payment_amount").alias("total_paid_amount"))
     res = t.stg_claim_reserves().groupBy("claim_id").agg(F.max("reserve_amount").alias("current_reserve_amount"))
-    j = (c.join(paid, "claim_id", "left").join(res, "claim_id", "left")
-         .join(dims.policy_context(t), "policy_id"))
     zero = F.lit(0).cast(MONEY_SUM)
     paid_amt = F.coalesce(F.col("total_paid_amount").cast(MONEY_SUM), zero)
     res_amt = F.coalesce(F.col("current_reserve_amount").cast(MONEY_SUM), zero)
-    return j.select(
-        surrogate_key("claim_id").alias("claim_sk"),
-        "claim_id", "policy_id", "policy_sk", "customer_id", "claim_reported_date", "loss_date",
-        "claim_type", "claim_status",
-        paid_amt.alias("paid_amount"), res_amt.alias("reserve_amount"),
-        (paid_amt + res_amt).cast(MONEY_SUM).alias("incurred_amount"),
-        "product_code", "risk_rating")
+    return (c.join(paid, "claim_id", "left").join(res, "claim_id", "left")
+            .withColumn("paid_amt", paid_amt).withColumn("res_amt", res_amt))
+
+
+@memo
+def claim_lines(t: Tables) -> DataFrame:
+    """The claims fact's rows (claims of policies with a current version) with
+    paid and incurred amounts and the policy's product, without the customer
+    context the reports do not use."""
+    j = _claims_with_amounts(t).join(dims.current_policy(t).select("policy_id", "product_code"), "policy_id")
+    return j.select("claim_id", "policy_id", "claim_reported_date", "product_code",
+                    F.col("paid_amt").alias("paid_amount"),
+                    (F.col("paid_amt") + F.col("res_amt")).cast(MONEY_SUM).alias("incurred_amount"))
 
 
 @memo
@@ -229,9 +258,9 @@ def fct_loss_ratio(t: Tables) -> DataFrame:
     """Per current policy and claim month: incurred, premium in the same month,
     ratio (null when premium is 0). Policies without claims keep one row with
     a null month."""
-    mc = (fct_claims(t).groupBy("policy_id", _month("claim_reported_date").alias("claim_month"))
+    mc = (claim_lines(t).groupBy("policy_id", _month("claim_reported_date").alias("claim_month"))
           .agg(F.sum("incurred_amount").cast(MONEY_SUM).alias("mc_incurred")))
-    mp = (fct_premium(t).groupBy("policy_id", _month("premium_date").alias("premium_month"))
+    mp = (premium_lines(t).groupBy("policy_id", _month("premium_date").alias("premium_month"))
           .agg(F.sum("premium_amount").cast(MONEY_SUM).alias("mp_premium")))
     pc = dims.current_policy(t).select("policy_id", "product_code")
     j = (pc.join(mc, "policy_id", "left")
@@ -250,9 +279,9 @@ def fct_loss_ratio(t: Tables) -> DataFrame:
 def fct_product_performance(t: Tables) -> DataFrame:
     """Per product and month: premium, incurred, ratio and average policy risk;
     the full outer join keeps claim-only months with their product and month."""
-    mp = (fct_premium(t).groupBy("product_code", _month("premium_date").alias("month"))
+    mp = (premium_lines(t).groupBy("product_code", _month("premium_date").alias("month"))
           .agg(F.sum("premium_amount").cast(MONEY_SUM).alias("mp_premium")))
-    mc = (fct_claims(t).groupBy("product_code", _month("claim_reported_date").alias("month"))
+    mc = (claim_lines(t).groupBy("product_code", _month("claim_reported_date").alias("month"))
           .agg(F.sum("incurred_amount").cast(MONEY_SUM).alias("mc_incurred")))
     pol = dims.current_policy(t).select(F.col("policy_id").alias("entity_id"), "product_code")
     risk = (daily_risk_scores(t).where(F.col("entity_type") == "POLICY")

@@ -29,11 +29,11 @@ def rpt_fca_returns(t: Tables) -> DataFrame:
     """Per current policy and premium month: total and earned premium, claims
     incurred in the month, average risk. Each side is aggregated before the
     join, so premiums and claims of one month never multiply each other."""
-    prem = (facts.fct_premium(t).groupBy("policy_id", _month("premium_date").alias("period"))
+    prem = (facts.premium_lines(t).groupBy("policy_id", _month("premium_date").alias("period"))
             .agg(F.sum("premium_amount").cast(MONEY_SUM).alias("total_premium"),
                  F.sum(F.when(F.col("premium_type") == "EARNED", F.col("premium_amount"))
                        .otherwise(F.lit(0))).cast(MONEY_SUM).alias("earned_premium")))
-    clm = (facts.fct_claims(t).groupBy("policy_id", _month("claim_reported_date").alias("period"))
+    clm = (facts.claim_lines(t).groupBy("policy_id", _month("claim_reported_date").alias("period"))
            .agg(F.sum("incurred_amount").cast(MONEY_SUM).alias("_claims")))
     mf = (prem.join(clm, ["policy_id", "period"], "left")
           .withColumn("total_claims", F.coalesce(F.col("_claims"), F.lit(0).cast(MONEY_SUM))))
@@ -47,12 +47,12 @@ def rpt_fca_returns_literal(t: Tables) -> DataFrame:
 
     The same totals come from per-side sums and row counts, without forming
     the premium x claim pairs (which grow quadratically on a busy policy)."""
-    prem = (facts.fct_premium(t).groupBy("policy_id", _month("premium_date").alias("period"))
+    prem = (facts.premium_lines(t).groupBy("policy_id", _month("premium_date").alias("period"))
             .agg(F.sum("premium_amount").alias("_p"),
                  F.sum(F.when(F.col("premium_type") == "EARNED", F.col("premium_amount"))
                        .otherwise(F.lit(0))).alias("_e"),
                  F.count(F.lit(1)).alias("_np")))
-    clm = (facts.fct_claims(t).groupBy("policy_id", _month("claim_reported_date").alias("period"))
+    clm = (facts.claim_lines(t).groupBy("policy_id", _month("claim_reported_date").alias("period"))
            .agg(F.sum(F.coalesce("incurred_amount", F.lit(0))).alias("_c"), F.count(F.lit(1)).alias("_nc")))
     j = prem.join(clm, ["policy_id", "period"], "left")
     rep = F.greatest(F.coalesce(F.col("_nc"), F.lit(0)), F.lit(1))
@@ -74,13 +74,13 @@ def _fca_final(t: Tables, mf: DataFrame) -> DataFrame:
 
 
 def _ifrs(t: Tables, reserve_summary: DataFrame) -> DataFrame:
-    prem = facts.fct_premium(t)
+    prem = facts.premium_lines(t)
     ps = prem.groupBy("policy_id", _month("premium_date").alias("reporting_period")).agg(
         F.sum(F.when(F.col("premium_type") == "WRITTEN", F.col("premium_amount")).otherwise(F.lit(0)))
         .cast(MONEY_SUM).alias("written_premium"),
         F.sum(F.when(F.col("premium_type") == "EARNED", F.col("premium_amount")).otherwise(F.lit(0)))
         .cast(MONEY_SUM).alias("earned_premium"))
-    cs = facts.fct_claims(t).groupBy("policy_id", _month("claim_reported_date").alias("reporting_period")).agg(
+    cs = facts.claim_lines(t).groupBy("policy_id", _month("claim_reported_date").alias("reporting_period")).agg(
         F.sum(F.coalesce("paid_amount", F.lit(0))).cast(MONEY_SUM).alias("total_paid"),
         F.sum(F.coalesce("incurred_amount", F.lit(0))).cast(MONEY_SUM).alias("total_incurred"))
     icm = t.stg_ifrs_contract_metrics()
