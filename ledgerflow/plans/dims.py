@@ -117,8 +117,15 @@ def dim_account_lifecycle(t: Tables) -> DataFrame:
 # ---- current-record contexts (dimension-sized; joined to facts once) -------
 @memo
 def current_customer(t: Tables) -> DataFrame:
-    return (dim_customer_360(t).where("is_current_record")
-            .select("customer_id", "risk_rating", F.col("country_code").alias("customer_country")))
+    """Current record of dim_customer_360 (risk rating, country). Read from the
+    materialised dimension when the pipeline has built it; otherwise taken
+    straight from the change log's last entry per customer, which avoids
+    building the whole version chain."""
+    if "dim_customer_360" in getattr(t, "materialized", {}):
+        cur = dim_customer_360(t).where("is_current_record")
+    else:
+        cur = t.customer_current()
+    return cur.select("customer_id", "risk_rating", F.col("country_code").alias("customer_country"))
 
 
 @memo

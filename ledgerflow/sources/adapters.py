@@ -186,6 +186,20 @@ class Tables:
             F.col("nd").alias("dbt_valid_to"),
         )
 
+    def customer_current(self) -> DataFrame:
+        """The open version of ``customer_snapshot`` for each customer, in one
+        grouped aggregate: the last order of the customer's latest order day
+        (highest order key). Same attribute mapping as the history."""
+        o = self.raw("orders")
+        last = (o.groupBy("o_custkey")
+                .agg(F.max_by(F.struct("o_orderstatus", "o_orderpriority"),
+                              F.struct("o_orderdate", "o_orderkey")).alias("last")))
+        c = self._customer_nation().select("c_custkey", "n_name")
+        return last.join(c, F.col("o_custkey") == F.col("c_custkey")).select(
+            F.col("o_custkey").alias("customer_id"),
+            F.col("last.o_orderpriority").alias("risk_rating"),
+            F.col("n_name").alias("country_code"))
+
     # ---- policies and products --------------------------------------------
     def stg_policies(self) -> DataFrame:
         o = self.raw("orders")
