@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import curriculum_mix, license_scan
+from . import curriculum_mix, license_scan, pii
 from .common import table
 
 
@@ -14,6 +14,10 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 def op10_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curriculum_mix.in_training_order(curriculum_mix.curriculum(table(spark, sf_dir, "documents")))
 

@@ -1,0 +1 @@
+"""The tests of this folder use the session fixture of the folder above."""
