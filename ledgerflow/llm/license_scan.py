@@ -49,7 +49,7 @@ TEMPLATES = {
 }
 THRESHOLD = (8, 10)  # eight tenths of a template's distinct words
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"  # what stands between the words of a lower-cased text
 BLOCK_END = r"[\n\r]+|(?<=[.!?])[ \t]+"
 
 
@@ -62,7 +62,13 @@ def lowered(text: Column) -> Column:
 
 
 def _words(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+    """The words of a lower-cased text; an empty string may stand at either end."""
+    return F.split(text, BETWEEN, -1)
+
+
+def _count(words: Column) -> Column:
+    ends = (F.element_at(words, 1) == "").cast("long") + (F.element_at(words, -1) == "").cast("long")
+    return F.greatest(F.size(words) - ends, F.lit(0)).cast("long")
 
 
 def _needed(size: int, threshold) -> int:
@@ -116,8 +122,8 @@ def scan(documents: DataFrame, phrases: Mapping[str, str] = PHRASES, templates:
     base = low.select("doc_id", "low", _words(F.col("low")).alias("words"))
     hit = lambda ws: F.arrays_overlap("words", _literal(ws))
     starters = sorted({p.split()[-1] for p in phrases})
-    flagged = base.select("doc_id", F.size("words").cast("long").alias("n_words"),
-                          F.when(hit(starters), F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" "))).alias("line"),
+    flagged = base.select("doc_id", _count(F.col("words")).alias("n_words"),
+                          F.when(hit(starters), F.concat(F.lit(" "), F.trim(F.array_join("words", " ")), F.lit(" "))).alias("line"),
                           F.when(hit(prefixes), F.col("low")).alias("candidate"))
 
     found, labels = [], []
