@@ -40,5 +40,19 @@ from p
 """
 
 
+EXACT_TOPK = r"""
+with e as (
+  select vec_id, [floor(64 * cast(x as double)) for x in embedding] as v from embeddings
+  where vec_id is not null and len(embedding) > 0
+    and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+d as (select vec_id, min(v) as v from e group by vec_id),
+s as (
+  select q.vec_id as query_id, d.vec_id, cast(list_inner_product(q.v, d.v) as bigint) as score
+  from d q join d on q.vec_id <> d.vec_id and len(q.v) = len(d.v) where q.vec_id % 20 = 0),
+r as (select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank from s)
+select query_id, rank, vec_id, score from r where rank <= 20
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op10_curriculum_mix": CURRICULUM_MIX}
+    return {"op3_exact_topk": EXACT_TOPK, "op10_curriculum_mix": CURRICULUM_MIX}
