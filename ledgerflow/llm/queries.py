@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import curriculum_mix, exact_topk, license_scan, pii
+from . import ann, curriculum_mix, exact_topk, license_scan, pii
 from .common import table
 
 
@@ -14,6 +14,10 @@ def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk.search(table(spark, sf_dir, "embeddings"))
 
 
+def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"))
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
