@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, curriculum_mix, exact_topk, license_scan, pii
+from . import ann, curriculum_mix, exact_topk, license_scan, packing, pii, token_counts
 from .common import table
 
 
@@ -14,6 +14,17 @@ def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk.search(table(spark, sf_dir, "embeddings"))
 
 
+def vocabulary() -> str:
+    """Where the workers find the vocabulary file; the package is installed on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count(table(spark, sf_dir, "documents"), vocabulary())
+
+
 def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"))
 
@@ -22,6 +33,10 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary())
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"))
 
