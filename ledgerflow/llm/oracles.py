@@ -54,5 +54,18 @@ select query_id, rank, vec_id, score from r where rank <= 20
 """
 
 
+WARC = r"""
+with p as (select page_id, url, coalesce(html, '') as html, sha1(coalesce(html, '')) as h from pages),
+o as (select *, max(page_id) over (partition by h) as owner from p),
+r as (select *, case when page_id is null or page_id < owner then owner end as refers_to from o)
+select page_id, cast(strlen(html) as bigint) as payload_bytes, url, refers_to,
+  array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + cast((cast('0x' || substr(h, cast(1 + 5 * (i // 4) as int), 5) as bigint) >> cast(15 - 5 * (i % 4) as bigint)) & 31 as int), 1)
+    for i in range(32)], '') as payload_digest,
+  case when refers_to is null then 'response' else 'revisit' end as record_type
+from r
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_topk": EXACT_TOPK, "op10_curriculum_mix": CURRICULUM_MIX}
+    return {"op2_warc": WARC, "op3_exact_topk": EXACT_TOPK, "op10_curriculum_mix": CURRICULUM_MIX}

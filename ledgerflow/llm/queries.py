@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, curriculum_mix, exact_topk, license_scan, packing, pii, token_counts
+from . import ann, curriculum_mix, exact_topk, license_scan, packing, pii, token_counts, warc
 from .common import table
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(spark, table(spark, sf_dir, "pages"))
+
+
 def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk.search(table(spark, sf_dir, "embeddings"))
 
