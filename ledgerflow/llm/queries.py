@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, curriculum_mix, exact_topk, license_scan, packing, pii, token_counts, warc
+from . import ann, curriculum_mix, exact_topk, jaccard_join, license_scan, packing, pii, token_counts, warc
 from .common import table
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(spark, table(spark, sf_dir, "pages"))
 
