@@ -135,9 +135,9 @@ def in_training_order(mixed: DataFrame) -> DataFrame:
 def copies(documents: DataFrame, columns: list[str], **options) -> DataFrame:
     """The mixed corpus: every document once for each pass that takes at least
     half of its words, whole, in training order. Documents without words stay."""
-    mixed = curriculum(documents, keep=tuple(c for c in columns if c not in ("doc_id", "source", "size"))
-                       + (("source",) if "source" in columns else ()), **options)
+    whole = F.struct(*[F.col(f"`{c}`") for c in columns]).alias("__row")
+    mixed = curriculum(documents.select("doc_id", "text", "source", whole), keep=("__row",), **options)
     times = F.when(F.col("size") == 0, 1).otherwise(F.floor((F.col("taken") * 2 + F.col("size")) / (F.col("size") * 2)))
     return (in_training_order(mixed.withColumn("times", times.cast("int")).where("times > 0"))
             .withColumn("time", F.explode(F.sequence(F.lit(1), F.col("times"))))
-            .select(*columns))
+            .select("__row.*"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, curriculum_mix, exact_topk, jaccard_join, license_scan, packing, pii, token_counts, warc
+from . import ann, curriculum_mix, exact_topk, jaccard_join, license_scan, packing, pii, quality, token_counts, warc
 from .common import table
 
 
@@ -22,6 +22,10 @@ def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk.search(table(spark, sf_dir, "embeddings"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def vocabulary() -> str:
     """Where the workers find the vocabulary file; the package is installed on every machine."""
     import public_tokenizers

@@ -4,11 +4,15 @@ import numpy as np
 import public_tokenizers
 import pytest
 from conftest import SF_SMALL
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from ledgerflow.llm import packing
+from ledgerflow.llm.chunks import by_text
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
+LIBRARY = Tokenizer.from_file(PATH)
 
 
 def check(rows, texts, window=1024):
@@ -56,6 +60,18 @@ def test_nulls_copies_and_empty_table(spark):
     assert packing.pack(spark.createDataFrame([], schema), PATH).count() == 0
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.one_of(st.characters(max_codepoint=0x24F), st.sampled_from(" \n\t'\u3000\u00e9\u6f22"), st.characters(exclude_categories=["Cs", "Cn"])), max_size=24))
+def test_ids_equal_the_library(text):
+    ids = b"".join(next(iter(by_text([text], packing.encoder(PATH), b"".join))))
+    assert np.frombuffer(ids, "<u4").tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
+
+
+def test_the_file_is_read_by_ranks():
+    special, ids = packing.merges_in_id_order(PATH)
+    assert special == ["<|endoftext|>"] and ids(" hello world") == LIBRARY.encode(" hello world", add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("window", [16, 64])
 def test_plan_uses_every_count_once(window):
     rng = np.random.default_rng(window)
