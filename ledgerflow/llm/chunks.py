@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 CUT = re.compile(r"(?<=\S)(?= )")
 ODD = re.compile(r"\s ")
-AT_A_TIME = 2_000_000  # characters whose pieces are held at once
+AT_A_TIME = 4_000_000  # characters whose pieces are held at once
 
 
 def segments(text: str, length: int = AT_A_TIME) -> Iterator[tuple[bool, str]]:
@@ -51,26 +51,25 @@ def keys(segment: str, spaced: bool) -> list[str]:
 class Recent:
     """Values of the keys of about the last ``2 * limit`` different keys."""
 
-    def __init__(self, compute: Callable[[list[str]], Iterable], limit: int = 300_000):
-        self.compute, self.limit, self.young, self.old = compute, limit, {}, {}
+    def __init__(self, compute: Callable[[list[str]], Iterable], limit: int = 500_000):
+        self.compute, self.limit, self.young, self.old, self.long = compute, limit, {}, {}, []
 
     def of(self, keys: set[str]) -> dict[str, object]:
-        """A value for every key. What is not remembered is computed together."""
-        got, unknown = {}, []
-        for k in keys:
-            v = self.young.get(k)
-            if v is None:
-                v = self.old.get(k)
-                if v is None:
-                    unknown.append(k)
-                    continue
-                self.young[k] = v
-            got[k] = v
-        fresh = dict(zip(unknown, self.compute(unknown), strict=True)) if unknown else {}
-        self.young |= {k: v for k, v in fresh.items() if len(k) <= 100}
+        """A table with a value for each of ``keys``, good until the next call.
+        What is not remembered is computed together."""
+        for k in self.long:  # not worth remembering
+            self.young.pop(k, None)
+        self.long.clear()
         if len(self.young) > self.limit:
             self.old, self.young = self.young, {}
-        return got | fresh
+        missing = keys - self.young.keys()
+        known = missing & self.old.keys()
+        self.young.update(zip(known, map(self.old.__getitem__, known), strict=True))
+        unknown = list(missing - known)
+        if unknown:
+            self.young.update(zip(unknown, self.compute(unknown), strict=True))
+            self.long.extend(k for k in unknown if len(k) > 100)
+        return self.young
 
 
 def by_text(texts: Iterable[str], recent: Recent, fold: Callable[[Iterable], object], length: int = AT_A_TIME) -> Iterator[list]:
@@ -79,14 +78,13 @@ def by_text(texts: Iterable[str], recent: Recent, fold: Callable[[Iterable], obj
     ``recent`` computes values of pieces with a leading space; a text's first
     piece, which has none, is asked for as ``"\\x00" + piece``.
     """
-    held: list[list[list[str]]] = []
+    held: list[list[str]] = []
     size = 0
 
     def flush():
-        wanted = {p for parts in held for ps in parts for p in ps}
-        values = recent.of(wanted)
-        for parts in held:
-            yield [fold(map(values.__getitem__, ps)) for ps in parts]
+        value = recent.of(set().union(*held)).__getitem__
+        for ps in held:
+            yield [fold(map(value, ps))]
         held.clear()
 
     for text in texts:
@@ -99,7 +97,7 @@ def by_text(texts: Iterable[str], recent: Recent, fold: Callable[[Iterable], obj
                 out.append(fold(map(recent.of(set(ps)).__getitem__, ps)))
             yield out
             continue
-        held.append([keys(text, False)])
+        held.append(keys(text, False))
         size += len(text)
         if size >= length:
             yield from flush()
