@@ -50,14 +50,20 @@ def _lit_like(value, dtype: str | None = None) -> Column:
     return c.cast(dtype) if dtype else c
 
 
+def past_mark(source_col: Column, target: DataFrame | None, target_col: str, inclusive: bool = False,
+              default: str = DEFAULT_MARK, as_type: str = "timestamp_ntz") -> Column:
+    """The condition ``source_col > coalesce(max(target_col), default)`` (``>=`` when
+    inclusive) with the mark as a literal, so that it reaches the source's scan."""
+    m = _lit_like(high_water_mark(target, target_col, default), as_type)
+    return source_col >= m if inclusive else source_col > m
+
+
 def hwm_filter(source: DataFrame, source_col: str, target: DataFrame | None, target_col: str,
                inclusive: bool = False, default: str = DEFAULT_MARK, as_type: str | None = None) -> DataFrame:
-    """``source_col > coalesce(max(target_col), default)`` (``>=`` when inclusive)."""
-    mark = high_water_mark(target, target_col, default)
-    typ = as_type or source.schema[source_col].dataType.simpleString()
-    m = _lit_like(mark, typ)
-    c = F.col(source_col).cast(typ) if as_type else F.col(source_col)
-    return source.where(c >= m if inclusive else c > m)
+    """Rows of ``source`` past the target's mark."""
+    c = F.col(source_col).cast(as_type) if as_type else F.col(source_col)
+    return source.where(past_mark(c, target, target_col, inclusive, default,
+                                  as_type or source.schema[source_col].dataType.simpleString()))
 
 
 def incremental_filter(source: DataFrame, col: str, target: DataFrame | None, target_col: str | None = None,
@@ -67,10 +73,19 @@ def incremental_filter(source: DataFrame, col: str, target: DataFrame | None, ta
     return hwm_filter(source, col, target, target_col or col, inclusive=True, as_type=as_type)
 
 
-def append_new(target: DataFrame | None, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+def append_new(target: DataFrame | None, new: DataFrame, keys: Sequence[str], boundary: str | None = None) -> DataFrame:
+    """``target`` plus the rows of ``new`` whose key it does not hold. With ``boundary``,
+    the column that the inclusive mark was taken from, only the target's rows on the
+    mark can repeat a key: the anti-join reads those alone."""
     if target is None:
         return new
-    fresh = new.join(target.select(*keys), list(keys), "left_anti")
+    known = target
+    if boundary:
+        mark = high_water_mark(target, boundary, None)
+        if mark is None:
+            return target.unionByName(new)
+        known = target.where(F.col(boundary) >= _lit_like(mark, target.schema[boundary].dataType.simpleString()))
+    fresh = new.join(known.select(*keys), list(keys), "left_anti")
     return target.unionByName(fresh)
 
 

@@ -50,10 +50,14 @@ def fct_transactions(t: Tables) -> DataFrame:
 
 @memo
 def daily_net(t: Tables) -> DataFrame:
-    """Net signed amount per account and day (the fact's rows; its left joins
-    never drop a transaction, so the base rows are read directly)."""
-    return (base_transactions(t).groupBy("account_id", F.col("transaction_date").alias("balance_date"))
-            .agg(F.sum("signed_amount").alias("daily_net_amount")))
+    """Net signed amount per account and day, summed straight from the orders:
+    customers and countries have no part in it, so the first exchange comes
+    after the partial sums. Accounts that do not exist have no day to enter."""
+    ttype = F.upper("transaction_type")
+    return (t.stg_transactions_lean()
+            .select("account_id", F.col("transaction_timestamp").cast("date").alias("balance_date"),
+                    signed_amount("amount", ttype, "DEBIT").alias("signed_amount"))
+            .groupBy("account_id", "balance_date").agg(F.sum("signed_amount").alias("daily_net_amount")))
 
 
 @shared("fct_account_daily_balance")

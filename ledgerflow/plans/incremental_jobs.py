@@ -46,10 +46,9 @@ def incr_append(t: Tables) -> DataFrame:
     """fct_premium: run 2 reads postings on or after the loaded mark and appends
     the ones whose key is new (idempotent on the boundary day)."""
     run1 = stored(facts.fct_premium(t.restrict(stg_premium_transactions=F.col("posting_date") < _ts(PREMIUM_CUTOFF))))
-    mark = inc.high_water_mark(run1, "premium_date")
-    since = F.col("posting_date").cast("date") >= F.lit(str(mark)).cast("date")
+    since = inc.past_mark(F.col("posting_date").cast("date"), run1, "premium_date", inclusive=True, as_type="date")
     run2 = facts.fct_premium(t.restrict(stg_premium_transactions=since))
-    return inc.append_new(run1, run2, ["premium_sk"])
+    return inc.append_new(run1, run2, ["premium_sk"], boundary="premium_date")
 
 
 @job("hwm_filter")
@@ -58,8 +57,7 @@ def hwm_filter(t: Tables) -> DataFrame:
     coalesce(max(snapshot_date), '1900-01-01')."""
     cut = F.col("reserve_snapshot_date") <= F.lit(RESERVE_CUTOFF).cast("date")
     run1 = stored(facts.fct_claim_reserve_snapshots(t.restrict(stg_claim_reserves_snapshots=cut)))
-    mark = inc.high_water_mark(run1, "snapshot_date")
-    newer = F.col("reserve_snapshot_date") > F.lit(str(mark)).cast("date")
+    newer = inc.past_mark(F.col("reserve_snapshot_date"), run1, "snapshot_date", as_type="date")
     run2 = facts.fct_claim_reserve_snapshots(t.restrict(stg_claim_reserves_snapshots=newer))
     return run1.unionByName(run2)
 
@@ -68,9 +66,9 @@ def hwm_filter(t: Tables) -> DataFrame:
 def incremental_filter(t: Tables) -> DataFrame:
     """fct_transactions: inclusive mark on transaction_ts plus anti-join on key."""
     run1 = stored(facts.fct_transactions(t.restrict(stg_transactions=F.col("transaction_timestamp") < _ts(TXN_CUTOFF))))
-    mark = inc.high_water_mark(run1, "transaction_ts")
-    run2 = facts.fct_transactions(t.restrict(stg_transactions=F.col("transaction_timestamp") >= F.lit(mark)))
-    return inc.append_new(run1, run2, ["transaction_sk"])
+    since = inc.past_mark(F.col("transaction_timestamp"), run1, "transaction_ts", inclusive=True, as_type="timestamp_ntz")
+    run2 = facts.fct_transactions(t.restrict(stg_transactions=since))
+    return inc.append_new(run1, run2, ["transaction_sk"], boundary="transaction_ts")
 
 
 def _merge_balance_increment(t: Tables, run1: DataFrame) -> DataFrame:
@@ -141,7 +139,7 @@ def incr_spending(t: Tables) -> DataFrame:
     updated after the mark touch some groups, and those groups are recomputed
     from all their rows (a partial group never replaces a whole one)."""
     src = t.retail_daily_transactions()
-    run1 = reports.spending(src.where(F.col("last_updated_at") < _ts(SPENDING_CUTOFF)))
+    run1 = stored(reports.spending(src.where(F.col("last_updated_at") < _ts(SPENDING_CUTOFF))))
     changed = src.where(F.col("last_updated_at") >= _ts(SPENDING_CUTOFF))
     touched = changed.select(*reports.SPENDING_KEYS).distinct()
     run2 = reports.spending(src.join(touched, reports.SPENDING_KEYS, "left_semi"))
@@ -178,6 +176,6 @@ def incr_loss_ratio(t: Tables) -> DataFrame:
     start = F.trunc(F.add_months(F.lit(str(ORDERS_AS_OF)).cast("date"), -LOSS_RATIO_LOOKBACK_MONTHS), "month")
     before = t.restrict(stg_claims=F.col("claim_reported_date").cast("date") < start,
                         stg_premium_transactions=F.col("posting_date").cast("date") < start)
-    run1 = facts.fct_loss_ratio(before)
+    run1 = stored(facts.fct_loss_ratio(before))
     recent = facts.fct_loss_ratio(t).where((F.col("period_month") >= start) | F.col("period_month").isNull())
     return inc.insert_overwrite(run1, recent, ["period_month"])

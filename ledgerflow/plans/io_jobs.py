@@ -31,7 +31,7 @@ def csv_staging_scan(t: Tables) -> DataFrame:
     """Meter reads staged as many CSV files, read back as one table."""
     path = files.scratch_dir(t.spark, "staging_csv")
     reads = t.meter_reads()
-    files.write_staging_csv(reads.repartition(8), path)
+    files.write_staging_csv(reads, path)
     return files.read_staging_csv(t.spark, path, reads.schema)
 
 
@@ -60,18 +60,19 @@ def meter_output(t: Tables) -> DataFrame:
 
 @job("ingest_new_files")
 def ingest_new_files(t: Tables) -> DataFrame:
-    """Two arrivals of event files; each ingestion reads only files missing
-    from the ledger, so every row lands once."""
+    """Two arrivals of event files; each ingestion reads only files of no
+    finished batch, so every row lands once; copies go to Processed and Backup."""
     root = files.scratch_dir(t.spark, "ingest")
     raw, ledger, table = f"{root}/raw", f"{root}/ledger", f"{root}/table"
     ev = _event_rows(t)
     split = F.lit(SPLIT_DAY).cast("date")
-    files.write_staging_csv(ev.where(F.col("event_day") < split), f"{raw}/arrival1")
-    files.ingest_new_files(t.spark, raw, ledger, EVENT_FILE_SCHEMA, table, "b1")
-    files.write_staging_csv(ev.where(F.col("event_day") >= split), f"{raw}/arrival2")
-    files.ingest_new_files(t.spark, raw, ledger, EVENT_FILE_SCHEMA, table, "b2")
-    files.ingest_new_files(t.spark, raw, ledger, EVENT_FILE_SCHEMA, table, "b3")  # nothing new
-    return t.spark.read.parquet(table)
+    arrivals = (("arrival1", ev.where(F.col("event_day") < split)), ("arrival2", ev.where(F.col("event_day") >= split)), (None, None))
+    for batch, (arrival, rows) in enumerate(arrivals, start=1):
+        if arrival:
+            files.write_staging_csv(rows, f"{raw}/{arrival}")
+        files.ingest_new_files(t.spark, raw, ledger, EVENT_FILE_SCHEMA, table, f"b{batch}",
+                               processed_dir=f"{raw}/Processed", backup_dir=f"{raw}/Backup")
+    return files.loaded(t.spark, table, ledger)
 
 
 @job("stream_ingest_files")
@@ -83,18 +84,17 @@ def stream_ingest_files(t: Tables) -> DataFrame:
     ev = _event_rows(t)
     split = F.lit(SPLIT_DAY).cast("date")
     files.write_staging_csv(ev.where(F.col("event_day") < split), f"{land}/arrival1")
-    streaming.stream_ingest(t.spark, f"{land}/*", EVENT_FILE_SCHEMA, table, ckpt, archive_dir=arch)
+    streaming.stream_merge(t.spark, f"{land}/*", EVENT_FILE_SCHEMA, table, ckpt, ["event_id"], archive_dir=arch)
     files.write_staging_csv(ev.where(F.col("event_day") >= split), f"{land}/arrival2")
-    streaming.stream_ingest(t.spark, f"{land}/*", EVENT_FILE_SCHEMA, table, ckpt, archive_dir=arch)
-    return t.spark.read.parquet(table)
+    streaming.stream_merge(t.spark, f"{land}/*", EVENT_FILE_SCHEMA, table, ckpt, ["event_id"], archive_dir=arch)
+    return streaming.merged(t.spark, table, ["event_id"])
 
 
 @job("stream_velocity_alerts")
 def stream_velocity_alerts(t: Tables) -> DataFrame:
-    """S2: per-account daily counts at or above 2 from a transaction stream;
-    days still open under the watermark are not emitted yet."""
+    """S2: per-account daily counts at or above 2 from a transaction stream, every day included."""
     root = files.scratch_dir(t.spark, "velocity")
     src = f"{root}/source"
     tx = t.stg_transactions().select("transaction_id", "account_id", "transaction_timestamp")
     tx.write.mode("overwrite").parquet(src)
-    return streaming.velocity_alerts(t.spark, src, tx.schema, f"{root}/alerts", f"{root}/_checkpoint")
+    return streaming.velocity_alerts(t.spark, src, tx.schema, f"{root}/counts", f"{root}/_checkpoint")

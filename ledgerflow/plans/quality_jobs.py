@@ -96,13 +96,17 @@ EXPRESSIONS = [
     ("fct_claim_reserve_snapshots", "reserve_amount >= 0"),
     ("dim_policy", "coalesce(effective_to, date '2999-12-31') > effective_from"),
 ]
-# Freshness: (source, adapter, loaded-at column, warn hours, error hours).
+# Freshness: (source, adapter, column, warn hours, error hours). The test tables carry no
+# load times: the newest business date or change time of each source stands for it.
 FRESHNESS = [
     ("claim_reserves_snapshots", "stg_claim_reserves_snapshots", "reserve_snapshot_date", 2, 6),
     ("claims", "stg_claims", "claim_reported_date", 6, 12),
     ("policies", "stg_policies", "policy_start_date", 6, 12),
     ("accounts", "stg_accounts", "account_open_date", 24, 48),
     ("transactions", "stg_transactions", "transaction_timestamp", 2, 6),
+    ("products", "product_prices", "last_updated_at", 24, 48),
+    ("customers", "crm_customer_changes", "last_updated_at", 24, 48),
+    ("calendar", "bank_holidays", "holiday_date", 168, 720),
 ]
 
 

@@ -20,6 +20,8 @@ from ..sources.adapters import Tables
 
 # Fixed run times of the replays (order-derived and event-derived logs).
 ORDER_RUNS = ("1997-01-01 00:00:00", "1999-01-01 00:00:00", "2001-08-02 00:00:00")
+# Price changes carry ship dates, which go on after the last order.
+PRICE_RUNS = (*ORDER_RUNS[:2], "2001-12-31 00:00:00")
 EVENT_RUNS = ("2024-01-10 00:00:00", "2024-01-20 00:00:00", "2024-01-31 00:00:00")
 # Orders purged from the source (hard deletes) and orders settled later.
 PURGED_BEFORE = "1996-01-01"
@@ -75,7 +77,7 @@ def snap_employee_role(t: Tables) -> DataFrame:
 
 def snap_product_price(t: Tables) -> DataFrame:
     return replay_change_log(t.product_prices(), ["product_code"], "last_updated_at", "change_id",
-                             ["product_code", "price", "last_updated_at"], ORDER_RUNS)
+                             ["product_code", "price", "last_updated_at"], PRICE_RUNS)
 
 
 ORDER_COLS = ["order_id", "customer_id", "order_date", "order_status", "payment_status",

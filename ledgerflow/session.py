@@ -42,23 +42,22 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def apply_job_configs(spark: SparkSession) -> None:
-    for k, v in JOB_CONFIGS.items():
-        try:
-            spark.conf.set(k, v)
-        except Exception:  # static conf on a running session
-            pass
+    for k, v in JOB_CONFIGS.items():  # all can be set on a running session
+        spark.conf.set(k, v)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared ``spark.checkpoint.dir``; set one only when unset (tests)."""
+    """The cluster's shared ``spark.checkpoint.dir``. Only in local mode, where the
+    driver is the only executor, a missing one is set to a temporary folder."""
     current = spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        spark.sparkContext.setCheckpointDir(current)
-        return current
-    path = tempfile.mkdtemp(prefix="ledgerflow-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    if not current:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all executors share (master is {master})")
+        current = tempfile.mkdtemp(prefix="ledgerflow-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        spark.conf.set("spark.checkpoint.dir", current)
+    spark.sparkContext.setCheckpointDir(current)
+    return current
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -88,29 +88,72 @@ def list_files(spark: SparkSession, raw_dir: str, skip_prefixes: Sequence[str] =
     return files
 
 
+def absent(spark: SparkSession, path: str) -> bool:
+    """Whether nothing is stored at ``path``; any other trouble is an error of its own."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+
+
 def new_files(spark: SparkSession, raw_dir: str, ledger_path: str,
               skip_prefixes: Sequence[str] = ()) -> DataFrame:
+    """Files that are in no finished batch of the ledger."""
     files = list_files(spark, raw_dir, skip_prefixes)
-    try:
-        done = spark.read.schema(LEDGER_SCHEMA).parquet(ledger_path).select("file_path")
-    except Exception:  # noqa: BLE001 - first run, no ledger yet
+    if absent(spark, ledger_path):
         return files
+    done = spark.read.schema(LEDGER_SCHEMA).parquet(ledger_path).select("file_path")
     return files.join(done, "file_path", "left_anti")
 
 
 def ingest_new_files(spark: SparkSession, raw_dir: str, ledger_path: str, schema: StructType | str,
-                     table_path: str, batch_id: str, fmt: str = "csv") -> int:
-    """Read only files not yet in the ledger, append their rows to the table,
-    then record them in the ledger (after the append succeeded)."""
-    todo = new_files(spark, raw_dir, ledger_path, skip_prefixes=SKIP_FOLDERS).collect()  # file names only
-    if not todo:
+                     table_path: str, batch_id: str, fmt: str = "csv", processed_dir: str | None = None,
+                     backup_dir: str | None = None) -> int:
+    """Load the files that no finished batch has read, as partition ``batch_id`` of the table.
+
+    1. The batch's file list is written next to the ledger; it stays a table, so
+       the number of files is bounded by nothing on the driver.
+    2. Rows are read from the landing area and joined with that list on their file;
+       the batch's partition is overwritten, so a repeated batch replaces itself.
+    3. Copies of the batch's rows go to ``processed_dir`` and ``backup_dir``.
+    4. The list moves into the ledger, again as the batch's own partition.
+
+    A crash before the last step leaves the batch unfinished: the next run with
+    the same or another id reads its files again, and readers of ``loaded`` see
+    finished batches only, so nothing lands twice.
+    """
+    todo = new_files(spark, raw_dir, ledger_path, skip_prefixes=SKIP_FOLDERS)
+    pending = f"{ledger_path.rstrip('/')}_pending/{uuid.uuid4().hex[:12]}"
+    todo.write.parquet(pending)
+    todo = spark.read.schema("file_path string, file_size bigint").parquet(pending)
+    n = todo.count()
+    if not n:
         return 0
-    paths = [r["file_path"] for r in todo]
-    reader = spark.read.schema(schema)
+    reader = spark.read.schema(schema).option("recursiveFileLookup", True)
     if fmt == "csv":
         reader = reader.option("header", True)
-    rows = reader.format(fmt).load(paths)
-    rows.write.mode("append").parquet(table_path)
-    spark.createDataFrame([(r["file_path"], r["file_size"], batch_id) for r in todo], LEDGER_SCHEMA) \
-        .write.mode("append").parquet(ledger_path)
-    return len(paths)
+    landed = reader.format(fmt).load(raw_dir)
+    # the scan's file names are URIs, the listing's paths have one slash after the scheme
+    name = F.expr("regexp_replace(url_decode(_metadata.file_path), '^file:/+', 'file:/')")
+    rows = (landed.withColumn("_file", name)
+            .join(todo.select(F.expr("regexp_replace(file_path, '^file:/+', 'file:/')").alias("_file")), "_file", "left_semi")
+            .drop("_file"))
+    _write_batch(rows, table_path, batch_id)
+    for copy in (processed_dir, backup_dir):
+        if copy:
+            _write_batch(rows, copy, batch_id, fmt)
+    _write_batch(todo, ledger_path, batch_id)
+    return n
+
+
+def _write_batch(rows: DataFrame, path: str, batch_id: str, fmt: str = "parquet") -> None:
+    """Replace the batch's partition of the table at ``path``, and no other."""
+    w = rows.write.mode("overwrite").format(fmt)
+    (w.option("header", True) if fmt == "csv" else w).save(f"{path.rstrip('/')}/batch_id={batch_id}")
+
+
+def loaded(spark: SparkSession, table_path: str, ledger_path: str) -> DataFrame:
+    """The rows of the table's finished batches."""
+    if absent(spark, ledger_path):
+        return spark.read.parquet(table_path).limit(0).drop("batch_id")
+    finished = spark.read.parquet(ledger_path).select(F.col("batch_id").cast("string").alias("batch_id")).distinct()
+    rows = spark.read.parquet(table_path).withColumn("batch_id", F.col("batch_id").cast("string"))
+    return rows.join(F.broadcast(finished), "batch_id", "left_semi").drop("batch_id")

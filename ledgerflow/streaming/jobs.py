@@ -6,10 +6,11 @@ Parquet file sink, whose commit log makes each batch exactly-once even when
 a batch is replayed after a failure; processed files can be archived by the
 source (``cleanSource=archive``).
 
-S2 ``velocity_alerts``: per-account daily transaction counts with a
-watermark that bounds late data and state. In append mode a day's count is
-written once, when the watermark passes the end of that day; the sink keeps
-only counts at or above the limit.
+``stream_merge`` does the same with an upsert by key through ``foreachBatch``.
+
+S2 ``velocity_alerts``: per-account daily transaction counts, written in update
+mode through ``foreachBatch``; the result equals the batch count of all rows,
+however they are split over files and micro-batches.
 """
 
 from __future__ import annotations
@@ -18,8 +19,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-WATERMARK_DELAY = "2 days"
-
 
 def stream_ingest(spark: SparkSession, landing_dir: str, schema: StructType | str, table_path: str,
                   checkpoint: str, archive_dir: str | None = None, fmt: str = "csv",
@@ -37,24 +36,53 @@ def stream_ingest(spark: SparkSession, landing_dir: str, schema: StructType | st
     q.awaitTermination()
 
 
-def velocity_counts(stream: DataFrame, ts_col: str, key: str, limit: int,
-                    delay: str = WATERMARK_DELAY) -> DataFrame:
-    """Counts per key and UTC day at or above ``limit``; the event-time column
-    is cast to TIMESTAMP because a watermark cannot be defined on NTZ."""
-    ts = F.col(ts_col).cast("timestamp")
-    return (stream.withColumn("_event_ts", ts).withWatermark("_event_ts", delay)
-            .groupBy(F.window("_event_ts", "1 day").alias("w"), F.col(key))
-            .agg(F.count(F.lit(1)).alias("txn_count"))
-            .where(F.col("txn_count") >= limit)
-            .select(key, F.col("w.start").cast("date").alias("transaction_date"), "txn_count"))
+def stream_merge(spark: SparkSession, landing_dir: str, schema: StructType | str, table_path: str, checkpoint: str,
+                 keys: list[str], archive_dir: str | None = None, fmt: str = "csv") -> None:
+    """Drain all files present now; each micro-batch is written by ``foreachBatch`` as the
+    partition of its number, so a replayed batch replaces itself. ``merged`` reads
+    the table with later batches taking the place of earlier rows of their key."""
+    def write(batch: DataFrame, number: int) -> None:
+        batch.dropDuplicates(keys).write.mode("overwrite").parquet(f"{table_path}/batch={number}")
+
+    reader = spark.readStream.schema(schema).format(fmt)
+    if fmt == "csv":
+        reader = reader.option("header", True)
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
+    q = (reader.load(landing_dir).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+
+
+def merged(spark: SparkSession, table_path: str, keys: list[str]) -> DataFrame:
+    """The newest row of each key: one grouped aggregate, combined map-side."""
+    rows = spark.read.parquet(table_path)
+    values = [c for c in rows.columns if c not in (*keys, "batch")]
+    return (rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("v"))
+            .select(*keys, "v.*"))
+
+
+def velocity_counts(stream: DataFrame, ts_col: str, key: str) -> DataFrame:
+    """Running counts per key and day. No watermark: rows may come in any order and
+    split over any batches, and every day counts, the last one too. The state
+    holds one number per key and day."""
+    day = F.col(ts_col).cast("date").alias("transaction_date")
+    return stream.groupBy(F.col(key), day).agg(F.count(F.lit(1)).alias("txn_count"))
 
 
 def velocity_alerts(spark: SparkSession, source_dir: str, schema: StructType | str, table_path: str,
                     checkpoint: str, ts_col: str = "transaction_timestamp", key: str = "account_id",
-                    limit: int = 2) -> DataFrame:
-    src = spark.readStream.schema(schema).parquet(source_dir)
-    q = (velocity_counts(src, ts_col, key, limit).writeStream.outputMode("append").format("parquet")
-         .option("path", table_path).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
+                    limit: int = 2, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Days whose count reached ``limit``. Each batch writes the changed counts under
+    its number; the largest count of a day is its newest."""
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{table_path}/batch={number}")
+
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    q = (velocity_counts(reader.parquet(source_dir), ts_col, key).writeStream.outputMode("update").foreachBatch(write)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(table_path)
+    return (spark.read.parquet(table_path).groupBy(key, "transaction_date").agg(F.max("txn_count").alias("txn_count"))
+            .where(F.col("txn_count") >= limit))
