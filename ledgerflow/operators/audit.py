@@ -54,14 +54,15 @@ def audit_log_row(df: DataFrame, model_name: str, run: RunContext, database: str
 
 
 def write_with_audit(df: DataFrame, path: str, model_name: str, run: RunContext, log_path: str,
-                     mode: str = "overwrite", partition_by: list[str] | None = None) -> int:
+                     mode: str = "overwrite", partition_by: list[str] | None = None, only_touched: bool = False) -> int:
     """Write ``df`` and append its audit row; the count is observed during the
-    write itself (no second pass over the data)."""
+    write itself (no second pass over the data). With ``only_touched`` the
+    partitions that ``df`` has no row of stay as they are."""
     obs = Observation(f"audit_{model_name}")
     w = df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    w.option("partitionOverwriteMode", "dynamic" if only_touched else "static").parquet(path)
     n = int(obs.get["n"])
     spark = df.sparkSession
     row = spark.createDataFrame(

@@ -13,7 +13,10 @@ Plan shape (one exchange of the spine, none after):
 * the two are unioned (same partitioning is kept) and one ordered window per
   account yields cumulative, opening and closing balances.
 
-Nothing is collected and no range join (BroadcastNestedLoopJoin) is planned.
+Nothing is collected and no range join (BroadcastNestedLoopJoin) is planned. The
+spine is generated after its exchange, where AQE cannot split it: its number of
+partitions is ``partitions`` or ``spark.sql.shuffle.partitions``, which a cluster
+sizes as accounts x days / a few million rows.
 """
 
 from __future__ import annotations
@@ -26,27 +29,11 @@ from pyspark.sql import functions as F
 from ..session import shuffle_partitions
 
 
-# Spine rows per task: the spine is generated after its exchange, where AQE
-# cannot split it, so the partition count is sized from the spine itself.
-SPINE_ROWS_PER_TASK = 8_000_000
-
-
-def spine_partitions(accounts: DataFrame, open_col: str, as_of: dt.date | str,
-                     rows_per_task: int = SPINE_ROWS_PER_TASK) -> int:
-    """At least the session's shuffle partitions, and enough that no task
-    generates more than ``rows_per_task`` spine rows (one-row aggregate over
-    the accounts table)."""
-    end = F.lit(str(as_of)).cast("date")
-    days = F.greatest(F.datediff(end, F.col(open_col)) + 1, F.lit(0))
-    total = accounts.agg(F.sum(days).alias("n")).first()["n"] or 0
-    return max(shuffle_partitions(accounts.sparkSession), -(-int(total) // rows_per_task))
-
-
 def account_day_spine(accounts: DataFrame, open_col: str, as_of: dt.date | str,
                       date_col: str = "balance_date", key: str = "account_id",
                       partitions: int | None = None) -> DataFrame:
     """One row per account and day from the open date to ``as_of`` inclusive."""
-    n = partitions or spine_partitions(accounts, open_col, as_of)
+    n = partitions or shuffle_partitions(accounts.sparkSession)
     end = F.lit(str(as_of)).cast("date")
     # sequence() would count down for an account opened after as_of: no rows instead
     a = accounts.where(F.col(open_col) <= end).repartition(n, key)
@@ -68,7 +55,7 @@ def daily_balances(accounts: DataFrame, daily_amounts: DataFrame, as_of: dt.date
     Output: key, date_col, keep..., daily_net_amount, opening_balance,
     closing_balance; opening of the first day is the account's opening balance.
     """
-    n = partitions or spine_partitions(accounts, open_col, as_of)
+    n = partitions or shuffle_partitions(accounts.sparkSession)
     money = "decimal(38,2)"
     spine = (account_day_spine(accounts, open_col, as_of, date_col, key, n)
              .select(key, date_col, *keep, F.col(opening_col).cast(money).alias("_opening"),
@@ -122,3 +109,25 @@ def incremental_daily_balances(previous: DataFrame, accounts: DataFrame, daily_a
     amounts = daily_amounts.where(F.col(date_col) >= ws)
     return daily_balances(acc, amounts, as_of, key=key, open_col="_open_w", opening_col="_opening_w",
                           date_col=date_col, keep=keep, partitions=partitions)
+
+
+def window_balances(accounts: DataFrame, daily_amounts: DataFrame, since: dt.date | str, as_of: dt.date | str,
+                    key: str = "account_id", open_col: str = "account_open_date",
+                    opening_col: str = "opening_balance", amount_col: str = "daily_net_amount",
+                    date_col: str = "balance_date", keep: tuple[str, ...] = ("currency_code",),
+                    partitions: int | None = None) -> DataFrame:
+    """``daily_balances`` from ``since`` on, without generating the days before.
+
+    What an account moved between its opening and the window is one sum per
+    account, added to the opening balance; the spine starts with the window.
+    """
+    start = F.lit(str(since)).cast("date")
+    opened = accounts.select(key, F.col(open_col).alias("_opened"))
+    moved = (daily_amounts.where(F.col(date_col) < start).join(opened, key)
+             .where(F.col(date_col) >= F.col("_opened"))
+             .groupBy(key).agg(F.sum(amount_col).alias("_moved")))
+    seeded = (accounts.join(moved, key, "left")
+              .withColumn("_open_w", F.greatest(F.col(open_col), start))
+              .withColumn("_opening_w", F.col(opening_col) + F.coalesce("_moved", F.lit(0))))
+    return daily_balances(seeded, daily_amounts.where(F.col(date_col) >= start), as_of, key=key, open_col="_open_w",
+                          opening_col="_opening_w", amount_col=amount_col, date_col=date_col, keep=keep, partitions=partitions)

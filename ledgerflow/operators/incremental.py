@@ -11,18 +11,15 @@ DataFrame-level forms (lazy; used by jobs and tests):
 * ``schema_sync``           - align old rows to the new column set (IN11)
 * ``lookback_filter``       - rows on or after as_of minus N days / months (IN8)
 
-Storage-level form: ``VersionedTable`` writes every merge result to a new
-version directory and then moves a pointer, because a Parquet table cannot
-be overwritten while it is being read; readers always see a whole version.
+Storage-level form: ``write_partitions``, Spark's dynamic partition overwrite.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_MARK = "1900-01-01"
@@ -134,47 +131,7 @@ def lookback_filter(df: DataFrame, col: str, as_of: dt.date, days: int = 0, mont
 
 
 # ---------------------------------------------------------------- storage
-class VersionedTable:
-    """A Parquet table as immutable version directories plus a pointer.
-
-    ``path/_current`` holds the name of the live version; each write goes to
-    ``path/v-<id>`` and then replaces the pointer. Single writer per table.
-    """
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark = spark
-        self.path = path.rstrip("/")
-
-    def _pointer(self) -> str | None:
-        try:
-            rows = self.spark.read.text(f"{self.path}/_current").collect()  # one line
-        except Exception:  # noqa: BLE001 - no pointer yet
-            return None
-        return rows[0][0] if rows else None
-
-    def read(self) -> DataFrame | None:
-        v = self._pointer()
-        return None if v is None else self.spark.read.parquet(f"{self.path}/{v}")
-
-    def write(self, df: DataFrame, partition_by: Sequence[str] = ()) -> str:
-        v = f"v-{uuid.uuid4().hex[:12]}"
-        w = df.write.mode("error")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(f"{self.path}/{v}")
-        self.spark.createDataFrame([(v,)], "v string").coalesce(1).write.mode("overwrite").text(
-            f"{self.path}/_current")
-        return v
-
-    def merge(self, updates: DataFrame, keys: Sequence[str]) -> str:
-        return self.write(merge(self.read(), updates, keys, check_unique=True))
-
-    def append(self, new: DataFrame, keys: Sequence[str]) -> str:
-        return self.write(append_new(self.read(), new, keys))
-
-
 def write_partitions(df: DataFrame, path: str, partition_cols: Sequence[str]) -> None:
-    """Dynamic partition overwrite: only partitions present in ``df`` are replaced."""
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    df.write.mode("overwrite").partitionBy(*partition_cols).parquet(path)
+    """Dynamic partition overwrite: only partitions present in ``df`` are replaced.
+    ``df`` must not read ``path`` itself: store such an increment first."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols).parquet(path)

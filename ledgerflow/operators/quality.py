@@ -23,7 +23,7 @@ def require_columns(df: DataFrame, required: Iterable[str], model_name: str = "m
     missing = [c for c in required if c.lower() not in have]
     if missing:
         raise MissingColumnsError(
-            f"Model '{model_name}' is missing required columns: {', '.join(missing)}")
+            f"{model_name}: {len(missing)} expected column(s) absent, namely {', '.join(missing)}")
 
 
 def not_null(df: DataFrame, column: str) -> DataFrame:
@@ -39,7 +39,7 @@ def unique(df: DataFrame, columns: Sequence[str] | str, count_col: str = "n_reco
 
 def relationships(df: DataFrame, column: str, to: DataFrame, field: str) -> DataFrame:
     """Child rows whose non-null key has no parent (anti join)."""
-    parents = to.select(F.col(field).alias("_parent_key")).distinct()
+    parents = to.select(F.col(field).alias("_parent_key"))  # an anti join needs no distinct keys
     child = df.where(F.col(column).isNotNull())
     return child.join(parents, child[column] == parents["_parent_key"], "left_anti")
 

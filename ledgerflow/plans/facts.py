@@ -10,12 +10,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import surrogate_key
 from ..functions.money import MONEY_SUM, exact_avg, ratio, signed_amount
-from ..operators.balances import daily_balances
+from ..operators.balances import daily_balances, window_balances
 from ..operators.pit import point_in_time_join
 from ..operators.scd2 import compress_runs, latest_per_key
 from .shared import memo, shared
@@ -60,6 +60,14 @@ def daily_net(t: Tables) -> DataFrame:
             .groupBy("account_id", "balance_date").agg(F.sum("signed_amount").alias("daily_net_amount")))
 
 
+def balances_since(t: Tables, since: dt.date, as_of: dt.date = ORDERS_AS_OF) -> DataFrame:
+    """The daily balances from ``since`` on, without the days before: amounts of the
+    earlier days are summed per account, and only the window's days are generated."""
+    acc = t.stg_accounts().select("account_id", "account_open_date", "opening_balance", "currency_code")
+    return window_balances(acc, daily_net(t), since, as_of).withColumn(
+        "account_balance_sk", surrogate_key("account_id", "balance_date"))
+
+
 @shared("fct_account_daily_balance")
 def fct_account_daily_balance(t: Tables, as_of: dt.date = ORDERS_AS_OF) -> DataFrame:
     acc = t.stg_accounts().select("account_id", "account_open_date", "opening_balance", "currency_code")
@@ -76,6 +84,33 @@ def dim_account_balance_scd2(t: Tables, balances: DataFrame | None = None) -> Da
     periods = compress_runs(bal.select("account_id", "balance_date", "closing_balance"),
                             ["account_id"], "balance_date", ["closing_balance"])
     last_day = bal.agg(F.max("balance_date")).scalar()  # scalar subquery, evaluated once
+    return balance_periods_rows(periods, last_day)
+
+
+def balance_periods_increment(periods: DataFrame, window: DataFrame, window_start: dt.date) -> tuple[DataFrame, DataFrame]:
+    """The balance history after a window of days was recomputed: (kept, rebuilt).
+
+    ``window`` holds the balances from ``window_start`` on. Periods that ended
+    before the day in front of it are kept as they are; an account's period that
+    reaches this day goes on (same closing balance) or ends there, so only that row
+    and the window's rows are compressed, not the account's whole history.
+    """
+    day = F.lit(str(window_start - dt.timedelta(days=1))).cast("date")
+    kept = periods.where(F.col("effective_end_date") < day)
+    reaching = periods.where((F.col("effective_end_date") >= day) & (F.col("effective_start_date") <= day))
+    seed = reaching.select("account_id", day.alias("balance_date"), "closing_balance",
+                           F.col("effective_start_date").alias("_since"))
+    rows = seed.unionByName(window.select("account_id", "balance_date", "closing_balance", F.col("balance_date").alias("_since")))
+    w = Window.partitionBy("account_id").orderBy("balance_date")
+    runs = rows.withColumn("_run", F.sum(F.when(F.lag("closing_balance").over(w) == F.col("closing_balance"), 0).otherwise(1))
+                           .over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    rebuilt = (runs.groupBy("account_id", "closing_balance", "_run")
+               .agg(F.min("_since").alias("effective_start_date"), F.max("balance_date").alias("effective_end_date")).drop("_run"))
+    return kept, rebuilt
+
+
+def balance_periods_rows(periods: DataFrame, last_day) -> DataFrame:
+    """The history's columns for (account, balance, start, end) periods."""
     return periods.select(
         surrogate_key("account_id", "effective_start_date").alias("account_balance_scd2_sk"),
         "account_id", "closing_balance", "effective_start_date", "effective_end_date",
@@ -89,8 +124,9 @@ def eom_balance(t: Tables) -> DataFrame:
                  F.max_by("closing_balance", "balance_date").alias("eom_closing_balance")))
 
 
-def fct_credit_exposure(t: Tables) -> DataFrame:
-    bal = fct_account_daily_balance(t).select("account_id", "balance_date", "closing_balance")
+def fct_credit_exposure(t: Tables, balances: DataFrame | None = None) -> DataFrame:
+    bal = balances if balances is not None else fct_account_daily_balance(t)
+    bal = bal.select("account_id", "balance_date", "closing_balance")
     limits = (t.stg_credit_limits().where(F.col("limit_end_date").isNull())
               .select("account_id", "credit_limit"))
     ctx = (dims.current_account(t).select("account_id", "customer_id")
@@ -306,30 +342,33 @@ def fct_product_performance(t: Tables) -> DataFrame:
 def fct_suspicious_activity(t: Tables) -> DataFrame:
     """AML rules, first match names the rule: amount at or above the large
     limit (HIGH), high-risk country (HIGH), per-account-day count at or above
-    the velocity limit (MEDIUM)."""
-    tx = fct_transactions(t).select(
-        "transaction_sk", "transaction_id", "account_id", "customer_id", "transaction_ts",
-        "transaction_date", F.abs("amount").alias("amount"), "currency_code", "transaction_country")
-    cust = dims.current_customer(t).select("customer_id", "risk_rating")
-    country = F.broadcast(t.seed_country_risk())  # one row per country: bounded domain
+    the velocity limit (MEDIUM).
+
+    Velocity is counted on the transactions alone, before any context is joined;
+    the account's customer must have a current row, which the context tells."""
+    base = base_transactions(t)
     seed = t.seed_aml_thresholds()
-    large_limit = seed.agg(F.max(F.when(F.col("rule_name") == "LARGE_TRANSACTION",
-                                        F.col("threshold_value")))).scalar()
-    velocity_limit = seed.agg(F.max(F.when(F.col("rule_name") == "HIGH_VELOCITY_TXN",
-                                           F.col("threshold_value")))).scalar()
-    velocity = tx.groupBy("account_id", "transaction_date").agg(F.count(F.lit(1)).alias("txn_count"))
-    j = (tx.join(cust, "customer_id")
-         .join(country, F.col("transaction_country") == F.col("country_code"), "left")
-         .join(velocity, ["account_id", "transaction_date"], "left"))
-    large = F.col("amount") >= large_limit
-    high_country = F.col("risk_level") == "HIGH"
-    fast = F.col("txn_count") >= velocity_limit
-    flagged = j.where(large | high_country | fast)
-    rule = (F.when(large, "LARGE_TRANSACTION").when(high_country, "HIGH_RISK_COUNTRY")
-            .when(fast, "HIGH_VELOCITY"))
-    sev = F.when(large, "HIGH").when(high_country, "HIGH").when(fast, "MEDIUM").otherwise("LOW")
-    f = flagged.withColumn("rule_triggered", rule).withColumn("alert_severity", sev)
-    return f.select(
-        surrogate_key("transaction_sk", "rule_triggered").alias("suspicious_activity_sk"),
-        "transaction_id", "transaction_sk", "account_id", "customer_id", "rule_triggered",
-        "alert_severity", "transaction_ts", "amount", "currency_code")
+
+    def limit(rule: str):
+        return seed.agg(F.max(F.when(F.col("rule_name") == rule, F.col("threshold_value")))).scalar()
+
+    country = F.broadcast(t.seed_country_risk())  # one row per country: bounded domain
+    per_day = (t.stg_transactions_lean()
+               .groupBy("account_id", F.col("transaction_timestamp").cast("date").alias("transaction_date"))
+               .agg(F.count(F.lit(1)).alias("txn_count")).where(F.col("txn_count") >= limit("HIGH_VELOCITY_TXN"))
+               .select("account_id", "transaction_date", F.lit(True).alias("fast")))
+    amount = F.abs("amount")
+    rules = (base.join(country, F.col("transaction_country") == F.col("country_code"), "left")
+             .join(per_day, ["account_id", "transaction_date"], "left")
+             .withColumn("rule_triggered",
+                         F.when(amount >= limit("LARGE_TRANSACTION"), "LARGE_TRANSACTION")
+                         .when(F.col("risk_level") == "HIGH", "HIGH_RISK_COUNTRY").when(F.col("fast"), "HIGH_VELOCITY"))
+             .where(F.col("rule_triggered").isNotNull()))
+    owners = dims.current_account(t).select("account_id", "customer_id").join(
+        dims.current_customer(t).select("customer_id"), "customer_id")
+    return (rules.join(owners, "account_id")
+            .withColumn("transaction_sk", surrogate_key("transaction_id"))
+            .select(surrogate_key("transaction_sk", "rule_triggered").alias("suspicious_activity_sk"),
+                    "transaction_id", "transaction_sk", "account_id", "customer_id", "rule_triggered",
+                    F.when(F.col("rule_triggered") == "HIGH_VELOCITY", "MEDIUM").otherwise("HIGH").alias("alert_severity"),
+                    "transaction_ts", amount.alias("amount"), "currency_code"))

@@ -71,22 +71,23 @@ def incremental_filter(t: Tables) -> DataFrame:
     return inc.append_new(run1, run2, ["transaction_sk"], boundary="transaction_ts")
 
 
-def _merge_balance_increment(t: Tables, run1: DataFrame) -> DataFrame:
-    window_start = ORDERS_AS_OF - dt.timedelta(days=BALANCE_LOOKBACK_DAYS)
+def _balance_window(t: Tables, run1: DataFrame, window_start: dt.date) -> DataFrame:
     acc = t.stg_accounts().select("account_id", "account_open_date", "opening_balance", "currency_code")
     new = incremental_daily_balances(run1, acc, facts.daily_net(t), window_start, ORDERS_AS_OF)
-    new = new.select(surrogate_key("account_id", "balance_date").alias("account_balance_sk"),
-                     "account_id", "balance_date", "currency_code", "daily_net_amount",
-                     "opening_balance", "closing_balance")
-    return inc.merge(run1, new, ["account_balance_sk"])
+    return new.select(surrogate_key("account_id", "balance_date").alias("account_balance_sk"),
+                      "account_id", "balance_date", "currency_code", "daily_net_amount",
+                      "opening_balance", "closing_balance")
 
 
 @job("incr_merge")
 def incr_merge(t: Tables) -> DataFrame:
     """fct_account_daily_balance: run 1 to 2001-07-25, run 2 recomputes the last
-    14 days to 2001-08-01 seeded with stored closings, merged on the key."""
+    14 days to 2001-08-01 seeded with stored closings. The window recomputes every
+    account's day, so whole days are replaced: no anti-join of the stored history."""
     run1 = stored(facts.fct_account_daily_balance(t, as_of=BALANCE_RUN1_AS_OF))
-    return _merge_balance_increment(t, run1)
+    window_start = ORDERS_AS_OF - dt.timedelta(days=BALANCE_LOOKBACK_DAYS)
+    older = run1.where(F.col("balance_date") < F.lit(str(window_start)).cast("date"))
+    return older.unionByName(_balance_window(t, run1, window_start))
 
 
 @job("incr_merge_composite")
@@ -112,9 +113,10 @@ def incr_insert_overwrite(t: Tables) -> DataFrame:
 
 @job("lookback_filter")
 def lookback_filter(t: Tables) -> DataFrame:
-    """Credit exposure of the last 7 days before as_of."""
-    return inc.lookback_filter(facts.fct_credit_exposure(t), "balance_date", ORDERS_AS_OF,
-                               days=EXPOSURE_LOOKBACK_DAYS)
+    """Credit exposure of the last 7 days before as_of: only these days are generated."""
+    since = ORDERS_AS_OF - dt.timedelta(days=EXPOSURE_LOOKBACK_DAYS)
+    exposure = facts.fct_credit_exposure(t, facts.balances_since(t, since))
+    return inc.lookback_filter(exposure, "balance_date", ORDERS_AS_OF, days=EXPOSURE_LOOKBACK_DAYS)
 
 
 @job("schema_sync")
@@ -123,10 +125,10 @@ def schema_sync(t: Tables) -> DataFrame:
     customer_id, an extra load_batch), then with the current one: old rows
     are aligned to the new columns."""
     cut = F.lit(RESERVE_CUTOFF).cast("date")
-    full = facts.fct_claim_reserve_snapshots(t)
-    old = (full.where(F.col("snapshot_date") <= cut).drop("customer_id")
-           .withColumn("load_batch", F.lit("v1")))
-    new = full.where(F.col("snapshot_date") > cut)
+    day = F.col("reserve_snapshot_date")
+    old = facts.fct_claim_reserve_snapshots(t.restrict(stg_claim_reserves_snapshots=day <= cut))
+    old = stored(old.drop("customer_id").withColumn("load_batch", F.lit("v1")))
+    new = facts.fct_claim_reserve_snapshots(t.restrict(stg_claim_reserves_snapshots=day > cut))
     return inc.schema_sync(old, new)
 
 
@@ -148,21 +150,15 @@ def incr_spending(t: Tables) -> DataFrame:
 
 @job("incr_balance_scd2")
 def incr_balance_scd2(t: Tables) -> DataFrame:
-    """Balance periods after the 14-day balance increment: periods of every
-    account touched by the increment are rebuilt from the account's whole
-    stored history, keyed (account_id, effective_start_date)."""
+    """Balance periods after the 14-day balance increment: closed periods stay, the
+    period that reaches the window and the window's days are compressed anew."""
     run1_balances = stored(facts.fct_account_daily_balance(t, as_of=BALANCE_RUN1_AS_OF))
-    balances = _merge_balance_increment(t, run1_balances)
-    run1 = facts.dim_account_balance_scd2(t, run1_balances)
+    run1 = stored(facts.dim_account_balance_scd2(t, run1_balances))
     window_start = ORDERS_AS_OF - dt.timedelta(days=BALANCE_LOOKBACK_DAYS)
-    touched = balances.where(F.col("balance_date") >= F.lit(str(window_start)).cast("date")) \
-        .select("account_id").distinct()
-    rebuilt = facts.dim_account_balance_scd2(t, balances.join(touched, "account_id", "left_semi"))
-    kept = run1.join(touched, "account_id", "left_anti")
-    # is_current compares with the last balance day of the whole fact
-    last_day = balances.agg(F.max("balance_date")).scalar()
-    return (kept.unionByName(rebuilt)
-            .withColumn("is_current", F.when(F.col("effective_end_date") == last_day, 1).otherwise(0)))
+    window = _balance_window(t, run1_balances, window_start)
+    kept, rebuilt = facts.balance_periods_increment(run1, window, window_start)
+    periods = kept.select(*rebuilt.columns).unionByName(rebuilt)
+    return facts.balance_periods_rows(periods, F.lit(str(ORDERS_AS_OF)).cast("date"))
 
 
 LOSS_RATIO_LOOKBACK_MONTHS = 12
@@ -177,5 +173,9 @@ def incr_loss_ratio(t: Tables) -> DataFrame:
     before = t.restrict(stg_claims=F.col("claim_reported_date").cast("date") < start,
                         stg_premium_transactions=F.col("posting_date").cast("date") < start)
     run1 = stored(facts.fct_loss_ratio(before))
-    recent = facts.fct_loss_ratio(t).where((F.col("period_month") >= start) | F.col("period_month").isNull())
-    return inc.insert_overwrite(run1, recent, ["period_month"])
+    since = t.restrict(stg_claims=F.col("claim_reported_date").cast("date") >= start,
+                       stg_premium_transactions=F.col("posting_date").cast("date") >= start)
+    months = facts.fct_loss_ratio(since).where(F.col("period_month").isNotNull())
+    # policies without any claim: those the first run found without one and the window neither
+    idle = run1.where(F.col("period_month").isNull()).join(months.select("policy_id").distinct(), "policy_id", "left_anti")
+    return run1.where(F.col("period_month") < start).unionByName(months).unionByName(idle)

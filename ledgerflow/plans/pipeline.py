@@ -1,23 +1,32 @@
 """Run the pipeline as a whole: every model is built once, written, and read
 back by the models downstream of it (table materialisation, IO10).
 
-    python -m ledgerflow.plans.pipeline --sf-dir DIR --warehouse DIR [--models a,b]
+    python -m ledgerflow.plans.pipeline --sf-dir DIR --warehouse DIR [--models a,b] [--full-refresh]
 
-Each model goes to its own versioned Parquet table under the warehouse
-folder, and the run appends one audit row per model with the row count
-observed during the write.
+Models with a date are partitioned by its month. A run that finds such a table
+reads its high-water mark, computes only the months from the lookback on, and
+replaces these partitions by Spark's dynamic partition overwrite; all other
+partitions keep their files. ``full_refresh`` rebuilds every table. Each write
+observes its row count and appends one row to the audit log at ``_audit_log``.
 """
 
 from __future__ import annotations
 
 import argparse
 import datetime as dt
+from collections.abc import Callable
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..operators.audit import RunContext, audit_log_row
-from ..operators.incremental import VersionedTable
+from ..functions.keys import surrogate_key
+from ..operators import incremental as inc
+from ..operators.audit import RunContext, write_with_audit
+from ..operators.balances import incremental_daily_balances
 from ..sources.adapters import ORDERS_AS_OF, Tables
+from ..sources.files import absent
+from . import facts, reports
 from .registry import load_all
 
 # Build order: dimensions, then facts, then what reads them.
@@ -31,26 +40,101 @@ ORDER = [
     "rpt_fca_returns", "rpt_ifrs_balances", "rpt_pra_exposures", "bankruptcy", "customer_spending_analysis",
     "reserve_trend_90d", "eom_balance", "meter_profile_48",
 ]
+MONTH = "part_month"
+AUDIT_LOG = "_audit_log"
 
 
-def run(spark: SparkSession, sf_dir: str, warehouse: str, models: list[str] | None = None,
-        run: RunContext | None = None) -> DataFrame:
-    jobs = load_all()
-    run = run or RunContext(ORDERS_AS_OF, dt.datetime.now().replace(microsecond=0), "pipeline", "dev")
-    t = Tables(spark, sf_dir)
+@dataclass(frozen=True)
+class Incremental:
+    """How a model is loaded in increments: the date its partitions follow, the
+    days to look back, the source columns that the window restricts, and the
+    builder of the window's rows."""
+
+    date: str
+    build: Callable[..., DataFrame]
+    sources: dict[str, str] = field(default_factory=dict)
+    lookback_days: int = 14
+
+
+def _balance_window(t: Tables, target: DataFrame, start: dt.date, as_of: dt.date) -> DataFrame:
+    acc = t.stg_accounts().select("account_id", "account_open_date", "opening_balance", "currency_code")
+    rows = incremental_daily_balances(target, acc, facts.daily_net(t), start, as_of)
+    return rows.select(surrogate_key("account_id", "balance_date").alias("account_balance_sk"), "account_id", "balance_date",
+                       "currency_code", "daily_net_amount", "opening_balance", "closing_balance").checkpoint(eager=True)
+
+
+def _period_window(t: Tables, target: DataFrame, start: dt.date, as_of: dt.date) -> DataFrame:
+    """Periods that end in the month before the window or later: the partitions to replace."""
+    days = facts.fct_account_daily_balance(t).where(F.col("balance_date") >= F.lit(str(start)).cast("date"))
+    kept, rebuilt = facts.balance_periods_increment(target, days, start)
+    before = F.lit(str((start - dt.timedelta(days=1)).replace(day=1))).cast("date")
+    periods = kept.where(F.col("effective_end_date") >= before).select(*rebuilt.columns).unionByName(rebuilt)
+    return facts.balance_periods_rows(periods, F.lit(str(as_of)).cast("date")).checkpoint(eager=True)
+
+
+def _exposure_window(t: Tables, target: DataFrame, start: dt.date, as_of: dt.date) -> DataFrame:
+    days = facts.fct_account_daily_balance(t).where(F.col("balance_date") >= F.lit(str(start)).cast("date"))
+    return facts.fct_credit_exposure(t, days)
+
+
+INCREMENTAL = {
+    "fct_transactions": Incremental("transaction_date", facts.fct_transactions, {"stg_transactions": "transaction_timestamp"}),
+    "fct_account_daily_balance": Incremental("balance_date", _balance_window),
+    "fct_premium": Incremental("premium_date", facts.fct_premium, {"stg_premium_transactions": "posting_date"}),
+    "fct_claims": Incremental("claim_reported_date", facts.fct_claims, {"stg_claims": "claim_reported_date"}),
+    "fct_claim_reserve_snapshots": Incremental("snapshot_date", facts.fct_claim_reserve_snapshots,
+                                               {"stg_claim_reserves_snapshots": "reserve_snapshot_date"}),
+    "fct_risk_score": Incremental("score_date", facts.fct_risk_score, {"stg_risk_scores": "score_date"}),
+    "dim_account_balance_scd2": Incremental("effective_end_date", _period_window),
+    "fct_credit_exposure": Incremental("balance_date", _exposure_window, lookback_days=7),
+    "rpt_pra_exposures": Incremental("reporting_period", reports.rpt_pra_exposures, {"exposures": "exposure_date"}),
+}
+
+
+def _increment(t: Tables, spec: Incremental, target: DataFrame, as_of: dt.date) -> DataFrame | None:
+    """The rows of the window's months, or None where the table is empty."""
+    mark = inc.high_water_mark(target, spec.date, None)
+    if mark is None:
+        return None
+    mark = mark.date() if isinstance(mark, dt.datetime) else mark
+    start = (mark - dt.timedelta(days=spec.lookback_days)).replace(day=1)
+    if not spec.sources:
+        return spec.build(t, target, start, as_of)
+    since = F.lit(str(start)).cast("date")
+    return spec.build(t.restrict(**{a: F.col(c).cast("date") >= since for a, c in spec.sources.items()}))
+
+
+def _full(name: str, t: Tables, as_of: dt.date) -> DataFrame:
+    if name == "fct_account_daily_balance":
+        return facts.fct_account_daily_balance(t, as_of=as_of)
+    return load_all()[name](t)
+
+
+def run(spark: SparkSession, sf_dir: str, warehouse: str, models: list[str] | None = None, run: RunContext | None = None,
+        full_refresh: bool = False, as_of: dt.date = ORDERS_AS_OF, tables: Tables | None = None) -> DataFrame:
+    """Build the models; the audit rows of this run."""
+    run = run or RunContext(as_of, dt.datetime.now().replace(microsecond=0), "pipeline", "dev")
+    t = tables or Tables(spark, sf_dir)
+    root = warehouse.rstrip("/")
     wanted = set(models or ORDER)
-    logs = []
-    for name in ORDER:
-        if name not in wanted:
-            continue
-        table = VersionedTable(spark, f"{warehouse.rstrip('/')}/{name}")
-        table.write(jobs[name](t))
-        t.materialized[name] = table.read()
-        logs.append(audit_log_row(t.materialized[name], name, run, schema="warehouse"))
-    out = logs[0]
-    for part in logs[1:]:
-        out = out.unionByName(part)
-    return out
+    unknown = wanted - set(ORDER)
+    if unknown:
+        raise ValueError(f"no such models: {sorted(unknown)}")
+    for name in (m for m in ORDER if m in wanted):
+        path, spec = f"{root}/{name}", INCREMENTAL.get(name)
+        rows = None
+        if spec and not full_refresh and not absent(spark, path):
+            rows = _increment(t, spec, spark.read.parquet(path).drop(MONTH), as_of)
+        touched = rows is not None
+        rows = rows if touched else _full(name, t, as_of)
+        if spec:
+            rows = rows.withColumn(MONTH, F.date_format(spec.date, "yyyy-MM"))
+        write_with_audit(rows, path, name, run, f"{root}/{AUDIT_LOG}", partition_by=[MONTH] if spec else None, only_touched=touched)
+        t.materialized[name] = spark.read.parquet(path).drop(MONTH)
+    log = spark.read.parquet(f"{root}/{AUDIT_LOG}")
+    return log.where((F.col("invocation_id") == run.invocation_id)
+                     & (F.col("run_started_at") == F.lit(run.run_started_at.isoformat(sep=" ")).cast("timestamp_ntz"))
+                     & F.col("model_name").isin(*sorted(wanted)))
 
 
 def main() -> None:
@@ -58,12 +142,13 @@ def main() -> None:
     ap.add_argument("--sf-dir", required=True)
     ap.add_argument("--warehouse", required=True)
     ap.add_argument("--models", default="")
+    ap.add_argument("--full-refresh", action="store_true")
     a = ap.parse_args()
     spark = SparkSession.builder.getOrCreate()
     from ..session import apply_job_configs, ensure_checkpoint_dir
     apply_job_configs(spark)
     ensure_checkpoint_dir(spark)
-    run(spark, a.sf_dir, a.warehouse, [m for m in a.models.split(",") if m] or None).show(100, False)
+    run(spark, a.sf_dir, a.warehouse, [m for m in a.models.split(",") if m] or None, full_refresh=a.full_refresh).show(100, False)
 
 
 if __name__ == "__main__":

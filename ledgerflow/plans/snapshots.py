@@ -115,8 +115,12 @@ def snap_hard_delete(t: Tables) -> DataFrame:
     """Versions closed because their key left the source (H2): closed rows of
     keys that have no open version."""
     h = snap_orders(t)
-    open_keys = h.where(F.col(VALID_TO).isNull()).select("order_id")
-    return h.where(F.col(VALID_TO).isNotNull()).join(open_keys, "order_id", "left_anti")
+    # one aggregate per key over the history instead of a second copy of it: a key's
+    # versions are a handful, kept only where none is open
+    version = F.struct(*h.columns)
+    per_key = (h.groupBy("order_id").agg(F.bool_or(F.col(VALID_TO).isNull()).alias("open"), F.collect_list(version).alias("versions"))
+               .where(~F.col("open")))
+    return per_key.select(F.explode("versions").alias("v")).select("v.*")
 
 
 def snap_from_change_log(t: Tables) -> DataFrame:

@@ -1,5 +1,5 @@
 """Incremental operators: properties (merge twice = merge once, incremental =
-full) and the versioned Parquet table."""
+full) and the partition overwrite."""
 
 import datetime as dt
 from decimal import Decimal
@@ -7,7 +7,7 @@ from decimal import Decimal
 import pytest
 
 from ledgerflow.operators import incremental as inc
-from ledgerflow.operators.balances import daily_balances, incremental_daily_balances
+from ledgerflow.operators.balances import daily_balances, incremental_daily_balances, window_balances
 from ledgerflow.sources.files import scratch_dir
 
 D = dt.date(2024, 1, 1)
@@ -79,13 +79,33 @@ def test_incremental_balances_equal_full(spark):
     assert last.closing_balance == Decimal("115.00")   # literal increment would give 105
 
 
-def test_versioned_table_roundtrip(spark):
-    path = scratch_dir(spark, "test_versioned")
-    t = inc.VersionedTable(spark, path)
-    assert t.read() is None
-    t.merge(frame(spark, [(1, "a", D), (2, "b", D)]), ["k"])
-    t.merge(frame(spark, [(2, "B", D)]), ["k"])
-    assert sorted((r.k, r.v) for r in t.read().collect()) == [(1, "a"), (2, "B")]
+def test_window_balances_equal_the_full_spine(spark):
+    acc = spark.createDataFrame([(1, D, Decimal("100.00"), "GBP"), (2, D + dt.timedelta(days=25), Decimal("5.00"), "EUR")],
+                                "account_id long, account_open_date date, opening_balance decimal(18,2), currency_code string")
+    amt = spark.createDataFrame([(1, D - dt.timedelta(days=1), Decimal("7.00")), (1, D, Decimal("10.00")),
+                                 (1, D + dt.timedelta(days=19), Decimal("5.00")), (2, D + dt.timedelta(days=26), Decimal("1.00"))],
+                                "account_id long, balance_date date, daily_net_amount decimal(18,2)")
+    since, as_of = D + dt.timedelta(days=10), D + dt.timedelta(days=30)
+    full = daily_balances(acc, amt, as_of, partitions=4).where(f"balance_date >= date '{since}'")
+    assert sorted(window_balances(acc, amt, since, as_of, partitions=4).collect()) == sorted(full.collect())
+
+
+def test_restricted_views_combine_and_start_unmaterialised(spark, tables):
+    from ledgerflow.plans import facts
+    from pyspark.sql import functions as F
+    n = lambda t: t.stg_premium_transactions().count()
+    low = tables.restrict(stg_premium_transactions=F.col("policy_id") < 10)
+    both = low.restrict(stg_premium_transactions=F.col("policy_id") > 5)
+    assert 0 < n(both) < n(low) and n(both) == tables.stg_premium_transactions().where("policy_id < 10 and policy_id > 5").count()
+    full = type(tables)(spark, tables.sf_dir)
+    full.materialized["fct_premium"] = facts.fct_premium(tables)
+    assert facts.fct_premium(full.restrict(stg_premium_transactions=F.col("policy_id") < 10)).count() == facts.fct_premium(low).count() > 0
+
+
+def test_appending_on_the_mark_reads_the_boundary_only(spark):
+    tgt = frame(spark, [(1, "a", D), (2, "b", D + dt.timedelta(days=1))])
+    new = frame(spark, [(2, "b", D + dt.timedelta(days=1)), (3, "c", D + dt.timedelta(days=1))])
+    assert sorted(r.k for r in inc.append_new(tgt, new, ["k"], boundary="d").collect()) == [1, 2, 3]
 
 
 def test_partition_overwrite_sink(spark):
