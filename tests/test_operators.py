@@ -181,13 +181,18 @@ def test_chunked_version_chain_equals_plain(spark):
     assert [r.t for r in plain if r.k == "b"] == [None]
 
 
-def test_spine_partitions_follow_spine_size(spark):
-    from ledgerflow.operators.balances import spine_partitions
-    acc = spark.createDataFrame([(i, D) for i in range(100)], "account_id long, account_open_date date")
-    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    assert spine_partitions(acc, "account_open_date", days(9)) == base            # 1,000 rows
-    assert spine_partitions(acc, "account_open_date", days(9), rows_per_task=10) == 100
-    assert spine_partitions(acc, "account_open_date", days(-5), rows_per_task=1) == base  # opened later
+def test_spine_takes_its_partitions_from_the_argument_or_the_session(spark):
+    from ledgerflow.operators.balances import account_day_spine
+    acc = spark.createDataFrame([(i, dt.date(2024, 1, 1)) for i in range(50)], "account_id long, account_open_date date")
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        n = lambda **kw: (account_day_spine(acc, "account_open_date", dt.date(2024, 1, 10), **kw)
+                          .selectExpr("spark_partition_id() as p", "account_id").distinct().groupBy("p").count().count())
+        assert n(partitions=3) == 3
+        assert n() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
 
 
 def test_safe_cast_returns_null_instead_of_raising(spark):
