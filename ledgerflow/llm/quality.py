@@ -291,10 +291,15 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % FOLDS == FOLD, F.lit(False))
 
 
-def fitted(pooled: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Network:
-    """The network fitted to the labelled rows of ``pooled`` outside the held-out fold."""
-    chosen = (labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out(F.col("doc_id")))
-              .groupBy("doc_id").agg(F.max("quality").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
+def training_labels(labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """doc_id, label of at most ``sample`` labelled ids outside the held-out fold."""
+    usable = F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out(F.col("doc_id"))
+    return (labels.where(usable).groupBy("doc_id").agg(F.max("quality").alias("label"))
+            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
+
+
+def fitted(pooled: DataFrame, chosen: DataFrame) -> Network:
+    """The network fitted to the rows of ``pooled`` that ``chosen`` labels (its size is bounded)."""
     rows = pooled.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "features", "label").toArrow().sort_by("doc_id")
     x = np.array([np.frombuffer(b, np.float32) for b in rows["features"].to_pylist()], np.float64).reshape(-1, 4 * DIM)
     return train(x, rows["label"].to_numpy().astype(np.float64))
@@ -305,7 +310,7 @@ def fitted(pooled: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Networ
 def score(documents: DataFrame, labels: DataFrame, threshold: float = 0.7, sample: int = SAMPLE) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted."""
     pooled = stored(features(documents, shared_vectors(documents)), "features")
-    net = fitted(pooled, labels, sample)
+    net = fitted(pooled, training_labels(labels, sample))
     kind = pooled.schema["doc_id"].dataType.simpleString()
 
     def scored(batches):
@@ -322,7 +327,9 @@ def accepted(documents: DataFrame, labels: DataFrame, threshold: float = 0.7, sa
 
     Scored in one pass beside the text, so the text is neither stored nor shuffled."""
     tables = shared_vectors(documents)
-    net = fitted(features(documents, tables), labels, sample)
+    chosen = training_labels(labels, sample)
+    labelled = documents.join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_semi")
+    net = fitted(features(labelled, tables), chosen)
 
     def keep(batches):
         words, shapes = tables.value
