@@ -15,12 +15,14 @@ Two sets link when 100 * |A and B| >= 75 * |A or B|, i.e. 7 |A and B| >= 3 (|A|
    shared shingles in a prefix one longer, since two different light sets that
    link share at least two there. Heavy sets scan the inverted lists of their prefix
    shingles, which hold every set from 3/4 of the boundary on. The boundary
-   between them is the size of least cost, subsets emitted plus list entries
-   scanned, from a histogram of both by size.
+   between them is the size of least cost: subsets emitted by the light sets plus,
+   for the heavy ones, 1 + log2(length) for each list they stand in (a list is
+   sorted and compared with its hubs, not pair by pair), from a histogram of both by size.
 4. Candidates from a list must have compatible sizes and enough shingles left
    from the shared one on (position filter); their overlap is counted exactly on
    the shared shingles.
-5. Components. First each list links its sets of similar size to one of them;
+5. Components. First each list links its sets of similar size to one of them (that
+   with the fewest shingles of its own);
    the components of these links are labelled, and only sets of one list that
    are in different components meet in the second step. A group of near copies
    thus costs one verification per member, not one per pair, and no link between
@@ -175,14 +177,14 @@ def _index(returned: pa.Table, sizes: pa.Table) -> pa.Table:
             alone = size[name] - int(n)  # shingles of no other class come first in the order
             q = prefix(size[name]) - alone
             if q > 0:
-                out.append({"class": name, "n": size[name], "alone": alone, "q": q, "scan": int(df[start:start + q].sum(dtype=np.int64)),
+                out.append({"class": name, "n": size[name], "alone": alone, "q": q, "scan": int(np.ceil(1 + np.log2(df[start:start + q])).sum()),
                             "keys": keys[start:start + n].astype(np.int64).tobytes()})
     return pa.Table.from_pylist(out, schema=INDEXED)
 
 
 def index(documents: DataFrame, members: DataFrame) -> DataFrame:
     """class, n (set size), alone (shingles of no other class), q (shared shingles in
-    the prefix), scan (entries of their lists), keys (the shared shingles in global order)."""
+    the prefix), scan (cost of their lists), keys (the shared shingles in global order)."""
     total = members.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
     buckets = min(1 << 19, max(shuffle_partitions(documents.sparkSession), math.ceil(total / BUCKET_ENTRIES)))
     dealt = documents.select(text_or_empty().alias("text")).mapInArrow(_deal(buckets), "bucket int, classes binary, counts binary, low binary, high binary")
@@ -197,7 +199,7 @@ def index(documents: DataFrame, members: DataFrame) -> DataFrame:
 # --- 3: light and heavy ------------------------------------------------------------------------------------------------
 
 def boundary(indexed: DataFrame) -> int:
-    """The size from which sets are heavy: least subsets enumerated plus list entries scanned.
+    """The size from which sets are heavy: least subsets enumerated plus lists scanned.
 
     Sizes are taken together in steps of 5 %, so the histogram stays small.
     """
@@ -214,7 +216,7 @@ def boundary(indexed: DataFrame) -> int:
     return at if at is not None else (1 << 31) - 1
 
 
-LISTED = pa.schema([("key", pa.int64()), ("class", pa.int64()), ("n", pa.int32()), ("left", pa.int32()), ("scans", pa.bool_())])
+LISTED = pa.schema([("key", pa.int64()), ("class", pa.int64()), ("n", pa.int32()), ("left", pa.int32()), ("alone", pa.int32()), ("scans", pa.bool_())])
 
 
 def _entries(first_heavy: int):
@@ -238,16 +240,17 @@ def _entries(first_heavy: int):
                 for key, left, scans in parts:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(key.view(np.int64)), pa.array(np.full(len(key), row["class"], np.int64)), pa.array(np.full(len(key), n, np.int32)),
-                         pa.array(left.astype(np.int32)), pa.array(np.full(len(key), scans))], schema=LISTED)
+                         pa.array(left.astype(np.int32)), pa.array(np.full(len(key), alone, np.int32)), pa.array(np.full(len(key), scans))], schema=LISTED)
     return entries
 
 
 def entries(indexed: DataFrame, first_heavy: int | None = None) -> DataFrame:
     """Entries of all lists: key (a shingle or a subset), class, n, left (most shingles
-    two sets can share if this is the first shared), scans (not only listed)."""
+    two sets can share if this is the first shared), alone (shingles of no other
+    class), scans (not only listed)."""
     at = boundary(indexed) if first_heavy is None else first_heavy
     return stored(indexed.select("class", "n", "alone", "q", "keys")
-                  .mapInArrow(_entries(at), "key long, class long, n int, left int, scans boolean"), "entries")
+                  .mapInArrow(_entries(at), "key long, class long, n int, left int, alone int, scans boolean"), "entries")
 
 
 # --- 4, 5: candidates, verification, components ------------------------------------------------------------------------
@@ -281,9 +284,13 @@ def linked_pairs(listed: DataFrame, indexed: DataFrame) -> DataFrame:
 
 
 def class_components(listed: DataFrame, indexed: DataFrame) -> DataFrame:
-    """class, component (a class of it) of every class that links with another."""
+    """class, component (a class of it) of every class that links with another.
+
+    A list's hub is its set with the fewest shingles of its own: among copies with
+    edits the original, which the others resemble more than each other.
+    """
     rows = listed.withColumn("band", F.floor(F.log("n") / math.log(4 / 3)).cast("int"))
-    hubs = (rows.groupBy("key", "band").agg(F.min(F.struct(~F.col("scans"), "class", "n", "left", "scans")).alias("h"), F.count("*").alias("m"))
+    hubs = (rows.groupBy("key", "band").agg(F.min(F.struct(~F.col("scans"), "alone", "class", "n", "left", "scans")).alias("h"), F.count("*").alias("m"))
             .where("m > 1").select("key", "band", "h.class", "h.n", "h.left", "h.scans"))
     to_hub = (rows.alias("x").join(hubs.alias("y"), F.expr("x.key = y.key and x.band = y.band and x.class <> y.class") & _may_link("x", "y"))
               .select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")).distinct())
