@@ -42,6 +42,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from .common import shuffle_partitions, stored, text_or_empty
 from .components import components
@@ -310,12 +311,17 @@ def class_components(listed: DataFrame, indexed: DataFrame) -> DataFrame:
     return components(links.unionByName(more)).select(F.col("node").alias("class"), F.col("label").alias("component"))
 
 
-def join(documents: DataFrame) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, class."""
+def _placed(documents: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, class, component (a class; null for the empty set) of each row."""
     members = sets(documents)
     indexed = index(documents, members)
     of_class = class_components(entries(indexed), indexed)
-    placed = (members.join(of_class, "class", "left").withColumn("component", F.coalesce("component", "class")))
+    return members.join(of_class, "class", "left").withColumn("component", F.coalesce("component", "class"))
+
+
+def join(documents: DataFrame) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, class."""
+    placed = _placed(documents)
     least = placed.where(F.col("component").isNotNull()).groupBy("component").agg(F.min("doc_id").alias("component_id"))
     return (placed.join(least, "component", "left")
             .select("doc_id", "n_shingles", F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
@@ -323,11 +329,22 @@ def join(documents: DataFrame) -> DataFrame:
 
 
 def one_of_each(documents: DataFrame) -> DataFrame:
-    """``documents`` without the near copies: of each component the row of its smallest
-    doc_id stays (one row, where ids repeat); documents without words all stay."""
-    ids = join(documents)
-    keep = ids.where((F.col("n_shingles") == 0) | F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = keep.select("doc_id", (F.col("n_shingles") == 0).alias("wordless")).distinct()
-    rows = documents.alias("d").join(kept.alias("k"), F.expr("d.doc_id <=> k.doc_id"))
-    words = rows.where("not k.wordless").select("d.*").dropDuplicates(["doc_id"])
-    return words.unionByName(rows.where("k.wordless").select("d.*"))
+    """``documents`` without the near copies: of each component one row of its smallest
+    doc_id stays (null after all others); documents without words all stay.
+
+    Rows are found again by id and set, so a repeated id with another text is
+    judged by its own text; of rows equal in both any one stays."""
+    first = (_placed(documents).where(F.col("component").isNotNull()).groupBy("component")
+             .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "class")).alias("first"))
+             .select(F.col("first.doc_id").alias("__id"), F.col("first.class").alias("__set")))
+
+    def named(batches):
+        for batch in batches:
+            texts = (t.encode("utf-8") for t in batch.column("text").fill_null("").to_pylist())
+            names = [set_key(s) if len(s) else None for s in shingle_sets(texts)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.int64())], names=[*batch.schema.names, "__class"])
+
+    schema = StructType([*documents.schema.fields, StructField("__class", LongType())])
+    rows = documents.mapInArrow(named, schema)
+    kept = rows.alias("d").join(first.alias("f"), F.expr("d.__class = f.__set and d.doc_id <=> f.__id"), "left_semi")
+    return (kept.dropDuplicates(["doc_id", "__class"]).unionByName(rows.where(F.col("__class").isNull())).drop("__class"))

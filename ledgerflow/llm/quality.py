@@ -300,7 +300,8 @@ def training_labels(labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
 
 def fitted(pooled: DataFrame, chosen: DataFrame) -> Network:
     """The network fitted to the rows of ``pooled`` that ``chosen`` labels (its size is bounded)."""
-    rows = pooled.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "features", "label").toArrow().sort_by("doc_id")
+    rows = (pooled.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min("features").alias("features"))
+            .toArrow().sort_by("doc_id"))
     x = np.array([np.frombuffer(b, np.float32) for b in rows["features"].to_pylist()], np.float64).reshape(-1, 4 * DIM)
     return train(x, rows["label"].to_numpy().astype(np.float64))
 

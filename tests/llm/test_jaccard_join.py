@@ -91,6 +91,15 @@ def test_documents_and_empty_table(spark):
     assert jj.join(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_one_row_of_each_group_stays(spark):
+    long, other = " ".join(f"w{i}" for i in range(50)), "quite another text of seven words"
+    rows = [(5, long, 1, "x"), (2, long + " end", 1, "x"), (2, other, 1, "y"), (None, long, 1, "z"), (None, "alone here", 1, "z"),
+            (9, None, 1, "n"), (9, None, 1, "n"), (2, other, 1, "y")]
+    out = jj.one_of_each(spark.createDataFrame(rows, SCHEMA))
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted(
+        [(2, long + " end", 1, "x"), (2, other, 1, "y"), (None, "alone here", 1, "z"), (9, None, 1, "n"), (9, None, 1, "n")], key=repr)
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 150)] + [(7, 7), (300, 200), (200, 250)]
     out = {r.node: r.label for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
