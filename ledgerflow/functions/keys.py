@@ -26,6 +26,6 @@ def surrogate_key(*cols) -> Column:
 
 
 def surrogate_key_sql(*exprs: str) -> str:
-    """The same key as SQL text (used by oracle queries and SQL-first callers)."""
+    """The same key as SQL text, for callers that write SQL."""
     parts = [f"coalesce(cast({e} as varchar), '{KEY_NULL_MARKER}')" for e in exprs]
     return f"md5(concat_ws('{KEY_SEPARATOR}', {', '.join(parts)}))"
