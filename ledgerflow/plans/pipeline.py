@@ -7,7 +7,9 @@ Models with a date are partitioned by its month. A run that finds such a table
 reads its high-water mark, computes only the months from the lookback on, and
 replaces these partitions by Spark's dynamic partition overwrite; all other
 partitions keep their files. ``full_refresh`` rebuilds every table. Each write
-observes its row count and appends one row to the audit log at ``_audit_log``.
+observes its row count and appends one row to the audit log at ``_audit_log``; with
+``checks`` the quality checks run on the written tables and their failures go to
+``_checks``. ``snapshot_run`` applies one snapshot run to a stored history.
 """
 
 from __future__ import annotations
@@ -24,9 +26,10 @@ from ..functions.keys import surrogate_key
 from ..operators import incremental as inc
 from ..operators.audit import RunContext, write_with_audit
 from ..operators.balances import incremental_daily_balances
+from ..operators.scd2 import snapshot_apply
 from ..sources.adapters import ORDERS_AS_OF, Tables
 from ..sources.files import absent
-from . import facts, reports
+from . import facts, reports, snapshots
 from .registry import load_all
 
 # Build order: dimensions, then facts, then what reads them.
@@ -41,7 +44,19 @@ ORDER = [
     "reserve_trend_90d", "eom_balance", "meter_profile_48",
 ]
 MONTH = "part_month"
-AUDIT_LOG = "_audit_log"
+AUDIT_LOG, CHECK_LOG = "_audit_log", "_checks"
+CHECKS = ["dq_not_null", "dq_unique", "dq_unique_combo", "dq_relationships", "dq_relationships_where", "dq_accepted_values",
+          "dq_expression", "dq_no_overlap", "dq_policy_pit", "dq_payment_total", "dq_freshness"]
+# Stored histories: keys, change time, and the source's state at a run time.
+SNAPSHOTS = {
+    "snap_customer_address": (["customer_id"], "last_updated_at", lambda t, at: snapshots.state_at(
+        t.crm_customer_changes(), ["customer_id"], "last_updated_at", at, "change_id", snapshots.ADDRESS_COLS)),
+    "snap_employee_role": (["employee_id"], "role_last_updated", lambda t, at: snapshots.state_at(
+        t.hr_employee_roles(), ["employee_id"], "role_last_updated", at, "change_id",
+        ["employee_id", "role", "department", "role_last_updated"])),
+    "snap_product_price": (["product_code"], "last_updated_at", lambda t, at: snapshots.state_at(
+        t.product_prices(), ["product_code"], "last_updated_at", at, "change_id", ["product_code", "price", "last_updated_at"])),
+}
 
 
 @dataclass(frozen=True)
@@ -111,7 +126,7 @@ def _full(name: str, t: Tables, as_of: dt.date) -> DataFrame:
 
 
 def run(spark: SparkSession, sf_dir: str, warehouse: str, models: list[str] | None = None, run: RunContext | None = None,
-        full_refresh: bool = False, as_of: dt.date = ORDERS_AS_OF, tables: Tables | None = None) -> DataFrame:
+        full_refresh: bool = False, as_of: dt.date = ORDERS_AS_OF, tables: Tables | None = None, checks: bool = False) -> DataFrame:
     """Build the models; the audit rows of this run."""
     run = run or RunContext(as_of, dt.datetime.now().replace(microsecond=0), "pipeline", "dev")
     t = tables or Tables(spark, sf_dir)
@@ -131,24 +146,60 @@ def run(spark: SparkSession, sf_dir: str, warehouse: str, models: list[str] | No
             rows = rows.withColumn(MONTH, F.date_format(spec.date, "yyyy-MM"))
         write_with_audit(rows, path, name, run, f"{root}/{AUDIT_LOG}", partition_by=[MONTH] if spec else None, only_touched=touched)
         t.materialized[name] = spark.read.parquet(path).drop(MONTH)
+    if checks:
+        check_results(t, run).write.mode("append").parquet(f"{root}/{CHECK_LOG}")
     log = spark.read.parquet(f"{root}/{AUDIT_LOG}")
     return log.where((F.col("invocation_id") == run.invocation_id)
                      & (F.col("run_started_at") == F.lit(run.run_started_at.isoformat(sep=" ")).cast("timestamp_ntz"))
                      & F.col("model_name").isin(*sorted(wanted)))
 
 
+def check_results(t: Tables, run: RunContext) -> DataFrame:
+    """check_name, failures, run of every quality check over the handle's (written) tables."""
+    jobs, out = load_all(), None
+    for name in CHECKS:
+        df = jobs[name](t)
+        failures = (F.sum("failures") if "failures" in df.columns else
+                    F.count_if(F.col("status") == "error") if "status" in df.columns else F.count(F.lit(1)))
+        row = df.agg(F.coalesce(failures, F.lit(0)).cast("long").alias("failures")).select(
+            F.lit(name).alias("check_name"), "failures", F.lit(run.invocation_id).alias("invocation_id"),
+            F.lit(run.run_started_at.isoformat(sep=" ")).cast("timestamp_ntz").alias("run_started_at"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def snapshot_run(spark: SparkSession, sf_dir: str, warehouse: str, name: str, run_ts: str, tables: Tables | None = None) -> DataFrame:
+    """Apply one run to the stored history of ``name``; the history after it.
+
+    Each run writes the history as its own partition ``run=<time>``, so a failed or
+    repeated run replaces only itself and readers always find the last whole one.
+    """
+    keys, updated_at, state = SNAPSHOTS[name]
+    path, run = f"{warehouse.rstrip('/')}/{name}", "".join(c for c in run_ts if c.isdigit())
+    before = None
+    if not absent(spark, path):
+        stored = spark.read.parquet(path).withColumn("run", F.col("run").cast("string")).where(F.col("run") < run)
+        last = inc.high_water_mark(stored, "run", None)
+        before = None if last is None else stored.where(F.col("run") == last).drop("run")
+    after = snapshot_apply(before, state(tables or Tables(spark, sf_dir), run_ts), keys, updated_at, F.lit(run_ts).cast("timestamp_ntz"), False)
+    after.write.mode("overwrite").parquet(f"{path}/run={run}")
+    return spark.read.parquet(f"{path}/run={run}")
+
+
 def main() -> None:
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf-dir", required=True)
     ap.add_argument("--warehouse", required=True)
     ap.add_argument("--models", default="")
     ap.add_argument("--full-refresh", action="store_true")
+    ap.add_argument("--checks", action="store_true")
     a = ap.parse_args()
     spark = SparkSession.builder.getOrCreate()
     from ..session import apply_job_configs, ensure_checkpoint_dir
     apply_job_configs(spark)
     ensure_checkpoint_dir(spark)
-    run(spark, a.sf_dir, a.warehouse, [m for m in a.models.split(",") if m] or None, full_refresh=a.full_refresh).show(100, False)
+    run(spark, a.sf_dir, a.warehouse, [m for m in a.models.split(",") if m] or None, full_refresh=a.full_refresh,
+        checks=a.checks).show(100, False)
 
 
 if __name__ == "__main__":
