@@ -67,5 +67,74 @@ from r
 """
 
 
+JACCARD_JOIN = r"""
+with recursive d as (
+  select row_number() over () as r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x20\x09-\x0D]+') as ws from documents),
+s as materialized (
+  select r, doc_id, list_distinct(case when len(ws) = 0 then [] when len(ws) < 5 then [array_to_string(ws, ' ')]
+    else [array_to_string(ws[i:i + 4], ' ') for i in range(1, len(ws) - 3)] end) as shingles from d),
+u as materialized (select r, unnest(shingles) as x from s),
+pairs as (select a.r as ra, b.r as rb, count(*) as o from u a join u b on a.x = b.x and a.r < b.r group by a.r, b.r),
+links as materialized (
+  select ra, rb from pairs join s a on a.r = ra join s b on b.r = rb
+  where 100 * o >= 75 * (len(a.shingles) + len(b.shingles) - o)),
+edges as materialized (select ra as a, rb as b from links union all select rb, ra from links),
+reach(a, b) as (
+  select r, r from s
+  union
+  select reach.a, edges.b from reach join edges on reach.b = edges.a)
+select s.doc_id, cast(len(s.shingles) as bigint) as n_shingles, min(t.doc_id) as component_id
+from s join reach on reach.a = s.r join s t on t.r = reach.b
+group by s.r, s.doc_id, len(s.shingles)
+"""
+
+LICENSE_SCAN = r"""
+with notices as (
+  select label, list_distinct(string_split(words, ' ')) as words from (values
+    ('apache-2.0', 'licensed under the apache license version 2 0'),
+    ('bsd', 'redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met'),
+    ('cc-by-4.0', 'this work is licensed under a creative commons attribution 4 0 international license'),
+    ('cc-by-nc-4.0', 'licensed under cc by nc 4 0'),
+    ('gpl-3.0', 'this work is licensed under the gnu general public license version 3'),
+    ('mit', 'permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files'),
+    ('mpl-2.0', 'this source code form is subject to the terms of the mozilla public license v 2 0')) as v(label, words)),
+d as (
+  select row_number() over () as r, doc_id,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as low from documents),
+w as (select r, doc_id, low, regexp_extract_all(low, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from d),
+p as (
+  select r, doc_id, len(ws) as n_words,
+    [i - 1 for i in range(1, len(ws)) if ws[i] = 'cc' and ws[i + 1] = 'by'] as cc,
+    [i - 1 for i in range(1, len(ws) - 1) if ws[i] = 'general' and ws[i + 1] = 'public' and ws[i + 2] = 'license'] as gpl,
+    [i - 1 for i in range(1, len(ws) - 1) if ws[i] = 'all' and ws[i + 1] = 'rights' and ws[i + 2] = 'reserved'] as res
+  from w),
+b as (
+  select r, list_distinct(regexp_extract_all(block, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) as ws
+  from (select r, unnest(string_split_regex(regexp_replace(low, '([.!?])[ \t]+', '\1' || chr(10), 'g'), '[\n\r]+')) as block from d)),
+h as (
+  select r, label, max(len(list_intersect(ws, words)) / len(words)) as share from b, notices
+  where 10 * len(list_intersect(ws, words)) >= 8 * len(words) group by r, label),
+m as (select r, list(label) as own, max(share) as share from h group by r),
+q as (
+  select p.*, cc || gpl || res as places, coalesce(own, []) as own, share,
+    case when len(cc) > 0 then ['cc-by'] else [] end || case when len(gpl) > 0 then ['gpl'] else [] end
+      || case when len(res) > 0 then ['reserved'] else [] end as base
+  from p left join m using (r))
+select doc_id, cast(n_words as bigint) as n_words, cast(len(places) as bigint) as n_base,
+  cast(list_min(places) as bigint) as first_word, cast(list_max(places) as bigint) as last_word,
+  array_to_string(list_sort(base), ',') as base_labels, array_to_string(list_sort(list_distinct(base || own)), ',') as labels,
+  case when len(places) > 0 then 1.0::double else coalesce(share, 0)::double end as score
+from q
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": WARC, "op3_exact_topk": EXACT_TOPK, "op10_curriculum_mix": CURRICULUM_MIX}
+    return {
+        "op1_jaccard_join": JACCARD_JOIN,
+        "op2_warc": WARC,
+        "op3_exact_topk": EXACT_TOPK,
+        "op7_license_scan": LICENSE_SCAN,
+        "op10_curriculum_mix": CURRICULUM_MIX,
+    }
