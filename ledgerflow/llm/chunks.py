@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 CUT = re.compile(r"(?<=\S)(?= )")
 ODD = re.compile(r"\s ")
-AT_A_TIME = 4_000_000  # characters whose pieces are held at once
+AT_A_TIME = 1_500_000  # characters whose pieces are held at once
 
 
 def segments(text: str, length: int = AT_A_TIME) -> Iterator[tuple[bool, str]]:
@@ -51,7 +51,7 @@ def keys(segment: str, spaced: bool) -> list[str]:
 class Recent:
     """Values of the keys of about the last ``2 * limit`` different keys."""
 
-    def __init__(self, compute: Callable[[list[str]], Iterable], limit: int = 500_000):
+    def __init__(self, compute: Callable[[list[str]], Iterable], limit: int = 150_000):
         self.compute, self.limit, self.young, self.old, self.long = compute, limit, {}, {}, []
 
     def of(self, keys: set[str]) -> dict[str, object]:

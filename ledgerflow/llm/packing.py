@@ -24,6 +24,7 @@ power of two.
 
 from __future__ import annotations
 
+import functools
 import json
 import os
 import zlib
@@ -48,6 +49,15 @@ _ENCODERS: dict[str, Recent] = {}
 LATIN_END = "\u0250"  # characters below are of one kind in every version of Unicode
 
 
+@functools.cache
+def library(path: str):
+    """The library's encoder, loaded where a text needs it."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
 def merges_in_id_order(path: str):
     """(special strings, function from text to ids) for a vocabulary file whose merges
     stand in the order of their ids, None for another.
@@ -73,24 +83,20 @@ def merges_in_id_order(path: str):
 def encoder(path: str) -> Recent:
     """Token ids (little-endian 32 bit) of pieces; one for each worker process and vocabulary file."""
     if path not in _ENCODERS:
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        library = Tokenizer.from_file(path)
         plain = merges_in_id_order(path)
 
         def encode(pieces: list[str]) -> list[bytes]:
             texts = [as_text(p) for p in pieces]
-            if plain is None:
-                rest, quick = texts, None
-            else:
+            rest, quick = texts, None
+            if plain is not None:
                 special, quick = plain
                 whole = "\n".join(texts)
                 there = [x for x in special if x in whole]
                 rest = [t for t in texts if not (t.isascii() or max(t) < LATIN_END) or there and any(x in t for x in there)]
-            slow = {t: array("I", e.ids).tobytes() for t, e in zip(rest, library.encode_batch_fast(rest, add_special_tokens=False), strict=True)}
-            if len(slow) == len(texts):
-                return [slow[t] for t in texts]
+            if not rest:
+                return [array("I", quick(t)).tobytes() for t in texts]
+            found = library(path).encode_batch_fast(rest, add_special_tokens=False)
+            slow = {t: array("I", e.ids).tobytes() for t, e in zip(rest, found, strict=True)}
             return [slow[t] if t in slow else array("I", quick(t)).tobytes() for t in texts]
 
         _ENCODERS[path] = Recent(encode)
