@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow.session import ensure_checkpoint_dir
 
+TEXTS_A_BATCH = 1000  # rows of an Arrow batch that carries whole texts
 # One word between white space, as a Java regular expression.
 SPACED_WORD = r"[^\x20\x09-\x0D]+"
 
@@ -29,6 +30,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def texts_by_arrow(documents: DataFrame) -> DataFrame:
+    """``documents``, in a session whose Arrow batches hold few rows.
+
+    The default of 10,000 rows is made for numbers; with whole texts it holds tens of
+    MB several times over in the JVM and in the Python worker of every task.
+    """
+    documents.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXTS_A_BATCH))
+    return documents
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 

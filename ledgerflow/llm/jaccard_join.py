@@ -44,12 +44,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import shuffle_partitions, stored, text_or_empty
+from .common import shuffle_partitions, stored, text_or_empty, texts_by_arrow
 from .components import components
-from .shingles import set_key, shingle_sets
+from .shingles import encoded, set_key, shingle_sets
 
-BUCKET_ENTRIES = 2_000_000  # shingles in a bucket, on average
-FLUSH = 1_000_000  # shingles a task holds before it deals them out
+BUCKET_ENTRIES = 1_500_000  # shingles in a bucket, on average
+FLUSH = 500_000  # shingles a task holds before it deals them out
 LOW = 44  # bits of a shingle's hash kept within its bucket
 SUBSET = 2
 _u = np.uint64
@@ -66,12 +66,12 @@ def prefix(n: int) -> int:
 # --- 1, 2: sets, classes, inverted lists ------------------------------------------------------------------------------
 
 def _sets(batch: pa.RecordBatch):
-    return shingle_sets(t.encode("utf-8") for t in batch.column("text").to_pylist())
+    return shingle_sets(encoded(batch.column("text")))
 
 
 def sets(documents: DataFrame) -> DataFrame:
     """doc_id, n_shingles, class (null for the empty set)."""
-    d = documents.select("doc_id", text_or_empty().alias("text"))
+    d = texts_by_arrow(documents).select("doc_id", text_or_empty().alias("text"))
 
     def named(batches):
         for batch in batches:
@@ -340,8 +340,7 @@ def one_of_each(documents: DataFrame) -> DataFrame:
 
     def named(batches):
         for batch in batches:
-            texts = (t.encode("utf-8") for t in batch.column("text").fill_null("").to_pylist())
-            names = [set_key(s) if len(s) else None for s in shingle_sets(texts)]
+            names = [set_key(s) if len(s) else None for s in shingle_sets(encoded(batch.column("text")))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.int64())], names=[*batch.schema.names, "__class"])
 
     schema = StructType([*documents.schema.fields, StructField("__class", LongType())])

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .chunks import Recent, as_text, by_text
-from .common import stored, text_or_empty
+from .common import stored, text_or_empty, texts_by_arrow
 from .token_counts import byte_symbols
 
 WINDOW = 1024
@@ -228,7 +228,7 @@ def slots(windows: list[tuple[list[int], int]], window: int) -> dict[int, np.nda
 
 def pack(documents: DataFrame, path: str, window: int = WINDOW, end_id: int = 0) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
-    d = documents.select("doc_id", text_or_empty().alias("text"))
+    d = texts_by_arrow(documents).select("doc_id", text_or_empty().alias("text"))
     kind = d.schema["doc_id"].dataType.simpleString()
     cut = d.mapInArrow(_cut(path, window, end_id.to_bytes(4, "little")),
                        f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long")

@@ -25,6 +25,7 @@ an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,14 +33,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, text_or_empty
-from .shingles import BUFFER, _mixed, _power_tables, _SPACE, _u
+from .common import stored, text_or_empty, texts_by_arrow
+from .shingles import BUFFER, encoded, _mixed, _power_tables, _SPACE, _u
 
 DIM = 32
 WORD_ROWS, SHAPE_ROWS = 1 << 15, 1 << 12
 PARTS = 16
 REACH = (1, 2)
-AT_ONCE = 200_000  # words whose vectors are held at once
+AT_ONCE = 100_000  # words whose vectors are held at once
 SAMPLE = 20_000  # most labelled documents that the network is fitted to
 FOLD, FOLDS = 2, 4
 
@@ -77,7 +78,7 @@ def _rows(words: np.ndarray, shapes: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return (words % _u(WORD_ROWS)).astype(np.int64), (_mixed(shapes + again) % _u(SHAPE_ROWS)).astype(np.int64)
 
 
-def token_rows(texts: list[bytes]):
+def token_rows(texts: Iterable[bytes]):
     """(word rows, shape rows) of each text, in order."""
     held, size = [], 0
 
@@ -109,10 +110,6 @@ def token_rows(texts: list[bytes]):
     yield from flush()
 
 
-def _encoded(batch: pa.RecordBatch) -> list[bytes]:
-    return [t.encode("utf-8") for t in batch.column("text").to_pylist()]
-
-
 # --- 1: random indexing ---------------------------------------------------------------------------------------------------
 
 def index_vectors(rows: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -144,7 +141,7 @@ def word_vectors(documents: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         words, shapes = np.zeros(WORD_ROWS * DIM), np.zeros(SHAPE_ROWS * DIM)
         for batch in batches:
             ws, ss, held = [], [], 0
-            for w, s in token_rows(_encoded(batch)):
+            for w, s in token_rows(encoded(batch.column("text"))):
                 for i in range(0, len(w), AT_ONCE):  # a long text in runs that share their neighbours
                     cut = slice(i, i + AT_ONCE + max(REACH))
                     ws.append(w[cut])
@@ -193,7 +190,7 @@ def features(documents: DataFrame, tables) -> DataFrame:
     def pool(batches):
         words, shapes = tables.value
         for batch in batches:
-            out = [np.concatenate([_pooled(w, words), _pooled(s, shapes)]).astype(np.float32).tobytes() for w, s in token_rows(_encoded(batch))]
+            out = [np.concatenate([_pooled(w, words), _pooled(s, shapes)]).astype(np.float32).tobytes() for w, s in token_rows(encoded(batch.column("text")))]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.binary())], names=["doc_id", "features"])
 
     return d.mapInArrow(pool, f"doc_id {d.schema['doc_id'].dataType.simpleString()}, features binary")
@@ -310,6 +307,7 @@ def fitted(pooled: DataFrame, chosen: DataFrame) -> Network:
 
 def score(documents: DataFrame, labels: DataFrame, threshold: float = 0.7, sample: int = SAMPLE) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted."""
+    documents = texts_by_arrow(documents)
     pooled = stored(features(documents, shared_vectors(documents)), "features")
     net = fitted(pooled, training_labels(labels, sample))
     kind = pooled.schema["doc_id"].dataType.simpleString()
@@ -327,6 +325,7 @@ def accepted(documents: DataFrame, labels: DataFrame, threshold: float = 0.7, sa
     """``documents`` without the rows that score below the threshold.
 
     Scored in one pass beside the text, so the text is neither stored nor shuffled."""
+    documents = texts_by_arrow(documents)
     tables = shared_vectors(documents)
     chosen = training_labels(labels, sample)
     labelled = documents.join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_semi")
@@ -335,8 +334,8 @@ def accepted(documents: DataFrame, labels: DataFrame, threshold: float = 0.7, sa
     def keep(batches):
         words, shapes = tables.value
         for batch in batches:
-            texts = [(t or "").encode("utf-8") for t in batch.column("text").to_pylist()]
-            x = [np.concatenate([_pooled(w, words), _pooled(s, shapes)]).astype(np.float32) for w, s in token_rows(texts)]
+            x = [np.concatenate([_pooled(w, words), _pooled(s, shapes)]).astype(np.float32)
+                 for w, s in token_rows(encoded(batch.column("text")))]
             good = net.probability(np.array(x, np.float64).reshape(-1, 4 * DIM)) >= threshold
             yield batch.filter(pa.array(good))
 
