@@ -9,8 +9,9 @@ cumulative demand of words at time t is
     D(t) = target * (a t + (b - a) t^2 / 2) / ((a + b) / 2).
 
 The documents of a source stand in one fixed pseudo-random order, pass after
-pass. A document that begins after c words of its source is wanted at the time
-t with D(t) = c: its training position. Documents are range-sorted by position.
+pass. A take that begins after c words of its source, those of earlier passes
+included, is wanted at the time t with D(t) = c: its training position. Takes
+are range-sorted by position, so each pass of a document has a place of its own.
 
 The running sums are built from sums of (source, slice) groups, slices being
 ranges of the order's hash: no source, however large, meets in one task. The
@@ -90,14 +91,9 @@ def _position(start: Column, quota: Column, place: Column, schedules) -> Column:
     return reduce(lambda acc, c: F.when(kind == c[0], c[1]).otherwise(acc), cases[1:], cases[0][1])
 
 
-def curriculum(documents: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, share=SHARE, max_epochs: int = MAX_EPOCHS,
-               slice_digits: int = SLICE_DIGITS, keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, taken, position.
-
-    ``taken`` counts the words of all passes the mix takes (a source's sum is
-    its target, rounded down); ``position`` is the training time of the first
-    take, null if nothing is taken. Columns named in ``keep`` follow as they are.
-    """
+def _planned(documents: DataFrame, weights, schedules, share, max_epochs: int, slice_digits: int, keep: tuple[str, ...]) -> DataFrame:
+    """One row per document: doc_id, size, source_size, target, takes and ``keep``;
+    ``takes`` has (pass, taken, position) for each pass that takes words, in order."""
     narrow = documents.select(
         "doc_id", "source", spaced_words().alias("size"),
         F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("order_key"), *keep)
@@ -119,12 +115,39 @@ def curriculum(documents: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, share
     quota = F.floor("target").cast("long")
     begun = (joined.withColumn("start", F.col("slice_start") + F.coalesce(F.sum("size").over(within), F.lit(0)))
              .withColumn("quota", quota))
-    takes = [F.greatest(F.lit(0), F.least(F.col("size"), F.col("quota") - F.col("start") - e * F.col("source_size")))
-             for e in range(max_epochs)]
-    return (begun.withColumn("taken", reduce(lambda x, y: x + y, takes).cast("long"))
-            .withColumn("position", F.when(F.col("taken") > 0,
-                                           _position(F.col("start"), F.col("quota"), F.col("place"), schedules)))
-            .select("doc_id", "size", "source_size", "target", "taken", "position", *keep))
+    takes = []
+    for e in range(max_epochs):
+        at = F.col("start") + e * F.col("source_size")
+        taken = F.greatest(F.lit(0), F.least(F.col("size"), F.col("quota") - at)).cast("long")
+        takes.append(F.when(taken > 0, F.struct(F.lit(e).alias("pass"), taken.alias("taken"),
+                                                _position(at, F.col("quota"), F.col("place"), schedules).alias("position"))))
+    return begun.select("doc_id", "size", "source_size", "target", F.array_compact(F.array(*takes)).alias("takes"), *keep)
+
+
+def curriculum(documents: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, share=SHARE, max_epochs: int = MAX_EPOCHS,
+               slice_digits: int = SLICE_DIGITS, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per document: doc_id, size, source_size, target, taken, position.
+
+    ``taken`` counts the words of all passes the mix takes (a source's sum is
+    its target, rounded down); ``position`` is the training time of the first
+    take, null if nothing is taken. Columns named in ``keep`` follow as they are.
+    """
+    return _planned(documents, weights, schedules, share, max_epochs, slice_digits, keep).select(
+        "doc_id", "size", "source_size", "target",
+        F.aggregate("takes", F.lit(0).cast("long"), lambda n, x: n + x["taken"]).alias("taken"),
+        F.get("takes", F.lit(0))["position"].alias("position"), *keep)
+
+
+def passes(documents: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, share=SHARE, max_epochs: int = MAX_EPOCHS,
+           slice_digits: int = SLICE_DIGITS, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per document and pass that takes words of it: doc_id, size,
+    source_size, target, pass (from 0), taken, position. A document of which
+    nothing is taken has one row with null pass and position."""
+    return (_planned(documents, weights, schedules, share, max_epochs, slice_digits, keep)
+            .withColumn("take", F.explode_outer("takes"))
+            .select("doc_id", "size", "source_size", "target", F.col("take")["pass"].alias("pass"),
+                    F.coalesce(F.col("take")["taken"], F.lit(0).cast("long")).alias("taken"),
+                    F.col("take")["position"].alias("position"), *keep))
 
 
 def in_training_order(mixed: DataFrame) -> DataFrame:
@@ -134,10 +157,8 @@ def in_training_order(mixed: DataFrame) -> DataFrame:
 
 def copies(documents: DataFrame, columns: list[str], **options) -> DataFrame:
     """The mixed corpus: every document once for each pass that takes at least
-    half of its words, whole, in training order. Documents without words stay."""
+    half of its words, whole, each at that pass's own place in training order.
+    Documents without words stay."""
     whole = F.struct(*[F.col(f"`{c}`") for c in columns]).alias("__row")
-    mixed = curriculum(documents.select("doc_id", "text", "source", whole), keep=("__row",), **options)
-    times = F.when(F.col("size") == 0, 1).otherwise(F.floor((F.col("taken") * 2 + F.col("size")) / (F.col("size") * 2)))
-    return (in_training_order(mixed.withColumn("times", times.cast("int")).where("times > 0"))
-            .withColumn("time", F.explode(F.sequence(F.lit(1), F.col("times"))))
-            .select("__row.*"))
+    mixed = passes(documents.select("doc_id", "text", "source", whole), keep=("__row",), **options)
+    return in_training_order(mixed.where((F.col("size") == 0) | (F.col("taken") * 2 >= F.col("size")))).select("__row.*")

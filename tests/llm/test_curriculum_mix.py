@@ -70,3 +70,28 @@ def test_copies_repeat_rows_in_training_order(spark):
     rows = out.collect()
     assert out.columns == df.columns and all(r.place == r.doc_id and r["size"] == "z" for r in rows)
     assert max(sum(r.doc_id == i for r in rows) for i in range(40)) <= 2 and len(rows) > 40
+
+
+def test_each_pass_has_its_own_position(spark):
+    # "a" and "b" are at their cap of two passes, "c" takes a second pass in part
+    sizes = {"a": 100, "b": 50, "c": 400}
+    docs = [(1000 * k + i, "w x", s) for k, (s, n) in enumerate(sizes.items()) for i in range(n // 2)]
+    df = spark.createDataFrame([(*d, "z", 1) for d in docs], SCHEMA)
+    rows = cm.passes(df).collect()
+    want = targets(sizes)
+    for i, s in enumerate(sizes):
+        a, b = cm.SCHEDULES[i]
+        mine = [r for r in rows if r.doc_id // 1000 == i]
+        assert sum(r.taken for r in mine) == int(want[s])
+        begun = 0
+        for r in sorted((r for r in mine if r.taken), key=lambda r: r.position):
+            demand = float(want[s]) * (a * r.position + (b - a) * r.position ** 2 / 2) / ((a + b) / 2)
+            assert abs(demand - begun) < 1.01  # the order realises the scheduled demand at all times
+            begun += r.taken
+
+
+def test_copies_place_the_repeats_in_later_passes(spark):
+    docs = [(i, "w x y z", s, "z", 1) for i, s in enumerate(["s"] * 60 + ["t"] * 400)]
+    out = [r.doc_id for r in cm.copies(spark.createDataFrame(docs, SCHEMA), ["doc_id", "source"]).collect()]
+    small = [i for i in out if i < 60]
+    assert len(small) == 120 and small[:60] == small[60:] and len(set(small[:60])) == 60
