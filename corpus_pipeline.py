@@ -2,7 +2,7 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all rows that the stage
 before it kept. All but the last return the columns of ``documents``; the last
-returns the pieces of the packed sequences.
+returns the pieces of the packed sequences with their ids.
 """
 
 from __future__ import annotations
@@ -42,7 +42,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents with their places in sequences of 1024 tokens."""
+    """The pieces of all documents, token ids included, with their places in sequences of 1024 tokens."""
     return packing.pack(docs, vocabulary())
 
 

@@ -9,7 +9,8 @@
 3. Residual counts are packed greedily, longest first, each gap taking the
    longest length that fits, as often as the counts allow at once.
 4. Each piece gets its rank among the pieces of its length, and the plan says
-   which window and offset that rank has.
+   which window and offset that rank has. Its ids go along; ``sequences`` puts
+   the pieces of each window together.
 
 Ranks come from running sums over (length, slice) counts, slices being hash
 ranges: a length that most pieces share (a full window, a group of copies) is
@@ -41,6 +42,7 @@ from .token_counts import byte_symbols
 
 WINDOW = 1024
 SLICES = 512
+HELD_BYTES = 8 << 20  # of ids in one Arrow batch
 
 
 # --- token ids ------------------------------------------------------------------------------------------------------
@@ -109,20 +111,27 @@ def _cut(path: str, window: int, end: bytes):
     def cut(batches):
         encode = encoder(path)
         for batch in batches:
-            ids, texts = batch.column("doc_id"), batch.column("text").to_pylist()
-            at, start, length, crc, total = [], [], [], [], []
+            doc_ids, texts = batch.column("doc_id"), batch.column("text").to_pylist()
+            at, start, ids, total, held = [], [], [], [], 0
+
+            def rows():
+                return pa.RecordBatch.from_arrays(
+                    [doc_ids.take(pa.array(at, pa.int64())), pa.array(start, pa.int64()), pa.array([len(x) // 4 for x in ids], pa.int64()),
+                     pa.array([zlib.crc32(x) for x in ids], pa.int64()), pa.array(total, pa.int64()), pa.array(ids, pa.binary())],
+                    names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"])
+
             for i, parts in enumerate(by_text(texts, encode, b"".join)):
                 data = b"".join([*parts, end])
                 for s in range(0, len(data), width):
-                    piece = data[s:s + width]
                     at.append(i)
                     start.append(s // 4)
-                    length.append(len(piece) // 4)
-                    crc.append(zlib.crc32(piece))
+                    ids.append(data[s:s + width])
                     total.append(len(data) // 4)
-            yield pa.RecordBatch.from_arrays(
-                [ids.take(pa.array(at, pa.int64())), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64()),
-                 pa.array(total, pa.int64())], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+                    held += len(ids[-1])
+                    if held >= HELD_BYTES:
+                        yield rows()
+                        at, start, ids, total, held = [], [], [], [], 0
+            yield rows()
 
     return cut
 
@@ -227,12 +236,13 @@ def slots(windows: list[tuple[list[int], int]], window: int) -> dict[int, np.nda
 # --- the operator ---------------------------------------------------------------------------------------------------
 
 def pack(documents: DataFrame, path: str, window: int = WINDOW, end_id: int = 0) -> DataFrame:
-    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
+    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id,
+    offset, ids (binary, little-endian 32 bit)."""
     d = texts_by_arrow(documents).select("doc_id", text_or_empty().alias("text"))
     kind = d.schema["doc_id"].dataType.simpleString()
     cut = d.mapInArrow(_cut(path, window, end_id.to_bytes(4, "little")),
-                       f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long")
-    pieces = stored(cut, "pieces").withColumn("slice", F.pmod(F.xxhash64("doc_id", "start"), F.lit(SLICES)).cast("int"))
+                       f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, ids binary")
+    pieces = stored(cut, "pieces", compression="zstd").withColumn("slice", F.pmod(F.xxhash64("doc_id", "start"), F.lit(SLICES)).cast("int"))
     counts = stored(pieces.groupBy("length", "slice").count(), "counts")
     histogram = np.zeros(window + 1, np.int64)
     for r in counts.groupBy("length").agg(F.sum("count").alias("n")).collect():  # at most ``window`` rows
@@ -244,7 +254,7 @@ def pack(documents: DataFrame, path: str, window: int = WINDOW, end_id: int = 0)
     within = Window.partitionBy("length", "slice").orderBy("doc_id", "start", "ids_crc32", "doc_tokens")
     ranked = (pieces.join(begun, ["length", "slice"])
               .withColumn("rank", F.col("begun") + F.row_number().over(within) - 1)
-              .select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "rank"))
+              .select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids", "rank"))
 
     def placed(batches):
         for batch in batches:
@@ -257,7 +267,15 @@ def pack(documents: DataFrame, path: str, window: int = WINDOW, end_id: int = 0)
                 sequence[at] = slot[:, 1] + rank[at] - slot[:, 0]
                 offset[at] = slot[:, 2]
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in ("doc_id", "start", "length", "ids_crc32", "doc_tokens")], pa.array(sequence), pa.array(offset)],
-                names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
+                [*[batch.column(c) for c in ("doc_id", "start", "length", "ids_crc32", "doc_tokens")], pa.array(sequence), pa.array(offset),
+                 batch.column("ids")], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"])
+
+    return ranked.mapInArrow(placed, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
+                                     "ids binary")
+
 
-    return ranked.mapInArrow(placed, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+def sequences(packed: DataFrame) -> DataFrame:
+    """One row per window: sequence_id, ids of its pieces in order of their offsets (binary)."""
+    pieces = F.array_sort(F.collect_list(F.struct("offset", "ids")))
+    return (packed.groupBy("sequence_id").agg(pieces.alias("pieces"))
+            .select("sequence_id", F.aggregate("pieces", F.lit(b""), lambda done, x: F.concat(done, x["ids"])).alias("ids")))

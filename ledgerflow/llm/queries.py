@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import ann, curriculum_mix, exact_topk, jaccard_join, license_scan, packing, pii, quality, token_counts, warc
 from .common import table
@@ -46,7 +47,9 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), vocabulary())
+    pieces = packing.pack(table(spark, sf_dir, "documents"), vocabulary())
+    return pieces.select("doc_id", "start", F.floor(F.octet_length("ids") / 4).alias("length"), F.crc32("ids").alias("ids_crc32"),
+                         "doc_tokens", "sequence_id", "offset")
 
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -96,3 +96,22 @@ def test_least_squares_meets_a_histogram_that_fits():
     x = packing.least_squares(rows, histogram)
     got = np.bincount(rows.ravel(), weights=np.repeat(x, 3), minlength=33)
     assert (x >= 0).all() and abs(got - histogram)[1:].max() < 0.05 * histogram.max()
+
+
+def test_sequences_hold_the_ids_of_the_texts(spark):
+    texts = [(i, f"text number {i} " * (1 + 97 * i % 400)) for i in range(60)]
+    packed = packing.pack(spark.createDataFrame(texts, "doc_id long, text string"), PATH).cache()
+    whole = {r.sequence_id: np.frombuffer(r.ids, "<u4") for r in packing.sequences(packed).collect()}
+    assert max(map(len, whole.values())) <= 1024
+    got = {i: [] for i, _ in texts}
+    for r in sorted(packed.collect(), key=lambda r: (r.doc_id, r.start)):
+        got[r.doc_id] += whole[r.sequence_id][r.offset:r.offset + r.length].tolist()
+    assert got == {i: [*LIBRARY.encode(t, add_special_tokens=False).ids, 0] for i, t in texts}
+
+
+def test_query_keeps_its_columns(spark):
+    from ledgerflow.llm.queries import op8_packing
+
+    rows = op8_packing(spark, SF_SMALL)
+    assert rows.dtypes == [("doc_id", "bigint"), *[(c, "bigint") for c in ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")]]
+    check(rows.collect(), [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()])
