@@ -16,7 +16,10 @@ Templates are a short literal list, so the join runs inside each row: no
 explode, no shuffle, nothing for a hot document or notice to gather on. Only the
 frequency table, one row per template word, comes to the driver.
 
-Beside it the fixed phrases are located word by word in the whole text.
+Beside it the fixed phrases are located word by word in the whole text, and
+``references``, short forms that name a license ("released under the MIT
+License", SPDX identifiers), are sought there as whole runs of words: eight
+tenths of so few words would not tell one license from another.
 
 Defined cases: null and empty texts have no words and no labels; one row comes
 out for every row that comes in, repeated or not; null ids stay null; an empty
@@ -26,6 +29,7 @@ table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,6 +51,33 @@ TEMPLATES = {
            "associated documentation files",
     "mpl-2.0": "this source code form is subject to the terms of the mozilla public license v 2 0",
 }
+# Names and SPDX identifiers by which a short notice refers to a license, as words.
+NAMES = {
+    "apache-2.0": ("apache license 2 0", "apache license v2 0", "apache license version 2 0", "apache license v 2 0", "apache license v2",
+                   "apache license version 2", "apache 2 0", "apache 2 license"),
+    "bsd": ("bsd license", "bsd licence", "bsd 2 clause", "bsd 3 clause", "2 clause bsd", "3 clause bsd", "two clause bsd", "three clause bsd",
+            "new bsd license", "modified bsd license", "revised bsd license", "simplified bsd license"),
+    "cc-by-4.0": ("cc by 4 0", "creative commons attribution 4 0"),
+    "cc-by-nc-4.0": ("cc by nc 4 0", "creative commons attribution noncommercial 4 0", "creative commons attribution non commercial 4 0"),
+    "gpl-3.0": ("gpl 3 0", "gpl v3", "gpl v3 0", "gplv3", "gpl version 3", "general public license 3 0", "general public license v3",
+                "general public license v3 0", "general public license version 3"),
+    "mit": ("mit license", "mit licence", "expat license", "expat licence"),
+    "mpl-2.0": ("mpl 2 0", "mpl v2 0", "mpl version 2 0", "mozilla public license 2 0", "mozilla public license v2 0", "mozilla public license v 2 0",
+                "mozilla public license version 2 0"),
+}
+SPDX = {
+    "apache-2.0": ("apache 2 0",), "bsd": ("bsd 2 clause", "bsd 3 clause"), "cc-by-4.0": ("cc by 4 0",), "cc-by-nc-4.0": ("cc by nc 4 0",),
+    "gpl-3.0": ("gpl 3 0",), "mit": ("mit",), "mpl-2.0": ("mpl 2 0",),
+}
+REFERENCES = {
+    label: tuple([f"{lead} {name}" for name in names
+                  for lead in ("under", "under the", "under a", "under an", "under gnu", "under the gnu", "terms of the", "terms of the gnu")]
+                 + [f"spdx license identifier {i}" for i in SPDX[label]])
+    for label, names in NAMES.items()
+}
+# Words of references that many texts hold.
+COMMON = set("a an the under terms of by v v2 v3 0 2 3 4 version license licence identifier spdx clause new two three modified revised "
+             "simplified attribution creative general gnu international".split())
 THRESHOLD = (8, 10)  # eight tenths of a template's distinct words
 
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"  # what stands between the words of a lower-cased text
@@ -107,12 +138,13 @@ def _containment(template: list[str], threshold) -> Callable[[Column], Column]:
 
 
 def scan(documents: DataFrame, phrases: Mapping[str, str] = PHRASES, templates: Mapping[str, str] = TEMPLATES,
-         threshold=THRESHOLD) -> DataFrame:
+         threshold=THRESHOLD, references: Mapping[str, tuple[str, ...]] | None = None) -> DataFrame:
     """One row per document: doc_id, n_words, n_base, first_word, last_word,
     base_labels, labels, score.
 
-    ``score`` is 1 where a phrase stands, else the largest containment found.
+    ``score`` is 1 where a phrase or a reference stands, else the largest containment found.
     """
+    references = references or {}
     order = global_order(documents, templates)
     sets = {label: [w for w in order if w in set(t.split())] for label, t in templates.items()}
     prefixes = sorted({w for s in sets.values() for w in s[:len(s) - _needed(len(s), threshold) + 1]})
@@ -122,8 +154,9 @@ def scan(documents: DataFrame, phrases: Mapping[str, str] = PHRASES, templates:
     base = low.select("doc_id", "low", _words(F.col("low")).alias("words"))
     hit = lambda ws: F.arrays_overlap("words", _literal(ws))
     starters = sorted({p.split()[-1] for p in phrases})
+    telling = {max((w for w in r.split() if w not in COMMON), key=len, default=r.split()[-1]) for refs in references.values() for r in refs}
     flagged = base.select("doc_id", _count(F.col("words")).alias("n_words"),
-                          F.when(hit(starters), F.concat(F.lit(" "), F.trim(F.array_join("words", " ")), F.lit(" "))).alias("line"),
+                          F.when(hit(sorted({*starters, *telling})), F.concat(F.lit(" "), F.trim(F.array_join("words", " ")), F.lit(" "))).alias("line"),
                           F.when(hit(prefixes), F.col("low")).alias("candidate"))
 
     found, labels = [], []
@@ -146,6 +179,9 @@ def scan(documents: DataFrame, phrases: Mapping[str, str] = PHRASES, templates:
         best = F.array_max(F.transform("found", _containment(s, threshold)))
         shares = shares.withColumn(f"share_{i}", F.coalesce(F.when(F.size("found") > 0, best), F.lit(0.0)))
     own = [F.when(F.col(f"share_{i}") > 0, F.lit(label)) for i, label in enumerate(sets)]
+    names = {label: F.coalesce(F.col("line").rlike(f" (?:{'|'.join(refs)}) "), F.lit(False)) for label, refs in references.items()}
+    own += [F.when(there, F.lit(label)) for label, there in names.items()]
+    named = reduce(lambda x, y: x | y, names.values(), F.lit(False))
     joined = lambda cs: F.array_join(F.array_sort(F.array_distinct(F.array_compact(F.array(*cs)))), ",")
     n_base = sum((f[0] for f in found), F.lit(0)).cast("long")
     return shares.select(
@@ -153,5 +189,5 @@ def scan(documents: DataFrame, phrases: Mapping[str, str] = PHRASES, templates:
         F.least(*[f[1] for f in found]).cast("long").alias("first_word"),
         F.greatest(*[f[2] for f in found]).cast("long").alias("last_word"),
         joined(labels).alias("base_labels"), joined(labels + own).alias("labels"),
-        F.when(n_base > 0, F.lit(1.0)).otherwise(F.greatest(*[F.col(f"share_{i}") for i in range(len(sets))]))
+        F.when((n_base > 0) | named, F.lit(1.0)).otherwise(F.greatest(*[F.col(f"share_{i}") for i in range(len(sets))]))
         .alias("score"))

@@ -45,3 +45,21 @@ def test_equals_brute_force(spark):
     got = sorted((tuple(r) for r in ls.scan(spark.createDataFrame(rows, SCHEMA)).collect()), key=repr)
     assert got == sorted(((i, *brute(t)) for i, t, *_ in rows), key=repr)
     assert ls.scan(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_short_references_carry_their_label(spark):
+    texts = {"Released under the MIT License.": "mit", "SPDX-License-Identifier: BSD-3-Clause": "bsd", "under the MIT\n# licence": "mit",
+             "Licensed under the Mozilla Public License 2.0": "mpl-2.0", "distributed under the terms of the 3-clause BSD license": "bsd",
+             "released under the license of the project": "", "the MIT campus grants a license": "", "SPDX-License-Identifier: MITX": ""}
+    rows = ls.scan(spark.createDataFrame([(i, t, "x", 1) for i, t in enumerate(texts)], SCHEMA), references=ls.REFERENCES).collect()
+    assert {r.doc_id: (r.labels, r.score) for r in rows} == {i: (label, 1.0 if label else 0.0) for i, label in enumerate(texts.values())}
+
+
+def test_query_finds_short_references_of_the_table(spark):
+    from conftest import SF_CHECK
+
+    from ledgerflow.llm.queries import op7_license_scan
+
+    docs = {r.doc_id for r in spark.read.parquet(f"{SF_CHECK}/documents.parquet").collect() if "Released under the MIT License." in (r.text or "")}
+    rows = {r.doc_id: r for r in op7_license_scan(spark, SF_CHECK).collect()}
+    assert docs and all("mit" in rows[i].labels.split(",") and rows[i].score == 1.0 for i in docs)
