@@ -1,6 +1,8 @@
 """License scan: exact containment join of text blocks with license notices.
 
-A block is a sentence or line of a document, a template the distinct words of a
+A block is a sentence or line of a document and, with ``wrapped``, each of the
+overlapping windows of twice a template's length over its whole text, whatever
+line ends and comment marks stand in it. A template is the distinct words of a
 license notice. A block holds a template when at least ``threshold`` of the
 template's words occur in it. The join is exact and filters before it verifies:
 
@@ -137,8 +139,15 @@ def _containment(template: list[str], threshold) -> Callable[[Column], Column]:
     return share
 
 
+def _windows(words: Column, length: int, template: list[str]) -> Column:
+    """The template's words, in global order, in each window of twice ``length`` words;
+    a window begins at every ``length``-th word, so a run of ``length`` words is whole in one."""
+    starts = F.sequence(F.lit(1), F.greatest(F.size(words), F.lit(1)), F.lit(length))
+    return F.transform(starts, lambda i: F.array_intersect(_literal(template), F.slice(words, i, 2 * length)))
+
+
 def scan(documents: DataFrame, phrases: Mapping[str, str] = PHRASES, templates: Mapping[str, str] = TEMPLATES,
-         threshold=THRESHOLD, references: Mapping[str, tuple[str, ...]] | None = None) -> DataFrame:
+         threshold=THRESHOLD, references: Mapping[str, tuple[str, ...]] | None = None, wrapped: bool = False) -> DataFrame:
     """One row per document: doc_id, n_words, n_base, first_word, last_word,
     base_labels, labels, score.
 
@@ -157,7 +166,8 @@ def scan(documents: DataFrame, phrases: Mapping[str, str] = PHRASES, templates:
     telling = {max((w for w in r.split() if w not in COMMON), key=len, default=r.split()[-1]) for refs in references.values() for r in refs}
     flagged = base.select("doc_id", _count(F.col("words")).alias("n_words"),
                           F.when(hit(sorted({*starters, *telling})), F.concat(F.lit(" "), F.trim(F.array_join("words", " ")), F.lit(" "))).alias("line"),
-                          F.when(hit(prefixes), F.col("low")).alias("candidate"))
+                          F.when(hit(prefixes), F.col("low")).alias("candidate"),
+                          F.when(hit(prefixes), F.col("words")).alias("words"))
 
     found, labels = [], []
     for phrase, label in phrases.items():
@@ -175,9 +185,14 @@ def scan(documents: DataFrame, phrases: Mapping[str, str] = PHRASES, templates:
     in_order = F.filter(F.transform(blocks, lambda b: F.array_intersect(ordered, _words(b))),
                         lambda v: F.size(v) >= least)
     shares = flagged.withColumn("found", F.when(F.col("candidate").isNotNull(), in_order))
-    for i, s in enumerate(sets.values()):
+    for i, (label, s) in enumerate(sets.items()):
         best = F.array_max(F.transform("found", _containment(s, threshold)))
-        shares = shares.withColumn(f"share_{i}", F.coalesce(F.when(F.size("found") > 0, best), F.lit(0.0)))
+        share = F.coalesce(F.when(F.size("found") > 0, best), F.lit(0.0))
+        if wrapped:
+            enough = F.size(F.array_intersect("words", _literal(s))) >= _needed(len(s), threshold)  # of the whole text first
+            across = F.array_max(F.transform(_windows(F.col("words"), len(templates[label].split()), s), _containment(s, threshold)))
+            share = F.greatest(share, F.coalesce(F.when(enough, across), F.lit(0.0)))
+        shares = shares.withColumn(f"share_{i}", share)
     own = [F.when(F.col(f"share_{i}") > 0, F.lit(label)) for i, label in enumerate(sets)]
     names = {label: F.coalesce(F.col("line").rlike(f" (?:{'|'.join(refs)}) "), F.lit(False)) for label, refs in references.items()}
     own += [F.when(there, F.lit(label)) for label, there in names.items()]

@@ -43,7 +43,7 @@ def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_scan.scan(table(spark, sf_dir, "documents"), references=license_scan.REFERENCES)
+    return license_scan.scan(table(spark, sf_dir, "documents"), references=license_scan.REFERENCES, wrapped=True)
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

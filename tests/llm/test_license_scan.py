@@ -1,5 +1,6 @@
 import random
 import re
+import textwrap
 
 from ledgerflow.llm import license_scan as ls
 
@@ -63,3 +64,18 @@ def test_query_finds_short_references_of_the_table(spark):
     docs = {r.doc_id for r in spark.read.parquet(f"{SF_CHECK}/documents.parquet").collect() if "Released under the MIT License." in (r.text or "")}
     rows = {r.doc_id: r for r in op7_license_scan(spark, SF_CHECK).collect()}
     assert docs and all("mit" in rows[i].labels.split(",") and rows[i].score == 1.0 for i in docs)
+
+
+def test_hard_wrapped_notices_are_found_whole(spark):
+    def wrap(text, width, mark):
+        return "\n".join(mark + line for line in textwrap.wrap(text, width))
+
+    rows = []
+    for label, t in ls.TEMPLATES.items():
+        for mark in ("", " * ", "# "):
+            for before in (0, 1, 7, 50):
+                rows.append((len(rows), "before " * before + "\n" + wrap(t, 30, mark) + "\n" + "after " * 9, label, 1))
+    apart = " word" * 60
+    rows.append((len(rows), apart.join(ls.TEMPLATES["bsd"].split()), "", 1))
+    got = {r.doc_id: r for r in ls.scan(spark.createDataFrame(rows, SCHEMA), wrapped=True).collect()}
+    assert all((label in got[i].labels.split(",") and got[i].score == 1.0) if label else got[i].labels == "" for i, _, label, _ in rows)
