@@ -92,8 +92,9 @@ def _position(start: Column, quota: Column, place: Column, schedules) -> Column:
 
 
 def _planned(documents: DataFrame, weights, schedules, share, max_epochs: int, slice_digits: int, keep: tuple[str, ...]) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, takes and ``keep``;
-    ``takes`` has (pass, taken, position) for each pass that takes words, in order."""
+    """One row per document: doc_id, size, source_size, target, takes, first and ``keep``;
+    ``takes`` has (pass, taken, position) for each pass that takes words, in order;
+    with words, ``first`` is true of the first document of its source that has any."""
     narrow = documents.select(
         "doc_id", "source", spaced_words().alias("size"),
         F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("order_key"), *keep)
@@ -121,7 +122,8 @@ def _planned(documents: DataFrame, weights, schedules, share, max_epochs: int, s
         taken = F.greatest(F.lit(0), F.least(F.col("size"), F.col("quota") - at)).cast("long")
         takes.append(F.when(taken > 0, F.struct(F.lit(e).alias("pass"), taken.alias("taken"),
                                                 _position(at, F.col("quota"), F.col("place"), schedules).alias("position"))))
-    return begun.select("doc_id", "size", "source_size", "target", F.array_compact(F.array(*takes)).alias("takes"), *keep)
+    return begun.select("doc_id", "size", "source_size", "target", F.array_compact(F.array(*takes)).alias("takes"),
+                        (F.col("start") == 0).alias("first"), *keep)
 
 
 def curriculum(documents: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, share=SHARE, max_epochs: int = MAX_EPOCHS,
@@ -141,13 +143,14 @@ def curriculum(documents: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, share
 def passes(documents: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, share=SHARE, max_epochs: int = MAX_EPOCHS,
            slice_digits: int = SLICE_DIGITS, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per document and pass that takes words of it: doc_id, size,
-    source_size, target, pass (from 0), taken, position. A document of which
-    nothing is taken has one row with null pass and position."""
+    source_size, target, pass (from 0), taken, position, first (whether no words of
+    the source stand before the document). A document of which nothing is taken has
+    one row with null pass and position."""
     return (_planned(documents, weights, schedules, share, max_epochs, slice_digits, keep)
             .withColumn("take", F.explode_outer("takes"))
             .select("doc_id", "size", "source_size", "target", F.col("take")["pass"].alias("pass"),
                     F.coalesce(F.col("take")["taken"], F.lit(0).cast("long")).alias("taken"),
-                    F.col("take")["position"].alias("position"), *keep))
+                    F.col("take")["position"].alias("position"), "first", *keep))
 
 
 def in_training_order(mixed: DataFrame) -> DataFrame:
@@ -158,7 +161,9 @@ def in_training_order(mixed: DataFrame) -> DataFrame:
 def copies(documents: DataFrame, columns: list[str], **options) -> DataFrame:
     """The mixed corpus: every document once for each pass that takes at least
     half of its words, whole, each at that pass's own place in training order.
-    Documents without words stay."""
+    Documents without words stay, and so does the first pass of a source's first
+    document with words where any are wanted: no source with a quota disappears."""
     whole = F.struct(*[F.col(f"`{c}`") for c in columns]).alias("__row")
     mixed = passes(documents.select("doc_id", "text", "source", whole), keep=("__row",), **options)
-    return in_training_order(mixed.where((F.col("size") == 0) | (F.col("taken") * 2 >= F.col("size")))).select("__row.*")
+    opening = F.col("first") & (F.col("pass") == 0)
+    return in_training_order(mixed.where((F.col("size") == 0) | (F.col("taken") * 2 >= F.col("size")) | opening)).select("__row.*")

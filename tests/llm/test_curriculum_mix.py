@@ -95,3 +95,16 @@ def test_copies_place_the_repeats_in_later_passes(spark):
     out = [r.doc_id for r in cm.copies(spark.createDataFrame(docs, SCHEMA), ["doc_id", "source"]).collect()]
     small = [i for i in out if i < 60]
     assert len(small) == 120 and small[:60] == small[60:] and len(set(small[:60])) == 60
+
+
+def test_every_source_is_there_and_within_a_document_of_its_target(spark):
+    # of 27,900 words half are wanted: "a" 1800 (its cap), "b" 4050 of its one document of 9000, "c" 8100
+    docs = [(i, "w " * (1 + i % 5), "a", "z", 1) for i in range(300)] + [(900, "w " * 9000, "b", "z", 1), (901, "", "b", "z", 1)]
+    docs += [(1000 + i, "w " * 20, "c", "z", 1) for i in range(900)]
+    df = spark.createDataFrame(docs, SCHEMA)
+    size, got = {d[0]: len(d[1].split()) for d in docs}, dict.fromkeys("abc", 0)
+    want = {r.source: r.target for r in cm.source_targets(df.selectExpr("source", "size(split(trim(text), ' ')) - int(text = '') size"), share=(1, 2)).collect()}
+    assert want == {"a": 1800, "b": 4050, "c": 8100}
+    for r in cm.copies(df, ["doc_id", "source"], share=(1, 2)).collect():
+        got[r.source] += size[r.doc_id]
+    assert got["b"] == 9000 and got["a"] == 1800 and abs(got["c"] - 8100) <= 20
