@@ -90,6 +90,31 @@ from s join reach on reach.a = s.r join s t on t.r = reach.b
 group by s.r, s.doc_id, len(s.shingles)
 """
 
+MINHASH_FOREST = r"""
+with recursive d as (
+  select row_number() over () as r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x20\x09-\x0D]+') as ws from documents),
+s as materialized (
+  select r, doc_id, list_distinct(case when len(ws) = 0 then [] when len(ws) < 3 then [array_to_string(ws, ' ')]
+    else [array_to_string(ws[i:i + 2], ' ') for i in range(1, len(ws) - 1)] end) as shingles from d),
+u as materialized (select r, unnest(shingles) as x from s),
+pairs as (select a.r as ra, b.r as rb, count(*) as o from u a join u b on a.x = b.x and a.r < b.r group by a.r, b.r),
+links as materialized (
+  select ra, rb from pairs join s a on a.r = ra join s b on b.r = rb
+  where 100 * o >= 85 * (len(a.shingles) + len(b.shingles) - o)),
+edges as materialized (select ra as a, rb as b from links union all select rb, ra from links),
+reach(a, b) as (
+  select r, r from s
+  union
+  select reach.a, edges.b from reach join edges on reach.b = edges.a),
+g as (
+  select s.r, s.doc_id, len(s.shingles) as n, min(t.doc_id) as component_id
+  from s join reach on reach.a = s.r join s t on t.r = reach.b group by s.r, s.doc_id, len(s.shingles))
+select doc_id, cast(n as bigint) as n_shingles, component_id, doc_id is not distinct from component_id as kept from g
+"""
+
+
 LICENSE_SCAN = r"""
 with notices as (
   select label, list_distinct(string_split(words, ' ')) as words from (values
@@ -137,4 +162,5 @@ def oracle_sql() -> dict[str, str]:
         "op3_exact_topk": EXACT_TOPK,
         "op7_license_scan": LICENSE_SCAN,
         "op10_curriculum_mix": CURRICULUM_MIX,
+        "op11_minhash_forest": MINHASH_FOREST,
     }

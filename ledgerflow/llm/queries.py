@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, curriculum_mix, exact_topk, jaccard_join, license_scan, packing, pii, quality, token_counts, warc
+from . import ann, curriculum_mix, exact_topk, jaccard_join, license_scan, minhash_forest, packing, pii, quality, token_counts, warc
 from .common import table
 
 
@@ -60,5 +60,9 @@ def op10_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curriculum_mix.in_training_order(curriculum_mix.curriculum(table(spark, sf_dir, "documents")))
 
 
+def op11_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_forest.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in sorted(globals().items()) if k.startswith("op")}

@@ -95,11 +95,11 @@ def _texts_words(texts: Iterable[bytes]) -> Iterator[np.ndarray]:
     yield from flush()
 
 
-def shingle_sets(texts: Iterable[bytes]) -> Iterator[np.ndarray]:
-    """For each text the sorted distinct hashes of its shingles of five words;
-    with fewer words the whole sequence is one, without words there is none."""
+def shingle_sets(texts: Iterable[bytes], words: int = WORDS) -> Iterator[np.ndarray]:
+    """For each text the sorted distinct hashes of its shingles of ``words`` (at most five)
+    words; with fewer words the whole sequence is one, without words there is none."""
     for w in _texts_words(texts):
-        n = min(len(w), WORDS)
+        n = min(len(w), words)
         if not n:
             yield np.empty(0, np.uint64)
             continue
