@@ -115,6 +115,29 @@ select doc_id, cast(n as bigint) as n_shingles, component_id, doc_id is not dist
 """
 
 
+HARD_NEGATIVES = r"""
+with e as (
+  select vec_id, [floor(256 * cast(x as double)) for x in embedding] as v,
+    cast(case when vec_id % 7 = 0 then (label + 1) % 10 else label end as bigint) as label from embeddings
+  where vec_id is not null and label is not null and len(embedding) > 0
+    and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+d as (select vec_id, min({'v': v, 'label': label}) as r from e group by vec_id),
+x as materialized (select vec_id, r.v as v, r.label as label from d),
+s as materialized (
+  select a.vec_id as a, b.vec_id as b, a.label = b.label as same, cast(list_inner_product(a.v, b.v) as bigint) as score
+  from x a join x b on a.vec_id <> b.vec_id and len(a.v) = len(b.v) where a.vec_id % 50 = 0),
+p as (
+  select a, b, score, row_number() over (partition by a order by score desc, b) as place from s where same
+  qualify place <= 5),
+h as (
+  select p.a as anchor_id, p.b as positive_id, s.b as negative_id, p.score as positive_score, s.score as negative_score,
+    cast(p.place as integer) as positive_rank,
+    cast(row_number() over (partition by p.a, p.place order by s.score desc, s.b) as integer) as rank
+  from p join s on s.a = p.a and not s.same and 50 * p.score <= 100 * s.score and 100 * s.score <= 95 * p.score)
+select * from h where rank <= 3
+"""
+
+
 LICENSE_SCAN = r"""
 with notices as (
   select label, list_distinct(string_split(words, ' ')) as words from (values
@@ -163,4 +186,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_license_scan": LICENSE_SCAN,
         "op10_curriculum_mix": CURRICULUM_MIX,
         "op11_minhash_forest": MINHASH_FOREST,
+        "op13_hard_negatives": HARD_NEGATIVES,
     }

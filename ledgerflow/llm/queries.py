@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, curriculum_mix, exact_topk, jaccard_join, license_scan, minhash_forest, packing, pii, quality, token_counts, warc
+from . import ann, curriculum_mix, exact_topk, hard_negatives, jaccard_join, license_scan, minhash_forest, packing, pii, quality, token_counts, warc, whitening
 from .common import table
 
 
@@ -64,5 +64,15 @@ def op11_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_forest.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return rows.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings").withColumn("label", moved))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in sorted(globals().items()) if k.startswith("op")}
