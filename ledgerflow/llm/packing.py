@@ -9,13 +9,17 @@
 3. Residual counts are packed greedily, longest first, each gap taking the
    longest length that fits, as often as the counts allow at once.
 4. Each piece gets its rank among the pieces of its length, and the plan says
-   which window and offset that rank has. Its ids go along; ``sequences`` puts
-   the pieces of each window together.
-
-Ranks come from running sums over (length, slice) counts, slices being hash
-ranges: a length that most pieces share (a full window, a group of copies) is
-dealt over many groups. The histogram and the plan have sizes bounded by the
-window, whatever the corpus.
+   which window and offset that rank has. ``sequences`` puts the pieces of each
+   window together.
+
+Pieces are numbered where they are cut: each written block of at most about
+HELD_BYTES counts its pieces of every length, and a piece's rank is its number plus
+the counts of the blocks before. Only the counts, narrow rows, are summed over
+tasks and blocks; ids are never sorted, and what joins them with their block's first
+rank is dealt by (length, block), so a length that most pieces share (a full
+window, a group of copies) is spread over as many groups as there are blocks,
+each within HELD_BYTES at every size. The histogram and the plan have sizes
+bounded by the window, whatever the corpus.
 
 Defined cases: null and empty texts are one closing id; repeated rows are packed
 each; null ids stay null; an empty table gives an empty result; other columns
@@ -26,29 +30,33 @@ power of two.
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 import os
+import re
 import zlib
 from array import array
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .chunks import Recent, as_text, by_text
+from .chunks import Recent, as_text, by_text, segments
 from .common import stored, text_or_empty, texts_by_arrow
 from .token_counts import byte_symbols
 
 WINDOW = 1024
-SLICES = 512
-HELD_BYTES = 8 << 20  # of ids in one Arrow batch
+HELD_BYTES = 8 << 20  # of ids in one written block
+COLUMNS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
 
 
 # --- token ids ------------------------------------------------------------------------------------------------------
 
-_ENCODERS: dict[str, Recent] = {}
 LATIN_END = "\u0250"  # characters below are of one kind in every version of Unicode
+BEYOND_LATIN = re.compile(f"[{LATIN_END}-\U0010ffff]")
 
 
 @functools.cache
@@ -64,8 +72,8 @@ def merges_in_id_order(path: str):
     """(special strings, function from text to ids) for a vocabulary file whose merges
     stand in the order of their ids, None for another.
 
-    Such a file gives the same ids by ranks, which is several times faster for new
-    words; the library's own encoder takes the texts with a special string or with
+    Such a file gives the same ids by ranks, which is several times faster;
+    the library's own encoder takes the texts with a special string or with
     characters whose kind depends on the version of Unicode.
     """
     import public_tokenizers
@@ -82,53 +90,68 @@ def merges_in_id_order(path: str):
     return special, tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
 
-def encoder(path: str) -> Recent:
-    """Token ids (little-endian 32 bit) of pieces; one for each worker process and vocabulary file."""
-    if path not in _ENCODERS:
-        plain = merges_in_id_order(path)
-
-        def encode(pieces: list[str]) -> list[bytes]:
-            texts = [as_text(p) for p in pieces]
-            rest, quick = texts, None
-            if plain is not None:
-                special, quick = plain
-                whole = "\n".join(texts)
-                there = [x for x in special if x in whole]
-                rest = [t for t in texts if not (t.isascii() or max(t) < LATIN_END) or there and any(x in t for x in there)]
-            if not rest:
-                return [array("I", quick(t)).tobytes() for t in texts]
-            found = library(path).encode_batch_fast(rest, add_special_tokens=False)
-            slow = {t: array("I", e.ids).tobytes() for t, e in zip(rest, found, strict=True)}
-            return [slow[t] if t in slow else array("I", quick(t)).tobytes() for t in texts]
-
-        _ENCODERS[path] = Recent(encode)
-    return _ENCODERS[path]
+@functools.cache
+def encoder(path: str):
+    """(pattern found in the texts that ranks cannot take, function from a text to ids by
+    ranks, ids of other texts' pieces); one for each worker process and vocabulary file."""
+    plain = merges_in_id_order(path)
+
+    def encode(pieces: list[str]) -> list[bytes]:
+        found = library(path).encode_batch_fast([as_text(p) for p in pieces], add_special_tokens=False)
+        return [array("I", e.ids).tobytes() for e in found]
+
+    if plain is None:
+        return re.compile(""), None, Recent(encode)
+    special, quick = plain
+    return re.compile("|".join([BEYOND_LATIN.pattern, *map(re.escape, special)])), quick, Recent(encode)
+
+
+def token_ids(path: str, texts: Iterable[str]) -> Iterator[bytes]:
+    """The ids of each text, little-endian 32 bit."""
+    other, quick, recent = encoder(path)
+    for by_library, group in itertools.groupby(texts, lambda t: other.search(t) is not None):
+        if by_library:
+            yield from map(b"".join, by_text(group, recent, b"".join))
+        else:
+            for t in group:
+                yield b"".join(array("I", quick(" " + part if spaced else part)).tobytes() for spaced, part in segments(t))
+
+
+def _numbers(lengths: np.ndarray) -> np.ndarray:
+    """For each entry how many equal ones stand before it."""
+    order = np.argsort(lengths, kind="stable")
+    ordered = lengths[order]
+    out = np.empty(len(lengths), np.int64)
+    out[order] = np.arange(len(lengths)) - np.searchsorted(ordered, ordered)
+    return out
 
 
-def _cut(path: str, window: int, end: bytes):
+def _cut(path: str, window: int, end: bytes, most: int):
     width = 4 * window
 
     def cut(batches):
-        encode = encoder(path)
+        task, blocks = TaskContext.get().partitionId(), itertools.count()
         for batch in batches:
-            doc_ids, texts = batch.column("doc_id"), batch.column("text").to_pylist()
+            doc_ids = batch.column("doc_id")
             at, start, ids, total, held = [], [], [], [], 0
 
             def rows():
+                length = np.array([len(x) // 4 for x in ids], np.int64)
                 return pa.RecordBatch.from_arrays(
-                    [doc_ids.take(pa.array(at, pa.int64())), pa.array(start, pa.int64()), pa.array([len(x) // 4 for x in ids], pa.int64()),
-                     pa.array([zlib.crc32(x) for x in ids], pa.int64()), pa.array(total, pa.int64()), pa.array(ids, pa.binary())],
-                    names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"])
+                    [doc_ids.take(pa.array(at, pa.int64())), pa.array(start, pa.int64()), pa.array(length),
+                     pa.array([zlib.crc32(x) for x in ids], pa.int64()), pa.array(total, pa.int64()), pa.array(ids, pa.binary()),
+                     pa.array(np.full(len(ids), task, np.int32)), pa.array(np.full(len(ids), next(blocks), np.int32)), pa.array(_numbers(length))],
+                    names=[*COLUMNS, "ids", "task", "block", "number"])
 
-            for i, parts in enumerate(by_text(texts, encode, b"".join)):
-                data = b"".join([*parts, end])
+            for i, data in enumerate(token_ids(path, batch.column("text").to_pylist())):
+                data += end
                 for s in range(0, len(data), width):
                     at.append(i)
                     start.append(s // 4)
                     ids.append(data[s:s + width])
                     total.append(len(data) // 4)
                     held += len(ids[-1])
-                    if held >= HELD_BYTES:
+                    if held >= most:
                         yield rows()
                         at, start, ids, total, held = [], [], [], [], 0
             yield rows()
@@ -240,21 +263,23 @@ def pack(documents: DataFrame, path: str, window: int = WINDOW, end_id: int = 0)
     offset, ids (binary, little-endian 32 bit)."""
     d = texts_by_arrow(documents).select("doc_id", text_or_empty().alias("text"))
     kind = d.schema["doc_id"].dataType.simpleString()
-    cut = d.mapInArrow(_cut(path, window, end_id.to_bytes(4, "little")),
-                       f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, ids binary")
-    pieces = stored(cut, "pieces", compression="zstd").withColumn("slice", F.pmod(F.xxhash64("doc_id", "start"), F.lit(SLICES)).cast("int"))
-    counts = stored(pieces.groupBy("length", "slice").count(), "counts")
+    cut = d.mapInArrow(_cut(path, window, end_id.to_bytes(4, "little"), HELD_BYTES),
+                       f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, ids binary, task int, block int, number long")
+    pieces = stored(cut, "pieces", compression="zstd")
+    counts = stored(pieces.groupBy("length", "task", "block").agg(F.count("*").alias("n")), "counts")
+    tasks = stored(counts.groupBy("length", "task").agg(F.sum("n").alias("n")), "counts")
     histogram = np.zeros(window + 1, np.int64)
-    for r in counts.groupBy("length").agg(F.sum("count").alias("n")).collect():  # at most ``window`` rows
+    for r in tasks.groupBy("length").agg(F.sum("n").alias("n")).collect():  # at most ``window`` rows
         histogram[r["length"]] = r["n"]
     table = slots(plan(histogram, window), window)
 
-    before = Window.partitionBy("length").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    begun = counts.select("length", "slice", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("begun"))
-    within = Window.partitionBy("length", "slice").orderBy("doc_id", "start", "ids_crc32", "doc_tokens")
-    ranked = (pieces.join(begun, ["length", "slice"])
-              .withColumn("rank", F.col("begun") + F.row_number().over(within) - 1)
-              .select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids", "rank"))
+    earlier = lambda by, order: F.coalesce(F.sum("n").over(
+        Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    begun = (counts.withColumn("within", earlier(["length", "task"], "block")).drop("n")
+             .join(tasks.withColumn("before", earlier(["length"], "task")).drop("n"), ["length", "task"])
+             .select("length", "task", "block", (F.col("before") + F.col("within")).alias("begun")))
+    ranked = (pieces.join(begun.hint("shuffle_hash"), ["length", "task", "block"])
+              .select(*COLUMNS, "ids", (F.col("begun") + F.col("number")).alias("rank")))
 
     def placed(batches):
         for batch in batches:
@@ -267,8 +292,8 @@ def pack(documents: DataFrame, path: str, window: int = WINDOW, end_id: int = 0)
                 sequence[at] = slot[:, 1] + rank[at] - slot[:, 0]
                 offset[at] = slot[:, 2]
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in ("doc_id", "start", "length", "ids_crc32", "doc_tokens")], pa.array(sequence), pa.array(offset),
-                 batch.column("ids")], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"])
+                [*[batch.column(c) for c in COLUMNS], pa.array(sequence), pa.array(offset), batch.column("ids")],
+                names=[*COLUMNS, "sequence_id", "offset", "ids"])
 
     return ranked.mapInArrow(placed, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
                                      "ids binary")

@@ -9,7 +9,6 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from ledgerflow.llm import packing
-from ledgerflow.llm.chunks import by_text
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 LIBRARY = Tokenizer.from_file(PATH)
@@ -63,10 +62,31 @@ def test_nulls_copies_and_empty_table(spark):
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet=st.one_of(st.characters(max_codepoint=0x24F), st.sampled_from(" \n\t'\u3000\u00e9\u6f22"), st.characters(exclude_categories=["Cs", "Cn"])), max_size=24))
 def test_ids_equal_the_library(text):
-    ids = b"".join(next(iter(by_text([text], packing.encoder(PATH), b"".join))))
+    ids = next(packing.token_ids(PATH, [text]))
     assert np.frombuffer(ids, "<u4").tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
 
 
+def test_texts_of_both_encoders_keep_their_order():
+    texts = ["plain text", "\u6f22\u5b57 here", "", "a<|endoftext|> b", "caf\u00e9  au lait", "\u03b1\u03b2", " \n", "x" * 70 + "\u2019s end", "last"]
+    got = [np.frombuffer(x, "<u4").tolist() for x in packing.token_ids(PATH, texts)]
+    assert got == [LIBRARY.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_very_long_text_is_cut_into_segments():
+    text = "  ".join(f"word{i} and\tmore" for i in range(150_000))
+    assert len(text) > 2 * 1_500_000
+    assert np.frombuffer(next(packing.token_ids(PATH, [text])), "<u4").tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
+
+
+def test_one_length_over_many_blocks(spark, monkeypatch):
+    """Most pieces have one length and stand in many blocks of several tasks."""
+    monkeypatch.setattr(packing, "HELD_BYTES", 4096)
+    texts = [(i, "same words in every text " * (3 + 300 * (i % 50 == 0))) for i in range(900)]
+    rows = packing.pack(spark.createDataFrame(texts, "doc_id long, text string").repartition(5), PATH).collect()
+    assert check(rows, texts) > 0.95
+    assert len({(r.sequence_id, r.offset) for r in rows}) == len(rows)
+
+
 def test_the_file_is_read_by_ranks():
     special, ids = packing.merges_in_id_order(PATH)
     assert special == ["<|endoftext|>"] and ids(" hello world") == LIBRARY.encode(" hello world", add_special_tokens=False).ids
