@@ -6,17 +6,19 @@ shingles have a similarity of at least 85 in 100, and the groups they form.
    (tree, then value by value), so that its order is the signatures' order.
 2. Sorted orders. The signatures of all trees are range-sorted, one order a tree;
    (signature, class) is the sort key, so a signature that many classes share is
-   spread over several tasks. A row whose neighbours on both sides have no common prefix of
-   LEAST values leaves; the others carry the class before them.
-3. Longest-common-prefix neighbours. In the first trees each class is paired with
-   the class before it; pairs whose signatures agree in far too few of all values drop out, the others
-   are confirmed on their full sets. The components of these links are labelled.
-4. Adaptive depth. A region is a set of rows with a common prefix. Regions whose rows
-   all have one label are done. Of the others, those with at most CROWD rows give pairs of rows
-   with different labels; fuller ones are split by their next value. A region still full at
-   the greatest depth gives its classes to an exact join on their sets: rarest shingles first, two sets that
-   link share one in their first n - ceil(85 n / 100) + 1; only pairs with different labels, fitting sizes and
-   enough shingles left meet. No candidate is capped; pairs are confirmed as before.
+   spread over several tasks. Rows that have no common prefix of LEAST values with the row
+   before or after leave. A region is a set of rows with a common prefix.
+3. Longest-common-prefix neighbours. A class's weight is the number of rows that share its whole
+   signature, over all trees: of copies with edits the original, which they resemble more
+   than each other, weighs most. In the first trees each class meets the heaviest class of its
+   region; pairs whose signatures agree in far too few of all values drop out, the others are
+   confirmed on their full sets. Each class is labelled with the smallest such neighbour.
+4. Adaptive depth. Regions whose rows all have one label are done. Of the others, those with at
+   most CROWD rows give pairs of rows with different labels; fuller ones are split by their next
+   value. A region still full at the greatest depth gives its classes to an exact join on their sets:
+   rarest shingles first, two sets that link share one in their first n - ceil(85 n / 100) + 1; only
+   pairs with different labels, fitting sizes and enough shingles left meet. No candidate is capped;
+   pairs are confirmed as before. The components of all confirmed links are the groups.
 
 Links are exact; a link of similarity s is found unless none of the trees has it
 at the depth of its region, a probability of at most (1 - s^DEPTH)^TREES: below 1e-6 at 0.85
@@ -47,7 +49,7 @@ TREES = 24
 DEPTH = 5  # values of a signature
 LEAST = 3  # values that neighbours have in common
 BITS = 11  # of a value kept in a signature
-FIRST = 4  # trees whose neighbours are linked before regions are looked at
+FIRST = 6  # trees whose neighbours are linked before regions are looked at
 CROWD = 16  # rows of a region that are compared with each other
 AGREE = 0.65  # least share of equal signature values of a pair that is confirmed
 ROWS = 1_000_000  # signatures in a task's part of the sorted orders
@@ -112,7 +114,7 @@ def members(documents: DataFrame) -> DataFrame:
     return stored(d.mapInArrow(named, f"doc_id {kind}, n_shingles long, class long, paths binary"), "members")
 
 
-NEIGHBOURS = pa.schema([("path", pa.int64()), ("class", pa.int64()), ("before", pa.int64())])
+NEIGHBOURS = pa.schema([("path", pa.int64()), ("class", pa.int64()), ("same", pa.int64())])
 
 
 def _level(depth: int) -> int:
@@ -139,23 +141,24 @@ def _neighbours(batches):
     path, name = (np.concatenate(p) for p in zip(*parts, strict=True))
     parts.clear()
     prefix = path >> _level(LEAST)
-    same = prefix[1:] == prefix[:-1]
-    keep = np.concatenate([[True], same]) | np.concatenate([same, [True]])
-    before = np.concatenate([[0], name[:-1]])
-    none = np.concatenate([[True], ~same])
+    near = prefix[1:] == prefix[:-1]
+    keep = np.concatenate([[True], near]) | np.concatenate([near, [True]])
+    starts = np.flatnonzero(np.concatenate([[True], path[1:] != path[:-1]]))
+    runs = np.diff(np.concatenate([starts, [len(path)]]))
+    same = np.repeat(runs, runs)
     at = np.flatnonzero(keep)
     for i in range(0, len(at), 100_000):
         j = at[i:i + 100_000]
-        yield pa.RecordBatch.from_arrays([pa.array(path[j]), pa.array(name[j]), pa.array(before[j], mask=none[j])], schema=NEIGHBOURS)
+        yield pa.RecordBatch.from_arrays([pa.array(path[j]), pa.array(name[j]), pa.array(same[j])], schema=NEIGHBOURS)
 
 
 def neighbours(classes: DataFrame) -> DataFrame:
-    """path, class, before (the class before it, where they share a prefix) of the rows
-    of the sorted orders that share a prefix of LEAST values with a neighbour."""
+    """path, class, same (rows with the same path in its part) of the rows of the sorted
+    orders that share a prefix of LEAST values with a neighbour."""
     rows = classes.select("class", "paths").mapInArrow(_unpack, "path long, class long")
     parts = max(shuffle_partitions(classes.sparkSession), math.ceil(classes.count() * TREES / ROWS))
     return stored(rows.repartitionByRange(parts, "path", "class").sortWithinPartitions("path", "class")
-                  .mapInArrow(_neighbours, "path long, class long, before long"), "neighbours")
+                  .mapInArrow(_neighbours, "path long, class long, same long"), "neighbours")
 
 
 def _fitting(n_a: str, n_b: str) -> str:
@@ -253,10 +256,22 @@ def crowded_pairs(crowded: DataFrame, sets: DataFrame) -> DataFrame:
     return _across(rows, "shingle", f"{_fitting('x.n', 'y.n')} and {100 + SHARE} * least(x.left, y.left) >= {SHARE} * (x.n + y.n)").distinct()
 
 
-def _labelled(rows: DataFrame, links: DataFrame) -> DataFrame:
-    """``rows`` (with class) and the label of each: its component's, else its own."""
-    named = components(links).select(F.col("node").alias("class"), "label")
-    return rows.join(named, "class", "left").withColumn("label", F.coalesce("label", "class"))
+def _to_heaviest(near: DataFrame) -> DataFrame:
+    """a, b: each class and the heaviest class of its region, in the first trees."""
+    weight = near.groupBy("class").agg(F.sum("same").alias("weight"))
+    rows = (near.where(F.shiftright("path", BITS * DEPTH) < FIRST).select(F.shiftright("path", _level(LEAST)).alias("region"), "class")
+            .join(weight, "class"))
+    heaviest = rows.groupBy("region").agg(F.max(F.struct("weight", "class")).alias("h")).select("region", F.col("h.class").alias("hub"))
+    return (rows.join(heaviest, "region").where("class <> hub")
+            .select(F.least("class", "hub").alias("a"), F.greatest("class", "hub").alias("b")).distinct())
+
+
+def _smallest(pairs: DataFrame) -> DataFrame:
+    """class, label: the smallest class one or two confirmed links away."""
+    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    one = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+    further = both.join(one.select(F.col("a").alias("b"), "m"), "b").groupBy("a").agg(F.min("m").alias("label"))
+    return further.select(F.col("a").alias("class"), "label")
 
 
 def links(documents: DataFrame, rows: DataFrame, crowd: int = CROWD) -> DataFrame:
@@ -264,11 +279,10 @@ def links(documents: DataFrame, rows: DataFrame, crowd: int = CROWD) -> DataFram
     classes = stored(rows.where(F.col("paths").isNotNull()).groupBy("class").agg(F.first("n_shingles").alias("n"), F.first("paths").alias("paths")), "classes")
     near = neighbours(classes)
     sets = full_sets(documents, rows, near.select("class").distinct())
-    pairs = (near.where(F.col("before").isNotNull() & (F.shiftright("path", BITS * DEPTH) < FIRST))
-             .select(F.least("class", "before").alias("a"), F.greatest("class", "before").alias("b")).distinct())
-    first = stored(confirmed(similar(pairs, classes), sets), "links")
+    first = stored(confirmed(similar(_to_heaviest(near), classes), sets), "links")
 
-    left = _labelled(near.select("path", "class"), first)
+    left = (near.select("path", "class").join(_smallest(first), "class", "left")
+            .withColumn("label", F.coalesce("label", "class")))
     found = []
     for depth in range(LEAST, DEPTH + 1):
         placed = left.withColumn("region", F.shiftright("path", _level(depth)))
@@ -287,7 +301,8 @@ def links(documents: DataFrame, rows: DataFrame, crowd: int = CROWD) -> DataFram
 def near_duplicates(documents: DataFrame, crowd: int = CROWD) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept (it is its group's smallest id), class."""
     rows = members(documents)
-    placed = _labelled(rows.select("doc_id", "n_shingles", "class"), links(documents, rows, crowd))
+    named = components(links(documents, rows, crowd)).select(F.col("node").alias("class"), "label")
+    placed = rows.select("doc_id", "n_shingles", "class").join(named, "class", "left").withColumn("label", F.coalesce("label", "class"))
     least = placed.where(F.col("label").isNotNull()).groupBy("label").agg(F.min("doc_id").alias("component_id"))
     return (placed.join(least, "label", "left")
             .withColumn("component_id", F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
