@@ -11,8 +11,8 @@ shingles have a similarity of at least 85 in 100, and the groups they form.
 3. Longest-common-prefix neighbours. A class's weight is the number of rows that share its whole
    signature, over all trees: of copies with edits the original, which they resemble more
    than each other, weighs most. In the first trees each class meets the heaviest class of its
-   region; pairs whose signatures agree in far too few of all values drop out, the others are
-   confirmed on their full sets. Each class is labelled with the smallest such neighbour.
+   region; pairs whose sizes cannot fit or whose sketches (a bit of each signature value) differ in
+   far too many bits drop out, the others are confirmed on their full sets. Each class is labelled with the smallest such neighbour.
 4. Adaptive depth. Regions whose rows all have one label are done. Of the others, those with at
    most CROWD rows give pairs of rows with different labels; fuller ones are split by their next
    value. A region still full at the greatest depth gives its classes to an exact join on their sets:
@@ -22,7 +22,7 @@ shingles have a similarity of at least 85 in 100, and the groups they form.
 
 Links are exact; a link of similarity s is found unless none of the trees has it
 at the depth of its region, a probability of at most (1 - s^DEPTH)^TREES: below 1e-6 at 0.85
-and less above. The signature test fails with a probability below 1e-8.
+and less above. The sketch test fails with a probability below 1e-7.
 
 Defined cases: null and empty texts and texts without words have the empty set, link
 with nothing and are kept; a group's id is its smallest doc_id, null only if it has no other;
@@ -49,9 +49,10 @@ TREES = 24
 DEPTH = 5  # values of a signature
 LEAST = 3  # values that neighbours have in common
 BITS = 11  # of a value kept in a signature
+HOPS = 4  # links followed to a label
 FIRST = 6  # trees whose neighbours are linked before regions are looked at
 CROWD = 16  # rows of a region that are compared with each other
-AGREE = 0.65  # least share of equal signature values of a pair that is confirmed
+DIFFER = 27  # most bits in which the sketches (one bit of each value) of a pair differ that is confirmed; 9 are expected at 0.85
 ROWS = 1_000_000  # signatures in a task's part of the sorted orders
 BUFFER = 1 << 16  # shingles hashed at once
 _u = np.uint64
@@ -94,8 +95,17 @@ def signatures(found: list[np.ndarray]) -> np.ndarray:
     return np.ascontiguousarray(path.T).view(np.int64)
 
 
+def sketch(paths: np.ndarray) -> np.ndarray:
+    """One bit of every signature value, in two longs: rows of ``signatures`` to rows (s0, s1)."""
+    out = np.zeros((len(paths), 2), np.int64)
+    for t in range(TREES):
+        for d in range(DEPTH):
+            out[:, 2 * t // TREES] = (out[:, 2 * t // TREES] << 1) | ((paths[:, t] >> (BITS * d)) & 1)
+    return out
+
+
 def members(documents: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, class (null for the empty set), paths (at a class's first row in each batch; else null)."""
+    """doc_id, n_shingles, class (null for the empty set), paths, s0, s1 (at a class's first row in each batch; else null)."""
     d = texts_by_arrow(documents.select("doc_id", text_or_empty().alias("text")))
 
     def named(batches):
@@ -104,14 +114,17 @@ def members(documents: DataFrame) -> DataFrame:
             names = [set_key(s) if len(s) else None for s in sets]
             first = {name: i for i, name in reversed(list(enumerate(names))) if name is not None}
             at = sorted(first.values())
-            paths = [None] * len(sets)
-            for i, row in zip(at, signatures([sets[i] for i in at]) if at else [], strict=True):
-                paths[i] = row.tobytes()
+            paths, s0, s1 = ([None] * len(sets) for _ in range(3))
+            if at:
+                signed = signatures([sets[i] for i in at])
+                for i, row, (first_half, second_half) in zip(at, signed, sketch(signed).tolist(), strict=True):
+                    paths[i], s0[i], s1[i] = row.tobytes(), first_half, second_half
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.int64()),
-                                              pa.array(paths, pa.binary())], names=["doc_id", "n_shingles", "class", "paths"])
+                                              pa.array(paths, pa.binary()), pa.array(s0, pa.int64()), pa.array(s1, pa.int64())],
+                                             names=["doc_id", "n_shingles", "class", "paths", "s0", "s1"])
 
     kind = d.schema["doc_id"].dataType.simpleString()
-    return stored(d.mapInArrow(named, f"doc_id {kind}, n_shingles long, class long, paths binary"), "members")
+    return stored(d.mapInArrow(named, f"doc_id {kind}, n_shingles long, class long, paths binary, s0 long, s1 long"), "members")
 
 
 NEIGHBOURS = pa.schema([("path", pa.int64()), ("class", pa.int64()), ("same", pa.int64())])
@@ -153,33 +166,19 @@ def _neighbours(batches):
 
 
 def neighbours(classes: DataFrame) -> DataFrame:
-    """path, class, same (rows with the same path in its part) of the rows of the sorted
-    orders that share a prefix of LEAST values with a neighbour."""
+    """path, class, same (rows with the same path in its part), n, s0, s1 of the rows of the
+    sorted orders that share a prefix of LEAST values with a neighbour."""
     rows = classes.select("class", "paths").mapInArrow(_unpack, "path long, class long")
     parts = max(shuffle_partitions(classes.sparkSession), math.ceil(classes.count() * TREES / ROWS))
-    return stored(rows.repartitionByRange(parts, "path", "class").sortWithinPartitions("path", "class")
-                  .mapInArrow(_neighbours, "path long, class long, same long"), "neighbours")
-
+    near = (rows.repartitionByRange(parts, "path", "class").sortWithinPartitions("path", "class")
+            .mapInArrow(_neighbours, "path long, class long, same long"))
+    return stored(near.join(classes.drop("paths"), "class"), "neighbours")
 
-def _fitting(n_a: str, n_b: str) -> str:
-    return f"100 * {n_a} >= {SHARE} * {n_b} and 100 * {n_b} >= {SHARE} * {n_a}"
 
-
-def similar(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sizes fit and whose signatures agree in at least AGREE of their values."""
-    side = lambda s: classes.select(F.col("class").alias(s), F.col("n").alias(f"n_{s}"), F.col("paths").alias(f"paths_{s}"))
-
-    def agreeing(batches):
-        for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.int64).reshape(-1, TREES) for c in ("paths_a", "paths_b"))
-            equal = np.zeros(len(x), np.int64)
-            for d in range(DEPTH):
-                equal += (((x ^ y) >> (BITS * d)) & ((1 << BITS) - 1) == 0).sum(axis=1)
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(
-                pa.array(equal >= AGREE * TREES * DEPTH))
-
-    sized = pairs.join(side("a"), "a").join(side("b"), "b").where(_fitting("n_a", "n_b"))
-    return sized.select("a", "b", "paths_a", "paths_b").mapInArrow(agreeing, "a long, b long")
+def _may_link(a: str, b: str) -> str:
+    """Whether sizes fit and sketches differ in few enough bits."""
+    return (f"100 * {a}.n >= {SHARE} * {b}.n and 100 * {b}.n >= {SHARE} * {a}.n "
+            f"and bit_count({a}.s0 ^ {b}.s0) + bit_count({a}.s1 ^ {b}.s1) <= {DIFFER}")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -223,79 +222,106 @@ def _mixed(rows: DataFrame, by: str) -> DataFrame:
 
 def _across(rows: DataFrame, by: str, also: str = "true") -> DataFrame:
     x, y = rows.alias("x"), rows.alias("y")
-    return (x.join(y, F.expr(f"x.{by} = y.{by} and x.label < y.label and ({also})"))
+    return (x.join(y, F.expr(f"x.{by} = y.{by} and x.label < y.label and {_may_link('x', 'y')} and ({also})"))
             .select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")))
 
 
 def crowded_pairs(crowded: DataFrame, sets: DataFrame) -> DataFrame:
-    """a, b: pairs of crowded classes (class, label) with different labels that can link.
+    """a, b: pairs of crowded classes (class, label, n, s0, s1) with different labels that can link.
 
     Exact for all pairs among them: prefix, length and position filter on their shingles, rarest first.
     """
-    held = crowded.join(sets, "class")
-
     def listed(batches):
         for batch in batches:
             for row in batch.to_pylist():
                 keys = np.frombuffer(row["keys"], np.int64)
                 for i in range(0, len(keys), 50_000):
                     k = keys[i:i + 50_000]
-                    yield pa.RecordBatch.from_arrays([pa.array(k), *[pa.array(np.full(len(k), v, np.int64)) for v in (row["class"], row["label"], len(keys))]],
-                                                     names=["shingle", "class", "label", "n"])
+                    yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(np.full(len(k), row["class"], np.int64))], names=["shingle", "class"])
 
-    entries = stored(held.mapInArrow(listed, "shingle long, class long, label long, n long"), "entries")
+    entries = stored(crowded.join(sets, "class").select("class", "keys").mapInArrow(listed, "shingle long, class long"), "entries")
     shared = entries.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
     # shingles of one class alone come first in the order: only their number matters
-    lists = (entries.join(shared, "shingle").groupBy("class", "label", "n")
-             .agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("s"))
+    lists = (entries.join(shared, "shingle").groupBy("class")
+             .agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("s")).join(crowded, "class")
              .withColumn("alone", F.col("n") - F.size("s"))
              .withColumn("q", F.expr(f"n - cast(ceil({SHARE} * n / 100D - 1e-9) as long) + 1 - alone")).where("q > 0"))
-    prefix = stored(lists.select("class", "label", "n", "alone", F.posexplode(F.expr("slice(s, 1, cast(least(q, size(s)) as int))")).alias("i", "e"))
-                    .select("class", "label", "n", (F.col("n") - F.col("alone") - F.col("i")).alias("left"), F.col("e.shingle").alias("shingle")), "prefix")
+    prefix = stored(lists.select(*crowded.columns, "alone", F.posexplode(F.expr("slice(s, 1, cast(least(q, size(s)) as int))")).alias("i", "e"))
+                    .select(*crowded.columns, (F.col("n") - F.col("alone") - F.col("i")).alias("left"), F.col("e.shingle").alias("shingle")), "prefix")
     rows = prefix.join(_mixed(prefix, "shingle").drop("m"), "shingle")
-    return _across(rows, "shingle", f"{_fitting('x.n', 'y.n')} and {100 + SHARE} * least(x.left, y.left) >= {SHARE} * (x.n + y.n)").distinct()
+    return _across(rows, "shingle", f"{100 + SHARE} * least(x.left, y.left) >= {SHARE} * (x.n + y.n)").distinct()
 
 
 def _to_heaviest(near: DataFrame) -> DataFrame:
     """a, b: each class and the heaviest class of its region, in the first trees."""
     weight = near.groupBy("class").agg(F.sum("same").alias("weight"))
-    rows = (near.where(F.shiftright("path", BITS * DEPTH) < FIRST).select(F.shiftright("path", _level(LEAST)).alias("region"), "class")
-            .join(weight, "class"))
-    heaviest = rows.groupBy("region").agg(F.max(F.struct("weight", "class")).alias("h")).select("region", F.col("h.class").alias("hub"))
-    return (rows.join(heaviest, "region").where("class <> hub")
-            .select(F.least("class", "hub").alias("a"), F.greatest("class", "hub").alias("b")).distinct())
+    rows = (near.where(F.shiftright("path", BITS * DEPTH) < FIRST)
+            .select(F.shiftright("path", _level(LEAST)).alias("region"), "class", "n", "s0", "s1").join(weight, "class"))
+    heaviest = rows.groupBy("region").agg(F.max(F.struct("weight", "class", "n", "s0", "s1")).alias("y"))
+    return (rows.alias("x").join(heaviest, "region").where(F.expr(f"x.class <> y.class and {_may_link('x', 'y')}"))
+            .select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")).distinct())
 
 
-def _smallest(pairs: DataFrame) -> DataFrame:
-    """class, label: the smallest class one or two confirmed links away."""
+def _smallest(pairs: DataFrame, hops: int = HOPS) -> DataFrame:
+    """class, label: the smallest class at most ``hops`` confirmed links away."""
     both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    one = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    further = both.join(one.select(F.col("a").alias("b"), "m"), "b").groupBy("a").agg(F.min("m").alias("label"))
-    return further.select(F.col("a").alias("class"), "label")
+    label = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("label"))
+    for _ in range(hops - 1):
+        label = both.join(label.select(F.col("a").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("label"))
+    return label.select(F.col("a").alias("class"), "label")
+
+
+def _changes(batches):
+    """Pairs of rows next to each other in one sorted part that share a prefix and differ in their label."""
+    columns = ["path", "class", "label", "n", "s0", "s1"]
+    parts = [[b.column(c).to_numpy() for c in columns] for b in batches if b.num_rows]
+    if not parts:
+        return
+    path, name, label, n, s0, s1 = (np.concatenate(p) for p in zip(*parts, strict=True))
+    prefix = path >> _level(LEAST)
+    at = np.flatnonzero((prefix[1:] == prefix[:-1]) & (label[1:] != label[:-1])) + 1
+    differ = np.bitwise_count(s0[at] ^ s0[at - 1]).astype(int) + np.bitwise_count(s1[at] ^ s1[at - 1])
+    at = at[(differ <= DIFFER) & (100 * np.minimum(n[at], n[at - 1]) >= SHARE * np.maximum(n[at], n[at - 1]))]
+    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(name[at], name[at - 1])), pa.array(np.maximum(name[at], name[at - 1]))], names=["a", "b"])
+
+
+def _between_labels(rows: DataFrame) -> DataFrame:
+    """a, b: classes with different labels that are longest-common-prefix neighbours in any tree."""
+    parts = max(shuffle_partitions(rows.sparkSession), math.ceil(rows.count() / ROWS))
+    return (rows.select("path", "class", "label", "n", "s0", "s1").repartitionByRange(parts, "path", "class").sortWithinPartitions("path", "class")
+            .mapInArrow(_changes, "a long, b long").distinct())
 
 
 def links(documents: DataFrame, rows: DataFrame, crowd: int = CROWD) -> DataFrame:
     """a, b: confirmed links between classes, enough of them for all components."""
-    classes = stored(rows.where(F.col("paths").isNotNull()).groupBy("class").agg(F.first("n_shingles").alias("n"), F.first("paths").alias("paths")), "classes")
+    classes = stored(rows.where(F.col("paths").isNotNull()).groupBy("class")
+                     .agg(F.first("n_shingles").alias("n"), *[F.first(c).alias(c) for c in ("s0", "s1", "paths")]), "classes")
     near = neighbours(classes)
     sets = full_sets(documents, rows, near.select("class").distinct())
-    first = stored(confirmed(similar(_to_heaviest(near), classes), sets), "links")
+    kept = ["path", "class", "label", "n", "s0", "s1"]
+
+    def mixed(rows: DataFrame, depth: int) -> DataFrame:
+        """The rows of regions of that depth that hold several labels, m: rows of the region."""
+        placed = rows.select(*kept, F.shiftright("path", _level(depth)).alias("region"))
+        return stored(placed.join(_mixed(placed, "region"), "region"), "regions")
+
+    def labelled(rows: DataFrame, links: DataFrame) -> DataFrame:
+        return rows.select(*[c for c in kept if c != "label"]).join(_smallest(links), "class", "left").withColumn("label", F.coalesce("label", "class"))
 
-    left = (near.select("path", "class").join(_smallest(first), "class", "left")
-            .withColumn("label", F.coalesce("label", "class")))
-    found = []
+    known = stored(confirmed(_to_heaviest(near), sets), "links")
+    left = mixed(labelled(near, known), LEAST)
+    known = known.unionByName(stored(confirmed(_between_labels(left), sets), "links"))
+    left = labelled(left, known)
+    pairs = None
     for depth in range(LEAST, DEPTH + 1):
-        placed = left.withColumn("region", F.shiftright("path", _level(depth)))
-        placed = stored(placed.join(_mixed(placed, "region"), "region"), f"regions_{depth}")
-        found.append(_across(placed.where(F.col("m") <= crowd), "region"))
-        left = placed.where(F.col("m") > crowd).select("path", "class", "label")
-    crowded = left.select("class", "label").distinct()
+        left = mixed(left, depth)
+        small = _across(left.where(F.col("m") <= crowd), "region")
+        pairs = small if pairs is None else pairs.unionByName(small)
+        left = left.where(F.col("m") > crowd)
+    crowded = left.select("class", "label", "n", "s0", "s1").distinct()
     if not crowded.isEmpty():
-        found.append(crowded_pairs(crowded, sets))
-    pairs = found[0]
-    for more in found[1:]:
-        pairs = pairs.unionByName(more)
-    return first.unionByName(stored(confirmed(similar(pairs.distinct(), classes), sets), "links"))
+        pairs = pairs.unionByName(crowded_pairs(crowded, sets))
+    return known.unionByName(stored(confirmed(pairs.distinct(), sets), "links"))
 
 
 def near_duplicates(documents: DataFrame, crowd: int = CROWD) -> DataFrame:
