@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from .license_scan import NOTICES
+
 CURRICULUM_MIX = r"""
 with d as (
   select doc_id, source, md5(coalesce(cast(doc_id as varchar), '')) as k,
@@ -140,30 +142,35 @@ select * from h where rank <= 3
 
 LICENSE_SCAN = r"""
 with notices as (
-  select label, list_distinct(string_split(words, ' ')) as words from (values
-    ('apache-2.0', 'licensed under the apache license version 2 0'),
-    ('bsd', 'redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met'),
-    ('cc-by-4.0', 'this work is licensed under a creative commons attribution 4 0 international license'),
-    ('cc-by-nc-4.0', 'licensed under cc by nc 4 0'),
-    ('gpl-3.0', 'this work is licensed under the gnu general public license version 3'),
-    ('mit', 'permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files'),
-    ('mpl-2.0', 'this source code form is subject to the terms of the mozilla public license v 2 0')) as v(label, words)),
+  select label, words as line, string_split(words, ' ') as listed, list_distinct(string_split(words, ' ')) as words, in_order,
+    len(string_split(words, ' ')) as length, cast(ceil(len(list_distinct(string_split(words, ' '))) * part / whole) as int) as need
+  from (values
+{NOTICES}) as v(label, words, part, whole, in_order)),
 d as (
   select row_number() over () as r, doc_id,
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as low from documents),
-w as (select r, doc_id, low, regexp_extract_all(low, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from d),
+w as materialized (select r, doc_id, low, regexp_extract_all(low, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from d),
 p as (
   select r, doc_id, len(ws) as n_words,
     [i - 1 for i in range(1, len(ws)) if ws[i] = 'cc' and ws[i + 1] = 'by'] as cc,
     [i - 1 for i in range(1, len(ws) - 1) if ws[i] = 'general' and ws[i + 1] = 'public' and ws[i + 2] = 'license'] as gpl,
     [i - 1 for i in range(1, len(ws) - 1) if ws[i] = 'all' and ws[i + 1] = 'rights' and ws[i + 2] = 'reserved'] as res
   from w),
+c as materialized (
+  select r, ws, low, n.* from w join notices n on not in_order and len(list_intersect(ws, n.words)) >= need),
 b as (
-  select r, list_distinct(regexp_extract_all(block, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) as ws
-  from (select r, unnest(string_split_regex(regexp_replace(low, '([.!?])[ \t]+', '\1' || chr(10), 'g'), '[\n\r]+')) as block from d)),
+  select r, label, words, need, regexp_extract_all(block, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as held
+  from (select r, label, words, need,
+      unnest(string_split_regex(regexp_replace(low, '([.!?])[ \t]+', '\1' || chr(10), 'g'), '[\n\r]+')) as block from c)
+  union all
+  select r, label, words, need, ws[i:i + 2 * length - 1]
+  from (select r, label, words, need, length, ws, unnest(range(1, len(ws) + 1, length)) as i from c)),
 h as (
-  select r, label, max(len(list_intersect(ws, words)) / len(words)) as share from b, notices
-  where 10 * len(list_intersect(ws, words)) >= 8 * len(words) group by r, label),
+  select r, label, max(len(list_intersect(list_distinct(held), words)) / len(words)) as share from b
+  where len(list_intersect(list_distinct(held), words)) >= need group by r, label
+  union all
+  select distinct r, label, 1.0::double
+  from w join notices n on in_order and contains(' ' || array_to_string(ws, ' ') || ' ', ' ' || n.line || ' ')),
 m as (select r, list(label) as own, max(share) as share from h group by r),
 q as (
   select p.*, cc || gpl || res as places, coalesce(own, []) as own, share,
@@ -178,12 +185,18 @@ from q
 """
 
 
+def license_scan_sql() -> str:
+    """The statement with the notices of the query as a table of values."""
+    rows = [f"    ('{n.label}', '{n.text}', {n.share[0]}, {n.share[1]}, {str(n.in_order).lower()})" for n in NOTICES]
+    return LICENSE_SCAN.replace("{NOTICES}", ",\n".join(rows))
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_jaccard_join": JACCARD_JOIN,
         "op2_warc": WARC,
         "op3_exact_topk": EXACT_TOPK,
-        "op7_license_scan": LICENSE_SCAN,
+        "op7_license_scan": license_scan_sql(),
         "op10_curriculum_mix": CURRICULUM_MIX,
         "op11_minhash_forest": MINHASH_FOREST,
         "op13_hard_negatives": HARD_NEGATIVES,
