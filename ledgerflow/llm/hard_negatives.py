@@ -289,7 +289,8 @@ def mine(embeddings: DataFrame, every: int = 50, positives: int = 5, negatives:
     n = chunks.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     anchors = cut.agg(F.coalesce(F.sum(F.octet_length("ids") / 8), F.lit(0.0))).first()[0]
     batches = max(1, math.ceil(anchors / BATCH))
-    stripes = max(1, math.ceil(shuffle_partitions(spark) / batches), math.ceil(n / STRIPE))
+    # a cell returns some rows for each of its anchors, so stripes are not made smaller than CHUNK for the sake of more tasks
+    stripes = max(1, min(math.ceil(shuffle_partitions(spark) / batches), math.ceil(n / CHUNK)), math.ceil(n / STRIPE))
     dealt = (chunks.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(batches - 1))))
              .withColumn("s", F.pmod(F.xxhash64("ids"), F.lit(stripes)).cast("int")).groupBy("dim", "g", "s"))
 
