@@ -79,11 +79,15 @@ def fct_account_daily_balance(t: Tables, as_of: dt.date = ORDERS_AS_OF) -> DataF
 
 
 def dim_account_balance_scd2(t: Tables, balances: DataFrame | None = None) -> DataFrame:
-    """Periods of unchanged closing balance per account; key (account, start)."""
+    """Periods of unchanged closing balance per account; key (account, start).
+
+    Balances computed here run to the same day for every account, which is thus the last
+    one; only of written or given balances is it looked up."""
+    computed = balances is None and "fct_account_daily_balance" not in getattr(t, "materialized", {})
     bal = balances if balances is not None else fct_account_daily_balance(t)
     periods = compress_runs(bal.select("account_id", "balance_date", "closing_balance"),
                             ["account_id"], "balance_date", ["closing_balance"])
-    last_day = bal.agg(F.max("balance_date")).scalar()  # scalar subquery, evaluated once
+    last_day = F.lit(str(ORDERS_AS_OF)).cast("date") if computed else bal.agg(F.max("balance_date")).scalar()
     return balance_periods_rows(periods, last_day)
 
 
@@ -124,15 +128,30 @@ def eom_balance(t: Tables) -> DataFrame:
                  F.max_by("closing_balance", "balance_date").alias("eom_closing_balance")))
 
 
-def fct_credit_exposure(t: Tables, balances: DataFrame | None = None) -> DataFrame:
-    bal = balances if balances is not None else fct_account_daily_balance(t)
-    bal = bal.select("account_id", "balance_date", "closing_balance")
+@memo
+def exposure_context(t: Tables) -> DataFrame:
+    """Per account with a current status: customer, risk rating and open credit limit."""
     limits = (t.stg_credit_limits().where(F.col("limit_end_date").isNull())
               .select("account_id", "credit_limit"))
-    ctx = (dims.current_account(t).select("account_id", "customer_id")
-           .join(dims.current_customer(t).select("customer_id", "risk_rating"), "customer_id", "left")
-           .join(limits, "account_id", "left"))
-    j = bal.join(ctx, "account_id")
+    return (dims.current_account(t).select("account_id", "customer_id")
+            .join(dims.current_customer(t).select("customer_id", "risk_rating"), "customer_id", "left")
+            .join(limits, "account_id", "left"))
+
+
+def fct_credit_exposure(t: Tables, balances: DataFrame | None = None, as_of: dt.date = ORDERS_AS_OF) -> DataFrame:
+    """Available credit per account and day.
+
+    Where the balances are computed here, the context joins the accounts (one row
+    each) and the spine generated from them carries it along: no join and no
+    broadcast ever has the account x day rows on a side. Written or given balances
+    join the context on the account."""
+    if balances is None and "fct_account_daily_balance" not in getattr(t, "materialized", {}):
+        acc = (t.stg_accounts().select("account_id", "account_open_date", "opening_balance")
+               .join(exposure_context(t), "account_id"))
+        j = daily_balances(acc, daily_net(t), as_of, keep=("customer_id", "credit_limit", "risk_rating"))
+    else:
+        bal = balances if balances is not None else fct_account_daily_balance(t)
+        j = bal.select("account_id", "balance_date", "closing_balance").join(exposure_context(t), "account_id")
     lim, cb = F.col("credit_limit"), F.col("closing_balance")
     return j.select(
         surrogate_key("account_id", "balance_date").alias("credit_exposure_sk"),
@@ -152,13 +171,18 @@ def premium_base(t: Tables) -> DataFrame:
                     ptype.alias("premium_type"), "amount", "currency_code")
 
 
+@memo
+def premium_amounts(t: Tables) -> DataFrame:
+    """All premium rows with signed amounts, whatever their policy."""
+    return premium_base(t).withColumn("premium_amount", signed_amount("amount", "premium_type", "REFUND"))
+
+
 @memo
 def premium_lines(t: Tables) -> DataFrame:
     """The premium fact's rows with the measures reports need: premiums of
     policies with a current version, signed, with the policy's product. The
     fact's customer context only adds columns, so reports skip it."""
-    return (premium_base(t).join(dims.current_policy(t).select("policy_id", "product_code"), "policy_id")
-            .withColumn("premium_amount", signed_amount("amount", "premium_type", "REFUND")))
+    return premium_amounts(t).join(dims.current_policy(t).select("policy_id", "product_code"), "policy_id")
 
 
 @shared("fct_premium")
@@ -202,15 +226,20 @@ def _claims_with_amounts(t: Tables) -> DataFrame:
             .withColumn("paid_amt", paid_amt).withColumn("res_amt", res_amt))
 
 
+@memo
+def claim_amounts(t: Tables) -> DataFrame:
+    """All claims with paid and incurred amounts, whatever their policy."""
+    return _claims_with_amounts(t).select(
+        "claim_id", "policy_id", "claim_reported_date", F.col("paid_amt").alias("paid_amount"),
+        (F.col("paid_amt") + F.col("res_amt")).cast(MONEY_SUM).alias("incurred_amount"))
+
+
 @memo
 def claim_lines(t: Tables) -> DataFrame:
     """The claims fact's rows (claims of policies with a current version) with
     paid and incurred amounts and the policy's product, without the customer
     context the reports do not use."""
-    j = _claims_with_amounts(t).join(dims.current_policy(t).select("policy_id", "product_code"), "policy_id")
-    return j.select("claim_id", "policy_id", "claim_reported_date", "product_code",
-                    F.col("paid_amt").alias("paid_amount"),
-                    (F.col("paid_amt") + F.col("res_amt")).cast(MONEY_SUM).alias("incurred_amount"))
+    return claim_amounts(t).join(dims.current_policy(t).select("policy_id", "product_code"), "policy_id")
 
 
 @memo
@@ -231,9 +260,13 @@ def claim_policy(t: Tables) -> DataFrame:
 
 @shared("fct_claim_reserve_snapshots")
 def fct_claim_reserve_snapshots(t: Tables) -> DataFrame:
-    """Reserve snapshots with the claim's policy and the policy's current attributes."""
+    """Reserve snapshots with the claim's policy and the policy's current attributes.
+
+    The policy joins the claims, the smaller side, so the snapshots are exchanged
+    once, by claim, and what groups them by claim and day needs no other exchange."""
     cur = dims.current_policy(t).select("policy_id", "product_code", "customer_id")
-    j = reserve_snapshots(t).join(claim_policy(t), "claim_id").join(cur, "policy_id")
+    claims = t.stg_claims().select("claim_id", "policy_id").join(cur, "policy_id")
+    j = reserve_snapshots(t).join(claims, "claim_id")
     return j.select(
         surrogate_key("claim_id", "snapshot_date", "reserve_type").alias("claim_reserve_sk"),
         "claim_id", "policy_id", "product_code", "customer_id", "snapshot_date",

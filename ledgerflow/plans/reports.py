@@ -74,13 +74,14 @@ def _fca_final(t: Tables, mf: DataFrame) -> DataFrame:
 
 
 def _ifrs(t: Tables, reserve_summary: DataFrame) -> DataFrame:
-    prem = facts.premium_lines(t)
-    ps = prem.groupBy("policy_id", _month("premium_date").alias("reporting_period")).agg(
+    """Summaries of all rows by policy and month; only policies with a current version
+    stay, and these join once, at the end."""
+    ps = facts.premium_amounts(t).groupBy("policy_id", _month("premium_date").alias("reporting_period")).agg(
         F.sum(F.when(F.col("premium_type") == "WRITTEN", F.col("premium_amount")).otherwise(F.lit(0)))
         .cast(MONEY_SUM).alias("written_premium"),
         F.sum(F.when(F.col("premium_type") == "EARNED", F.col("premium_amount")).otherwise(F.lit(0)))
         .cast(MONEY_SUM).alias("earned_premium"))
-    cs = facts.claim_lines(t).groupBy("policy_id", _month("claim_reported_date").alias("reporting_period")).agg(
+    cs = facts.claim_amounts(t).groupBy("policy_id", _month("claim_reported_date").alias("reporting_period")).agg(
         F.sum(F.coalesce("paid_amount", F.lit(0))).cast(MONEY_SUM).alias("total_paid"),
         F.sum(F.coalesce("incurred_amount", F.lit(0))).cast(MONEY_SUM).alias("total_incurred"))
     icm = t.stg_ifrs_contract_metrics()
@@ -102,11 +103,16 @@ def _ifrs(t: Tables, reserve_summary: DataFrame) -> DataFrame:
         "csm", "risk_adjustment")
 
 
+def _reserves_with_policy(t: Tables) -> DataFrame:
+    """Reserve snapshots with their claim's policy: exchanged by claim, once."""
+    return facts.reserve_snapshots(t).join(t.stg_claims().select("claim_id", "policy_id"), "claim_id")
+
+
 def rpt_ifrs_balances(t: Tables) -> DataFrame:
     """IFRS balances; reserves are the latest snapshot per claim, type and
     month, summed per policy and month."""
-    r = facts.fct_claim_reserve_snapshots(t)
-    latest = (r.groupBy("claim_id", "policy_id", "reserve_type", _month("snapshot_date").alias("reporting_period"))
+    latest = (_reserves_with_policy(t)
+              .groupBy("claim_id", "policy_id", "reserve_type", _month("snapshot_date").alias("reporting_period"))
               .agg(F.max_by("reserve_amount", "snapshot_date").alias("latest_reserve")))
     rs = (latest.groupBy("policy_id", "reporting_period")
           .agg(F.sum("latest_reserve").cast(MONEY_SUM).alias("total_reserves")))
@@ -115,8 +121,7 @@ def rpt_ifrs_balances(t: Tables) -> DataFrame:
 
 def rpt_ifrs_balances_literal(t: Tables) -> DataFrame:
     """As written: every daily reserve snapshot of the month is summed."""
-    r = facts.fct_claim_reserve_snapshots(t)
-    rs = (r.groupBy("policy_id", _month("snapshot_date").alias("reporting_period"))
+    rs = (_reserves_with_policy(t).groupBy("policy_id", _month("snapshot_date").alias("reporting_period"))
           .agg(F.sum("reserve_amount").cast(MONEY_SUM).alias("total_reserves")))
     return _ifrs(t, rs)
 

@@ -90,3 +90,41 @@ def test_scratch_folder_must_be_shared_off_local_mode(spark):
     fake = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master="spark://host:7077"))
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         ensure_checkpoint_dir(fake)
+
+
+def _below(plan: str, node: str) -> list[str]:
+    """The subtrees of a plan's text whose root names ``node``."""
+    lines = plan.splitlines()
+    depth = [len(line) - len(line.lstrip(" :+-*()0123456789")) for line in lines]
+    out = []
+    for i, line in enumerate(lines):
+        if node in line:
+            end = next((j for j in range(i + 1, len(lines)) if depth[j] <= depth[i]), len(lines))
+            out.append("\n".join(lines[i + 1:end]))
+    return out
+
+
+SPINE_KEYS = ["account_date_spine", "fct_account_daily_balance", "fct_credit_exposure", "dim_account_balance_scd2", "eom_balance", "lookback_filter",
+              "rpt_pra_exposures", "dq_unique", "dq_unique_combo", "dq_not_null", "dq_relationships"]
+
+
+@pytest.mark.parametrize("name", SPINE_KEYS)
+def test_no_generated_account_days_are_broadcast(spark, name):
+    """Catalyst takes a generated spine for one row per account: it must never be a broadcast side."""
+    plan = E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert not [t for t in _below(plan, "BroadcastExchange") if "explode(sequence(account_open_date" in t]
+
+
+def test_a_broadcast_spine_would_be_seen(spark):
+    from ledgerflow.operators.balances import account_day_spine
+    accounts = spark.createDataFrame([(1, "2020-01-01")], "account_id long, d string").selectExpr("account_id", "cast(d as date) account_open_date")
+    spine = account_day_spine(accounts, "account_open_date", "2020-02-01")
+    plan = spark.range(9).toDF("account_id").join(spine.hint("broadcast"), "account_id")._jdf.queryExecution().executedPlan().toString()
+    assert any("explode(sequence(account_open_date" in t for t in _below(plan, "BroadcastExchange"))
+
+
+def test_exposure_context_joins_accounts_not_days(spark):
+    """No join above the generated days."""
+    plan = E.queries()["fct_credit_exposure"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    above = plan[:plan.index("explode(sequence(")]
+    assert "Join" not in above and "Window" in above
