@@ -60,8 +60,8 @@ def meter_output(t: Tables) -> DataFrame:
 
 @job("ingest_new_files")
 def ingest_new_files(t: Tables) -> DataFrame:
-    """Two arrivals of event files; each ingestion reads only files of no
-    finished batch, so every row lands once; copies go to Processed and Backup."""
+    """Two arrivals of event files; each ingestion reads only the files of its own
+    manifest, so every row lands once; read files move to Processed, a copy of the rows goes to Backup."""
     root = files.scratch_dir(t.spark, "ingest")
     raw, ledger, table = f"{root}/raw", f"{root}/ledger", f"{root}/table"
     ev = _event_rows(t)

@@ -94,7 +94,110 @@ def test_ingest_survives_a_crash_before_the_ledger(spark, monkeypatch):
     assert files.ingest_new_files(*args, "b2", processed_dir=f"{root}/raw/Processed") > 0
     assert files.ingest_new_files(*args, "b3", processed_dir=f"{root}/raw/Processed") == 0
     assert sorted(map(tuple, files.loaded(spark, f"{root}/table", f"{root}/ledger").collect())) == [(1, "a"), (2, "b")]
-    assert spark.read.schema(schema).option("header", True).csv(f"{root}/raw/Processed/batch_id=b2").count() == 2
+    moved = spark.read.schema(schema).option("header", True).option("recursiveFileLookup", True).csv(f"{root}/raw/Processed/batch_id=b2")
+    assert moved.count() == 2  # the raw files themselves
+
+
+NAMES = ["plain.csv", "a+b.csv", "c d.csv", "e%20f.csv", "g[1].csv", "h{x,y}.csv", "ü é.csv", "q?.csv", "s*.csv", "back\\slash.csv", "100%.csv", "k=v.csv", "#x&y;.csv",
+         "sub folder+/plain.csv", "sub folder+/a+b.csv"]
+
+
+def _put(root, names, value=0):
+    import os
+    base = root.removeprefix("file:")
+    for i, name in enumerate(names):
+        os.makedirs(os.path.dirname(f"{base}/{name}"), exist_ok=True)
+        with open(f"{base}/{name}", "w", encoding="utf-8") as f:
+            f.write(f"k,v\n{value + i},{name.replace(',', ' ')}\n")
+
+
+def _below(root):
+    import os
+    base = root.removeprefix("file:")
+    return sorted(os.path.relpath(os.path.join(d, f), base) for d, _, fs in os.walk(base) for f in fs if not f.startswith((".", "_")))
+
+
+def test_files_of_any_name_land_once_and_leave(spark):
+    root = files.scratch_dir(spark, "names")
+    raw, args = f"{root}/raw", (spark, f"{root}/raw", f"{root}/ledger", "k int, v string", f"{root}/table")
+    _put(raw, NAMES)
+    kept = {"processed_dir": f"{raw}/Processed", "backup_dir": f"{raw}/Backup"}
+    assert files.ingest_new_files(*args, "b1", **kept) == len(NAMES)
+    got = files.loaded(spark, f"{root}/table", f"{root}/ledger")
+    assert sorted(r.k for r in got.collect()) == list(range(len(NAMES)))
+    assert _below(f"{raw}/Processed/batch_id=b1") == sorted(NAMES)  # raw files, names and folders kept
+    assert [p for p in _below(raw) if not p.startswith(("Processed/", "Backup/"))] == []
+    assert files.ingest_new_files(*args, "b2", **kept) == 0
+    backup = spark.read.schema("k int, v string").option("header", True).csv(f"{raw}/Backup/batch_id=b1")
+    assert sorted(r.k for r in backup.collect()) == list(range(len(NAMES)))
+    _put(raw, ["a+b.csv", "new.csv"], 100)  # a name that came before is another delivery
+    assert files.ingest_new_files(*args, "b3", **kept) == 2
+    assert sorted(r.k for r in files.loaded(spark, f"{root}/table", f"{root}/ledger").collect()) == [*range(len(NAMES)), 100, 101]
+    assert _below(f"{raw}/Processed/batch_id=b3") == ["a+b.csv", "new.csv"]
+
+
+def test_a_batch_reads_only_its_own_files(spark):
+    root = files.scratch_dir(spark, "own")
+    args = (spark, f"{root}/raw", f"{root}/ledger", "k int, v string", f"{root}/table")
+    _put(f"{root}/raw", [f"{i}.csv" for i in range(7)])
+    read = []
+    real = files.read_files
+    try:
+        files.read_files = lambda s, uris, *a: read.append(len(uris)) or real(s, uris, *a)
+        sizes = [files.ingest_new_files(*args, f"b{i}", max_files=3) for i in range(4)]
+    finally:
+        files.read_files = real
+    assert sizes == [3, 3, 1, 0] and read == [3, 3, 1]
+    assert sorted(r.k for r in files.loaded(spark, f"{root}/table", f"{root}/ledger").collect()) == list(range(7))
+    rows = real(spark, [r.file_path for r in files.list_files(spark, f"{root}/raw").where("file_path like '%/2.csv'").collect()], "k int, v string")
+    assert len(rows.inputFiles()) == 1 and [r.k for r in rows.collect()] == [2]
+
+
+@pytest.mark.parametrize("step", ["table", "Backup", "ledger", "after ledger", "half moved"])
+def test_a_crash_between_any_two_steps_loses_and_doubles_nothing(spark, monkeypatch, step):
+    root = files.scratch_dir(spark, "steps")
+    raw, args = f"{root}/raw", (spark, f"{root}/raw", f"{root}/ledger", "k int, v string", f"{root}/table")
+    kept = {"processed_dir": f"{raw}/Processed", "backup_dir": f"{raw}/Backup"}
+    _put(raw, ["one.csv", "two.csv", "three.csv"])
+    real_write, real_move = files._write_batch, files._move
+
+    def write(rows, path, batch_id, fmt="parquet"):
+        if path.endswith(step):
+            raise RuntimeError("lost")
+        real_write(rows, path, batch_id, fmt)
+
+    def move(s, raw_dir, processed, todo):
+        if step == "after ledger":
+            raise RuntimeError("lost")
+        if step == "half moved":
+            real_move(s, raw_dir, processed, todo[:1])
+            raise RuntimeError("lost")
+        real_move(s, raw_dir, processed, todo)
+
+    monkeypatch.setattr(files, "_write_batch", write)
+    monkeypatch.setattr(files, "_move", move)
+    with pytest.raises(RuntimeError):
+        files.ingest_new_files(*args, "b1", **kept)
+    monkeypatch.setattr(files, "_write_batch", real_write)
+    monkeypatch.setattr(files, "_move", real_move)
+    finished = step in ("after ledger", "half moved")
+    if step != "table":  # nothing is there to read yet
+        assert files.loaded(spark, f"{root}/table", f"{root}/ledger").count() == (3 if finished else 0)
+    _put(raw, ["four.csv"], 3)
+    assert files.ingest_new_files(*args, "b2", **kept) == (1 if finished else 4)
+    assert sorted(r.k for r in files.loaded(spark, f"{root}/table", f"{root}/ledger").collect()) == [0, 1, 2, 3]
+    assert sorted(p.split("/")[-1] for p in _below(f"{raw}/Processed")) == ["four.csv", "one.csv", "three.csv", "two.csv"]
+    assert [p for p in _below(raw) if not p.startswith(("Processed/", "Backup/"))] == []
+    assert files.ingest_new_files(*args, "b3", **kept) == 0
+
+
+def test_files_that_are_not_matched_are_an_error(spark, monkeypatch):
+    root = files.scratch_dir(spark, "unmatched")
+    _put(f"{root}/raw", ["a.csv", "b.csv"])
+    uris = [r.file_path for r in files.list_files(spark, f"{root}/raw").collect()]
+    monkeypatch.setattr(files, "_from_uri", lambda s, u: s._jvm.org.apache.hadoop.fs.Path(f"{root}/raw/a.csv"))
+    with pytest.raises(files.LostFilesError, match="b.csv"):
+        files.read_files(spark, uris, "k int, v string")
 
 
 def test_unreadable_ledger_is_an_error_not_a_first_run(spark):
