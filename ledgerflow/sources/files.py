@@ -116,6 +116,12 @@ def absent(spark: SparkSession, path: str) -> bool:
     return not fs.exists(hadoop)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a folder that no reader needs any more, if it is there."""
+    hadoop, fs = _path(spark, path)
+    fs.delete(hadoop, True)
+
+
 def _ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
     return spark.read.schema(LEDGER_SCHEMA).option("basePath", ledger_path).parquet(ledger_path)
 

@@ -219,3 +219,68 @@ def test_velocity_counts_do_not_depend_on_the_batches(spark):
         spark.sql(f"select 1L as account_id, timestamp '{d} 10:00:00' as transaction_timestamp").write.mode("append").parquet(f"{root}/in")
     out = jobs.velocity_alerts(spark, f"{root}/in", schema, f"{root}/out", f"{root}/ckpt", max_files_per_trigger=1)
     assert sorted((str(r.transaction_date), r.txn_count) for r in out.collect()) == [("2001-01-01", 2), ("2001-01-09", 3)]
+
+
+def _arrive(spark, root, rows):
+    schema = "transaction_id long, account_id long, transaction_timestamp timestamp_ntz"
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    return schema
+
+
+def test_state_is_bounded_and_late_rows_are_listed(spark):
+    """Ten days replayed one a batch with two days' lateness, late rows among them."""
+    root = files.scratch_dir(spark, "lateness")
+    start, made, expected, late = dt.datetime(2024, 3, 1, 9), 0, {}, []
+    for d in range(10):
+        rows = []
+        for account in range(5):
+            for _ in range(account % 2 + 1):
+                rows.append((made, account, start + dt.timedelta(days=d)))
+                made += 1
+        for back in (1, 2, 3, 6):  # the third is late by the batch before: its day closed then
+            if d >= back:
+                rows.append((made, 9, start + dt.timedelta(days=d - back)))
+                made += 1
+        newest_before = d - 1
+        for i, account, ts in rows:
+            day = (ts - start).days
+            if d and day < newest_before - 2:
+                late.append(i)
+            else:
+                key = (account, ts.date())
+                expected[key] = expected.get(key, 0) + 1
+        schema = _arrive(spark, root, rows)
+        streaming.velocity_alerts(spark, f"{root}/in", schema, f"{root}/out", f"{root}/ck", lateness_days=2)
+    marks = spark.read.option("basePath", f"{root}/out/marks").parquet(f"{root}/out/marks").orderBy("batch").collect()
+    assert len(marks) == 10 and max(m.open_rows for m in marks) <= 3 * 6  # three open days of six keys
+    assert len({m.open_rows for m in marks[4:]}) == 1  # no growth
+    got = {(r.account_id, r.transaction_date): r.txn_count for r in streaming.velocity_counts(spark, f"{root}/out").collect()}
+    assert got == expected
+    listed = streaming.late_rows(spark, f"{root}/out", schema).collect()
+    assert sorted(r.transaction_id for r in listed) == late and late
+    assert sum(m.late_rows for m in marks) == len(late)
+
+
+def test_a_replayed_batch_counts_once(spark):
+    root = files.scratch_dir(spark, "replayed")
+    schema = "transaction_id long, account_id long, transaction_timestamp timestamp_ntz"
+    day = dt.datetime(2024, 1, 1)
+    batches = [[(1, 1, day), (2, 1, None)], [(3, 1, day), (4, 2, day + dt.timedelta(days=9))], [(5, 1, day)]]
+    for number, rows in enumerate(batches):
+        for _ in range(3):  # a batch may fail after any of its writes and come again
+            streaming.count_batch(spark.createDataFrame(rows, schema), number, f"{root}/t", "transaction_timestamp", "account_id", 3)
+    got = sorted(((r.account_id, str(r.transaction_date), r.txn_count) for r in streaming.velocity_counts(spark, f"{root}/t").collect()))
+    assert got == [(1, "2024-01-01", 2), (1, "None", 1), (2, "2024-01-10", 1)]
+    assert [r.transaction_id for r in streaming.late_rows(spark, f"{root}/t", schema).collect()] == [5]
+
+
+def test_merge_takes_the_newest_change_whatever_the_order(spark):
+    root = files.scratch_dir(spark, "newest")
+    schema = "k bigint, v string, changed timestamp_ntz"
+    t = lambda h: dt.datetime(2024, 1, 1, h)
+    arrivals = [[(1, "new", t(5)), (1, "old", t(3)), (2, "a", t(1)), (2, "b", t(1)), (3, "x", None)],
+                [(1, "late", t(4)), (2, "c", t(2)), (3, "y", t(0))]]
+    for rows in arrivals:
+        files.write_staging_csv(spark.createDataFrame(rows, schema), f"{root}/in/{len(rows)}")
+        streaming.stream_merge(spark, f"{root}/in/*", schema, f"{root}/t", f"{root}/ck", ["k"], order_by="changed")
+    assert sorted((r.k, r.v) for r in streaming.merged(spark, f"{root}/t", ["k"], "changed").collect()) == [(1, "new"), (2, "c"), (3, "y")]
