@@ -30,6 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +40,7 @@ from .shingles import BUFFER, encoded, _mixed, _power_tables, _SPACE, _u
 DIM = 32
 WORD_ROWS, SHAPE_ROWS = 1 << 15, 1 << 12
 PARTS = 16
+FAN = 128  # tables that one group adds up
 REACH = (1, 2)
 AT_ONCE = 100_000  # words whose vectors are held at once
 SAMPLE = 20_000  # most labelled documents that the network is fitted to
@@ -133,6 +135,19 @@ def _add_contexts(table: np.ndarray, stream: list[np.ndarray], places: np.ndarra
         table += np.bincount(flat, weights=signs[c].ravel(), minlength=len(table))
 
 
+def added(sums: DataFrame, fan: int) -> DataFrame:
+    """One level of a tree of sums: part, node, sums of each ``fan`` neighbouring nodes as one node."""
+
+    def add(table: pa.Table) -> pa.Table:
+        total = np.zeros(len(table["sums"][0].as_py()) // 4)
+        for b in table["sums"].to_pylist():
+            total += np.frombuffer(b, np.float32)
+        return pa.table({"part": pa.array([table["part"][0].as_py()], pa.int32()), "node": pa.array([table["node"][0].as_py() // fan], pa.int32()),
+                         "sums": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
+
+    return sums.groupBy("part", (F.col("node") / fan).cast("int").alias("parent")).applyInArrow(add, "part int, node int, sums binary")
+
+
 def word_vectors(documents: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Unit vectors of all word rows and shape rows, from every document."""
 
@@ -154,15 +169,14 @@ def word_vectors(documents: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             _add_contexts(words, ws, *w_index)
             _add_contexts(shapes, ss, *s_index)
         whole = np.concatenate([words, shapes]).astype(np.float32)
-        yield pa.RecordBatch.from_arrays([pa.array(range(PARTS), pa.int32()), pa.array([p.tobytes() for p in np.array_split(whole, PARTS)], pa.binary())],
-                                         names=["part", "sums"])
-
-    def add(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(b, np.float32).astype(np.float64) for b in table["sums"].to_pylist())
-        return pa.table({"part": pa.array([table["part"][0].as_py()], pa.int32()), "sums": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
-
-    summed = (documents.select(text_or_empty().alias("text")).mapInArrow(gather, "part int, sums binary")
-              .groupBy("part").applyInArrow(add, "part int, sums binary"))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(range(PARTS), pa.int32()), pa.array(np.full(PARTS, TaskContext.get().partitionId(), np.int32)),
+             pa.array([p.tobytes() for p in np.array_split(whole, PARTS)], pa.binary())], names=["part", "node", "sums"])
+
+    summed = documents.select(text_or_empty().alias("text")).mapInArrow(gather, "part int, node int, sums binary")
+    for fan in (FAN, FAN, 1 << 31):  # the last takes what is left, FAN for each FAN^3 tasks
+        summed = added(summed, fan)
+    summed = summed.select("part", "sums")
     parts = sorted(summed.collect())  # PARTS rows of a table of fixed size
     whole = np.concatenate([np.frombuffer(r["sums"], np.float32) for r in parts]) if parts else np.zeros((WORD_ROWS + SHAPE_ROWS) * DIM, np.float32)
     vectors = whole.reshape(-1, DIM)

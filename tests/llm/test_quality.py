@@ -55,3 +55,17 @@ def test_network_learns_and_temperature_calibrates():
     net = quality.train(x, y, epochs=40)
     assert np.abs(net.probability(x) - p).mean() < 0.12
     assert 0.8 < quality.calibrated(3 * np.log(p / (1 - p)), y) / 3 < 1.25
+
+
+def test_sums_are_added_in_a_tree(spark):
+    """No group takes more tables than the fan, however many tasks there are."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    rows = [(p, node, np.array([node, 1], np.float32).tobytes()) for p in range(2) for node in range(1000)]
+    level = spark.createDataFrame(rows, "part int, node int, sums binary")
+    for fan, left in ((10, 100), (10, 10), (1 << 31, 1)):
+        level = quality.added(level, fan)
+        assert {r["count"] for r in level.groupBy("part").count().collect()} == {left}
+        assert level.agg(F.max("node")).first()[0] == left - 1
+    assert {tuple(np.frombuffer(r.sums, np.float32)) for r in level.collect()} == {(499500.0, 1000.0)}
