@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import dataclasses
 import datetime as dt
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -53,22 +54,37 @@ def audit_log_row(df: DataFrame, model_name: str, run: RunContext, database: str
         "row_count")
 
 
+class Written(NamedTuple):
+    rows: int
+    partitions: set  # values of the first partition column that rows were written for
+
+
 def write_with_audit(df: DataFrame, path: str, model_name: str, run: RunContext, log_path: str,
                      mode: str = "overwrite", partition_by: list[str] | None = None, only_touched: bool = False) -> int:
-    """Write ``df`` and append its audit row; the count is observed during the
+    """Write ``df`` and append its audit row; returns the number of rows."""
+    return write_observed(df, path, model_name, run, log_path, mode, partition_by, only_touched).rows
+
+
+def write_observed(df: DataFrame, path: str, model_name: str, run: RunContext, log_path: str,
+                   mode: str = "overwrite", partition_by: list[str] | None = None, only_touched: bool = False) -> Written:
+    """Write ``df`` and append its audit row; count and partitions are observed during the
     write itself (no second pass over the data). With ``only_touched`` the
     partitions that ``df`` has no row of stay as they are."""
     obs = Observation(f"audit_{model_name}")
-    w = df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode(mode)
+    seen = F.collect_set(partition_by[0]) if partition_by else F.collect_set(F.lit(None).cast("string"))
+    w = df.observe(obs, F.count(F.lit(1)).alias("n"), seen.alias("seen")).write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.option("partitionOverwriteMode", "dynamic" if only_touched else "static").parquet(path)
-    n = int(obs.get["n"])
-    spark = df.sparkSession
+    found = obs.get
+    append_log(df.sparkSession, model_name, run, log_path, int(found["n"]))
+    return Written(int(found["n"]), set(found["seen"]))
+
+
+def append_log(spark: SparkSession, model_name: str, run: RunContext, log_path: str, n: int) -> None:
     row = spark.createDataFrame(
         [(model_name, "analytics", "public", run.business_date, run.run_started_at, run.invocation_id,
           run.target_name, n)],
         "model_name string, database_name string, schema_name string, business_date date, "
         "run_started_at timestamp_ntz, invocation_id string, target_name string, row_count bigint")
     row.write.mode("append").parquet(log_path)
-    return n

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -154,26 +156,52 @@ def policy_context(t: Tables) -> DataFrame:
 
 
 # ---- orders mart ------------------------------------------------------------
-def fct_orders(t: Tables) -> DataFrame:
+def _with_payments(orders: DataFrame, payments: DataFrame) -> DataFrame:
     """Orders with the sum of successful payments (0 when none)."""
-    pay = (t.stg_payments().groupBy("order_id")
+    pay = (payments.groupBy("order_id")
            .agg(F.sum(F.when(F.col("status") == "success", F.col("amount"))).cast("decimal(38,2)")
                 .alias("amount")))
-    out = (t.stg_orders().join(pay, "order_id", "left")
+    out = (orders.join(pay, "order_id", "left")
            .select("order_id", "customer_id", "order_date",
                    F.coalesce(F.col("amount"), F.lit(0).cast("decimal(38,2)")).alias("amount")))
     require_columns(out, ["order_id", "customer_id", "order_date", "amount"], "fct_orders")
     return out
 
 
-def dim_customers(t: Tables) -> DataFrame:
-    co = fct_orders(t).groupBy("customer_id").agg(
+@shared("fct_orders")
+def fct_orders(t: Tables) -> DataFrame:
+    return _with_payments(t.stg_orders(), t.stg_payments())
+
+
+def fct_orders_changes(t: Tables, stored: DataFrame, since: dt.datetime) -> DataFrame:
+    """Orders updated at or after ``since`` (an order's update time follows its payments), whole."""
+    changed = t.stg_orders().where(F.col("updated_at") >= F.lit(str(since)).cast("timestamp_ntz"))
+    return _with_payments(changed, t.stg_payments().join(changed.select("order_id"), "order_id", "left_semi"))
+
+
+def _customers_with_orders(customers: DataFrame, orders: DataFrame) -> DataFrame:
+    co = orders.groupBy("customer_id").agg(
         F.min("order_date").alias("first_order_date"),
         F.max("order_date").alias("most_recent_order_date"),
         F.count("order_id").alias("number_of_orders"),
         F.sum("amount").cast("decimal(38,2)").alias("lifetime_value"))
-    return (t.stg_customers().join(co, "customer_id", "left")
+    return (customers.join(co, "customer_id", "left")
             .select("customer_id", "first_name", "last_name", "first_order_date",
                     "most_recent_order_date",
                     F.coalesce("number_of_orders", F.lit(0)).alias("number_of_orders"),
                     "lifetime_value"))
+
+
+def dim_customers(t: Tables) -> DataFrame:
+    return _customers_with_orders(t.stg_customers(), fct_orders(t))
+
+
+def dim_customers_changes(t: Tables, stored: DataFrame, since: dt.datetime) -> DataFrame:
+    """Customers that are new, have other attributes, or have an order updated at or after ``since``,
+    each from all its orders."""
+    names = ["customer_id", "first_name", "last_name"]
+    differ = t.stg_customers().select(*names).subtract(stored.select(*names)).select("customer_id")
+    ordered = t.stg_orders().where(F.col("updated_at") >= F.lit(str(since)).cast("timestamp_ntz")).select("customer_id")
+    touched = differ.unionByName(ordered).distinct()
+    return _customers_with_orders(t.stg_customers().join(touched, "customer_id", "left_semi"),
+                                  fct_orders(t).join(touched, "customer_id", "left_semi"))

@@ -6,7 +6,10 @@ back by the models downstream of it (table materialisation, IO10).
 Models with a date are partitioned by its month. A run that finds such a table
 reads its high-water mark, computes only the months from the lookback on, and
 replaces these partitions by Spark's dynamic partition overwrite; all other
-partitions keep their files. ``full_refresh`` rebuilds every table. Each write
+partitions keep their files. A partition of the window that has no row any more is removed.
+Models that are merged by key are dealt into buckets of their key (``operators.stored``): a run
+computes the rows that changed since the stored mark and rewrites only the buckets they touch. Models that
+follow column changes have a registry of their columns. ``full_refresh`` rebuilds every table. Each write
 observes its row count and appends one row to the audit log at ``_audit_log``; with
 ``checks`` the quality checks run on the written tables and their failures go to
 ``_checks``. ``snapshot_run`` applies one snapshot run to a stored history.
@@ -24,12 +27,12 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import surrogate_key
 from ..operators import incremental as inc
-from ..operators.audit import RunContext, write_with_audit
+from ..operators import stored
+from ..operators.audit import RunContext, append_log, write_observed
 from ..operators.balances import incremental_daily_balances
-from ..operators.scd2 import snapshot_apply
 from ..sources.adapters import ORDERS_AS_OF, Tables
-from ..sources.files import absent
-from . import facts, reports, snapshots
+from ..sources.files import absent, discard, partitions
+from . import dims, facts, reports, snapshots
 from .registry import load_all
 
 # Build order: dimensions, then facts, then what reads them.
@@ -49,6 +52,7 @@ CHECKS = ["dq_not_null", "dq_unique", "dq_unique_combo", "dq_relationships", "dq
           "dq_expression", "dq_no_overlap", "dq_policy_pit", "dq_payment_total", "dq_freshness"]
 # Stored histories: keys, change time, and the source's state at a run time.
 SNAPSHOTS = {
+    "snap_orders": (["order_id"], "updated_at", snapshots.order_state),
     "snap_customer_address": (["customer_id"], "last_updated_at", lambda t, at: snapshots.state_at(
         t.crm_customer_changes(), ["customer_id"], "last_updated_at", at, "change_id", snapshots.ADDRESS_COLS)),
     "snap_employee_role": (["employee_id"], "role_last_updated", lambda t, at: snapshots.state_at(
@@ -59,6 +63,34 @@ SNAPSHOTS = {
 }
 
 
+HARD_DELETES = {"snap_orders"}  # snapshots that close versions whose key left the source
+SYNCED = {"fct_claim_reserve_snapshots", "dim_account_balance_scd2"}  # models whose columns follow the latest write
+MARKS = "_marks"
+
+
+@dataclass(frozen=True)
+class MergedByKey:
+    """How a model is merged: its key, the rows changed since a time, and the newest change of its source."""
+
+    keys: list[str]
+    changes: Callable[[Tables, DataFrame, dt.datetime], DataFrame]
+    newest: Callable[[Tables], DataFrame]
+    lookback_days: int = 14
+
+
+def _newest_order(t: Tables) -> DataFrame:
+    return t.stg_orders().agg(F.max("updated_at").alias("mark"))
+
+
+MERGED = {
+    "fct_orders": MergedByKey(["order_id"], dims.fct_orders_changes, _newest_order),
+    "dim_customers": MergedByKey(["customer_id"], dims.dim_customers_changes, _newest_order),
+    "customer_spending_analysis": MergedByKey(
+        reports.SPENDING_KEYS, reports.customer_spending_changes,
+        lambda t: t.retail_daily_transactions().agg(F.max("last_updated_at").alias("mark"))),
+}
+
+
 @dataclass(frozen=True)
 class Incremental:
     """How a model is loaded in increments: the date its partitions follow, the
@@ -106,17 +138,35 @@ INCREMENTAL = {
 }
 
 
-def _increment(t: Tables, spec: Incremental, target: DataFrame, as_of: dt.date) -> DataFrame | None:
-    """The rows of the window's months, or None where the table is empty."""
+def _increment(t: Tables, spec: Incremental, target: DataFrame, as_of: dt.date) -> tuple[DataFrame, str] | None:
+    """(rows of the window's months, first of these months), or None where the table is empty."""
     mark = inc.high_water_mark(target, spec.date, None)
     if mark is None:
         return None
     mark = mark.date() if isinstance(mark, dt.datetime) else mark
     start = (mark - dt.timedelta(days=spec.lookback_days)).replace(day=1)
     if not spec.sources:
-        return spec.build(t, target, start, as_of)
+        # the period that reaches the window ends in the month before it at the earliest
+        first = start - dt.timedelta(days=1) if spec.build is _period_window else start
+        return spec.build(t, target, start, as_of), first.strftime("%Y-%m")
     since = F.lit(str(start)).cast("date")
-    return spec.build(t.restrict(**{a: F.col(c).cast("date") >= since for a, c in spec.sources.items()}))
+    return spec.build(t.restrict(**{a: F.col(c).cast("date") >= since for a, c in spec.sources.items()})), start.strftime("%Y-%m")
+
+
+def _merge(spark: SparkSession, t: Tables, name: str, root: str, run: RunContext, full_refresh: bool) -> None:
+    """Merge what changed since the model's mark, then move the mark: a run that fails in between repeats itself."""
+    path, marks, spec = f"{root}/{name}", f"{root}/{MARKS}/{name}", MERGED[name]
+    if full_refresh:
+        discard(spark, path)
+        discard(spark, marks)
+    stored.recover(spark, path)
+    mark = None if absent(spark, marks) or absent(spark, path) else spark.read.parquet(marks).agg(F.max("mark")).first()[0]
+    newest = spec.newest(t).first()["mark"]
+    rows = load_all()[name](t) if mark is None else spec.changes(t, stored.read_merged(spark, path), mark - dt.timedelta(days=spec.lookback_days))
+    done = stored.merge_stored(spark, path, rows, spec.keys)
+    append_log(spark, name, run, f"{root}/{AUDIT_LOG}", done.rows)
+    spark.createDataFrame([(newest, run.invocation_id)], "mark timestamp_ntz, invocation_id string").coalesce(1).write.mode("append").parquet(marks)
+    t.materialized[name] = stored.read_merged(spark, path)
 
 
 def _full(name: str, t: Tables, as_of: dt.date) -> DataFrame:
@@ -137,15 +187,26 @@ def run(spark: SparkSession, sf_dir: str, warehouse: str, models: list[str] | No
         raise ValueError(f"no such models: {sorted(unknown)}")
     for name in (m for m in ORDER if m in wanted):
         path, spec = f"{root}/{name}", INCREMENTAL.get(name)
-        rows = None
+        if name in MERGED:
+            _merge(spark, t, name, root, run, full_refresh)
+            continue
+        found = None
         if spec and not full_refresh and not absent(spark, path):
-            rows = _increment(t, spec, spark.read.parquet(path).drop(MONTH), as_of)
-        touched = rows is not None
-        rows = rows if touched else _full(name, t, as_of)
+            found = _increment(t, spec, _read(spark, path, name).drop(MONTH), as_of)
+        touched = found is not None
+        rows = found[0] if touched else _full(name, t, as_of)
+        if name in SYNCED:
+            if not touched:
+                stored.forget_columns(spark, path)
+            rows = stored.register_columns(spark, path, rows)
         if spec:
             rows = rows.withColumn(MONTH, F.date_format(spec.date, "yyyy-MM"))
-        write_with_audit(rows, path, name, run, f"{root}/{AUDIT_LOG}", partition_by=[MONTH] if spec else None, only_touched=touched)
-        t.materialized[name] = spark.read.parquet(path).drop(MONTH)
+        done = write_observed(rows, path, name, run, f"{root}/{AUDIT_LOG}", partition_by=[MONTH] if spec else None, only_touched=touched)
+        if touched:  # months of the window that lost all their rows
+            for month in partitions(spark, path, MONTH):
+                if month >= found[1] and month not in done.partitions:
+                    discard(spark, f"{path}/{MONTH}={month}")
+        t.materialized[name] = _read(spark, path, name).drop(MONTH)
     if checks:
         check_results(t, run).write.mode("append").parquet(f"{root}/{CHECK_LOG}")
     log = spark.read.parquet(f"{root}/{AUDIT_LOG}")
@@ -154,6 +215,10 @@ def run(spark: SparkSession, sf_dir: str, warehouse: str, models: list[str] | No
                      & F.col("model_name").isin(*sorted(wanted)))
 
 
+def _read(spark: SparkSession, path: str, name: str) -> DataFrame:
+    return stored.read_synced(spark, path, [MONTH]) if name in SYNCED else spark.read.parquet(path)
+
+
 def check_results(t: Tables, run: RunContext) -> DataFrame:
     """check_name, failures, run of every quality check over the handle's (written) tables."""
     jobs, out = load_all(), None
@@ -169,21 +234,11 @@ def check_results(t: Tables, run: RunContext) -> DataFrame:
 
 
 def snapshot_run(spark: SparkSession, sf_dir: str, warehouse: str, name: str, run_ts: str, tables: Tables | None = None) -> DataFrame:
-    """Apply one run to the stored history of ``name``; the history after it.
-
-    Each run writes the history as its own partition ``run=<time>``, so a failed or
-    repeated run replaces only itself and readers always find the last whole one.
-    """
+    """Apply one run to the stored history of ``name``; the history after it. A run writes what
+    is open and what it closed, nothing else (``stored.snapshot_store``)."""
     keys, updated_at, state = SNAPSHOTS[name]
-    path, run = f"{warehouse.rstrip('/')}/{name}", "".join(c for c in run_ts if c.isdigit())
-    before = None
-    if not absent(spark, path):
-        stored = spark.read.parquet(path).withColumn("run", F.col("run").cast("string")).where(F.col("run") < run)
-        last = inc.high_water_mark(stored, "run", None)
-        before = None if last is None else stored.where(F.col("run") == last).drop("run")
-    after = snapshot_apply(before, state(tables or Tables(spark, sf_dir), run_ts), keys, updated_at, F.lit(run_ts).cast("timestamp_ntz"), False)
-    after.write.mode("overwrite").parquet(f"{path}/run={run}")
-    return spark.read.parquet(f"{path}/run={run}")
+    return stored.snapshot_store(spark, f"{warehouse.rstrip('/')}/{name}", state(tables or Tables(spark, sf_dir), run_ts),
+                                 keys, updated_at, run_ts, name in HARD_DELETES)
 
 
 def main() -> None:

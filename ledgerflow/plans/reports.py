@@ -154,6 +154,13 @@ def customer_spending_analysis(t: Tables) -> DataFrame:
     return spending(t.retail_daily_transactions())
 
 
+def customer_spending_changes(t: Tables, stored: DataFrame, since: dt.datetime) -> DataFrame:
+    """The groups that rows updated at or after ``since`` touch, each from all its rows."""
+    src = t.retail_daily_transactions()
+    touched = src.where(F.col("last_updated_at") >= F.lit(str(since)).cast("timestamp_ntz")).select(*SPENDING_KEYS).distinct()
+    return spending(src.join(touched, SPENDING_KEYS, "left_semi"))
+
+
 def reserve_trend_90d(t: Tables, as_of: dt.date = ORDERS_AS_OF,
                       calendar: DataFrame | None = None) -> DataFrame:
     """Reserve total by product and snapshot day over the last 90 days; the

@@ -84,26 +84,27 @@ ORDER_COLS = ["order_id", "customer_id", "order_date", "order_status", "payment_
               "order_amount", "currency", "updated_at"]
 
 
-def order_states(t: Tables) -> list[tuple[DataFrame, str]]:
-    """Orders source at each run: orders placed before the run; fulfilled
-    orders placed before 1996 are purged from the second run on; open orders
-    placed before 1999 are settled (status F, PAID) at 1999-06-01."""
-    o = t.stg_orders()
+def order_state(t: Tables, run_ts: str) -> DataFrame:
+    """Orders source at a run: orders placed before it; fulfilled orders placed before
+    1996 are purged from the second run of the replay on; open orders placed before
+    1999 are settled (status F, PAID) at 1999-06-01."""
     purged = (F.col("order_status") == "F") & (F.col("order_date") < F.lit(PURGED_BEFORE).cast("date"))
     settled = (F.col("order_status") == "O") & (F.col("order_date") < F.lit("1999-01-01").cast("date"))
-    out = []
-    for i, run in enumerate(ORDER_RUNS):
-        s = o.where(F.col("updated_at") < _ts(run))
-        if i >= 1:
-            s = s.where(~purged)
-        if run > SETTLED_AT:
-            st = F.col("_settled")
-            s = (s.withColumn("_settled", settled)
-                 .withColumn("order_status", F.when(st, "F").otherwise(F.col("order_status")))
-                 .withColumn("payment_status", F.when(st, "PAID").otherwise(F.col("payment_status")))
-                 .withColumn("updated_at", F.when(st, _ts(SETTLED_AT)).otherwise(F.col("updated_at"))))
-        out.append((s.select(*ORDER_COLS), run))
-    return out
+    s = t.stg_orders().where(F.col("updated_at") < _ts(run_ts))
+    if run_ts >= ORDER_RUNS[1]:
+        s = s.where(~purged)
+    if run_ts > SETTLED_AT:
+        st = F.col("_settled")
+        s = (s.withColumn("_settled", settled)
+             .withColumn("order_status", F.when(st, "F").otherwise(F.col("order_status")))
+             .withColumn("payment_status", F.when(st, "PAID").otherwise(F.col("payment_status")))
+             .withColumn("updated_at", F.when(st, _ts(SETTLED_AT)).otherwise(F.col("updated_at"))))
+    return s.select(*ORDER_COLS)
+
+
+def order_states(t: Tables) -> list[tuple[DataFrame, str]]:
+    """The source at each run of the replay."""
+    return [(order_state(t, run), run) for run in ORDER_RUNS]
 
 
 def snap_orders(t: Tables) -> DataFrame:

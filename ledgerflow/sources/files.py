@@ -122,6 +122,13 @@ def discard(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop, True)
 
 
+def partitions(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Values of a table's first partition column, as its folders name them."""
+    hadoop, fs = _path(spark, path)
+    names = [f.getPath().getName() for f in fs.listStatus(hadoop) if f.isDirectory()]
+    return sorted(n.removeprefix(f"{column}=") for n in names if n.startswith(f"{column}=") and not n.endswith("__HIVE_DEFAULT_PARTITION__"))
+
+
 def _ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
     return spark.read.schema(LEDGER_SCHEMA).option("basePath", ledger_path).parquet(ledger_path)
 
