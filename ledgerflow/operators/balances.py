@@ -86,6 +86,47 @@ def daily_balances(accounts: DataFrame, daily_amounts: DataFrame, as_of: dt.date
     )
 
 
+def daily_balances_by_month(accounts: DataFrame, daily_amounts: DataFrame, as_of: dt.date | str,
+                            key: str = "account_id", open_col: str = "account_open_date",
+                            opening_col: str = "opening_balance", amount_col: str = "daily_net_amount",
+                            date_col: str = "balance_date", keep: tuple[str, ...] = ("currency_code",),
+                            partitions: int | None = None) -> DataFrame:
+    """``daily_balances`` in two levels, for keys with very many days.
+
+    Amounts are summed per key and month; a running sum over a key's months (one row
+    each: 1,200 for a century) gives every month its opening balance; days are generated and
+    summed within each month. (key, month) is what the days are dealt by, so one key's
+    history is spread over as many tasks as it has months, and no window holds
+    more than a month of it. Same rows as ``daily_balances``.
+    """
+    n = partitions or shuffle_partitions(accounts.sparkSession)
+    money = "decimal(38,2)"
+    end = F.lit(str(as_of)).cast("date")
+    life = accounts.where(F.col(open_col) <= end).select(key, F.col(open_col).alias("_opened"), F.col(opening_col).cast(money).alias("_opening"), *keep)
+    amounts = (daily_amounts.join(life.select(key, "_opened"), key)
+               .where((F.col(date_col) >= F.col("_opened")) & (F.col(date_col) <= end))
+               .select(key, date_col, F.col(amount_col).cast(money).alias("_amt"), F.trunc(date_col, "month").alias("_month")))
+    sums = amounts.groupBy(key, "_month").agg(F.sum("_amt").cast(money).alias("_net"))
+    months = life.withColumn("_month", F.explode(F.sequence(F.trunc("_opened", "month"), F.trunc(end, "month"), F.expr("interval 1 month"))))
+    earlier = Window.partitionBy(key).orderBy("_month").rowsBetween(Window.unboundedPreceding, -1)
+    begun = (months.join(sums, [key, "_month"], "left")
+             .withColumn("_begin", (F.col("_opening") + F.coalesce(F.sum("_net").over(earlier), F.lit(0))).cast(money)))
+    days = (begun.repartition(n, key, "_month")
+            .withColumn(date_col, F.explode(F.sequence(F.greatest("_month", "_opened"), F.least(F.last_day("_month"), end))))
+            .select(key, "_month", date_col, *keep, "_begin", F.lit(None).cast(money).alias("_amt"), F.lit(1).alias("_day")))
+    moved = (amounts.repartition(n, key, "_month")
+             .select(key, "_month", date_col, *[F.lit(None).alias(c) for c in keep], F.lit(None).cast(money).alias("_begin"), "_amt", F.lit(0).alias("_day")))
+    running = Window.partitionBy(key, "_month").orderBy(date_col, "_day").rowsBetween(Window.unboundedPreceding, 0)
+    summed = days.unionByName(moved).withColumn("_cum", F.sum(F.coalesce("_amt", F.lit(0).cast(money))).over(running))
+    by_day = Window.partitionBy(key, "_month").orderBy(date_col)
+    closing = (F.col("_begin") + F.col("_cum")).cast(money)
+    return summed.where("_day = 1").select(
+        key, date_col, *keep,
+        (F.col("_cum") - F.lag("_cum", 1, 0).over(by_day)).cast(money).alias("daily_net_amount"),
+        F.coalesce(F.lag(closing).over(by_day), F.col("_begin")).cast(money).alias("opening_balance"),
+        closing.alias("closing_balance"))
+
+
 def incremental_daily_balances(previous: DataFrame, accounts: DataFrame, daily_amounts: DataFrame,
                                window_start: dt.date, as_of: dt.date, key: str = "account_id",
                                open_col: str = "account_open_date", opening_col: str = "opening_balance",

@@ -7,7 +7,7 @@
   hard-delete invalidation (H2): one full-outer join of the open versions with
   the current source state on the business key.
 * ``compress_runs``   - collapse consecutive equal values of an ordered series
-  into periods (G2).
+  into periods (G2); ``compress_runs_chunked`` is the form for hot keys.
 * ``latest_per_key``  - current state of a change log (one row per key).
 """
 
@@ -141,3 +141,46 @@ def compress_runs(df: DataFrame, keys: Sequence[str], order_col: str,
     return (grouped.groupBy(*keys, *value_cols, "_grp")
             .agg(F.min(order_col).alias(start_col), F.max(order_col).alias(end_col))
             .drop("_grp"))
+
+
+def compress_runs_chunked(df: DataFrame, keys: Sequence[str], order_col: str,
+                          value_cols: Sequence[str], start_col: str = "effective_start_date",
+                          end_col: str = "effective_end_date", unit: str = "month") -> DataFrame:
+    """``compress_runs`` that never puts one key's whole series in one task.
+
+    Runs are found per (key, time chunk). Of each chunk one row, with its first and last
+    values and its number of runs, tells which chunks go on with the run before: a
+    window over a key's chunks gives a run that crosses borders the place where it
+    began, and its parts are put together by that. Windows hold a
+    chunk's rows or a key's chunks, never a key's rows.
+    """
+    by_chunk = [*keys, "_chunk"]
+    w = Window.partitionBy(*by_chunk).orderBy(order_col)
+
+    def equal(a: Sequence[str], b: Sequence[Column]) -> Column:
+        same = None
+        for x, y in zip(a, b, strict=True):
+            e = F.col(x) == y
+            same = e if same is None else same & e
+        return F.coalesce(same, F.lit(False))  # null never equals null
+
+    marked = (df.withColumn("_chunk", F.date_trunc(unit, F.col(order_col)))
+              .withColumn("_chg", F.when(equal(value_cols, [F.lag(v).over(w) for v in value_cols]), 0).otherwise(1)))
+    parts = (marked.withColumn("_no", F.sum("_chg").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+             .groupBy(*by_chunk, *value_cols, "_no").agg(F.min(order_col).alias(start_col), F.max(order_col).alias(end_col)))
+    values = F.struct(*value_cols)
+    chunks = parts.groupBy(*by_chunk).agg(F.max("_no").alias("_n"), F.min_by(values, "_no").alias("_first"), F.max_by(values, "_no").alias("_last"))
+    over = Window.partitionBy(*keys).orderBy("_chunk")
+    goes_on = equal([f"_first.{v}" for v in value_cols], [F.lag(f"_last.{v}").over(over) for v in value_cols])
+    # where the last run of a chunk began: here, unless the chunk is one run that goes on
+    here = F.when(~F.col("_goes_on") | (F.col("_n") > 1), F.struct(F.col("_chunk").alias("c"), F.col("_n").alias("n")))
+    chunks = (chunks.withColumn("_goes_on", goes_on)
+              .withColumn("_began", F.last(here, ignorenulls=True).over(over.rowsBetween(Window.unboundedPreceding, 0)))
+              .withColumn("_before", F.when(F.col("_goes_on"), F.lag("_began").over(over)))
+              .select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_chunk").alias("_k_chunk"), "_before"))
+    same = F.col("_chunk").eqNullSafe(F.col("_k_chunk"))
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    own = F.struct(F.col("_chunk").alias("c"), F.col("_no").alias("n"))
+    return (parts.join(chunks, same).withColumn("_run", F.when((F.col("_no") == 1) & F.col("_before").isNotNull(), F.col("_before")).otherwise(own))
+            .groupBy(*keys, *value_cols, "_run").agg(F.min(start_col).alias(start_col), F.max(end_col).alias(end_col)).drop("_run"))

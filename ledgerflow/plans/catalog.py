@@ -25,6 +25,8 @@ for _name, _fn in {
     "fct_transactions": facts.fct_transactions,
     "fct_account_daily_balance": facts.fct_account_daily_balance,
     "dim_account_balance_scd2": facts.dim_account_balance_scd2,
+    "fct_account_daily_balance_by_month": facts.fct_account_daily_balance_by_month,
+    "dim_account_balance_scd2_by_month": facts.dim_account_balance_scd2_by_month,
     "eom_balance": facts.eom_balance,
     "fct_credit_exposure": facts.fct_credit_exposure,
     "fct_premium": facts.fct_premium,

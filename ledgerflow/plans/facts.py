@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import surrogate_key
 from ..functions.money import MONEY_SUM, exact_avg, ratio, signed_amount
-from ..operators.balances import daily_balances, window_balances
+from ..operators.balances import daily_balances, daily_balances_by_month, window_balances
 from ..operators.pit import point_in_time_join
-from ..operators.scd2 import compress_runs, latest_per_key
+from ..operators.scd2 import compress_runs, compress_runs_chunked, latest_per_key
 from .shared import memo, shared
 from ..sources.adapters import ORDERS_AS_OF, Tables
 from . import dims
@@ -78,6 +78,19 @@ def fct_account_daily_balance(t: Tables, as_of: dt.date = ORDERS_AS_OF) -> DataF
         "opening_balance", "closing_balance")
 
 
+def fct_account_daily_balance_by_month(t: Tables, as_of: dt.date = ORDERS_AS_OF) -> DataFrame:
+    """The same fact in two levels, month sums and days within each month: for accounts with very many days."""
+    acc = t.stg_accounts().select("account_id", "account_open_date", "opening_balance", "currency_code")
+    return daily_balances_by_month(acc, daily_net(t), as_of).withColumn("account_balance_sk", surrogate_key("account_id", "balance_date"))
+
+
+def dim_account_balance_scd2_by_month(t: Tables) -> DataFrame:
+    """The same periods, found per month and joined at its borders."""
+    days = fct_account_daily_balance_by_month(t).select("account_id", "balance_date", "closing_balance")
+    periods = compress_runs_chunked(days, ["account_id"], "balance_date", ["closing_balance"])
+    return balance_periods_rows(periods, F.lit(str(ORDERS_AS_OF)).cast("date"))
+
+
 def dim_account_balance_scd2(t: Tables, balances: DataFrame | None = None) -> DataFrame:
     """Periods of unchanged closing balance per account; key (account, start).
 
