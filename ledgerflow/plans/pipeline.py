@@ -22,7 +22,7 @@ import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.keys import surrogate_key
@@ -32,7 +32,7 @@ from ..operators.audit import RunContext, append_log, write_observed
 from ..operators.balances import incremental_daily_balances
 from ..sources.adapters import ORDERS_AS_OF, Tables
 from ..sources.files import absent, discard, partitions
-from . import dims, facts, reports, snapshots
+from . import dims, facts, quality_jobs, reports, snapshots
 from .registry import load_all
 
 # Build order: dimensions, then facts, then what reads them.
@@ -50,6 +50,7 @@ MONTH = "part_month"
 AUDIT_LOG, CHECK_LOG = "_audit_log", "_checks"
 CHECKS = ["dq_not_null", "dq_unique", "dq_unique_combo", "dq_relationships", "dq_relationships_where", "dq_accepted_values",
           "dq_expression", "dq_no_overlap", "dq_policy_pit", "dq_payment_total", "dq_freshness"]
+OBSERVED = {"dq_not_null", "dq_accepted_values", "dq_expression"}  # counted while models are written
 # Stored histories: keys, change time, and the source's state at a run time.
 SNAPSHOTS = {
     "snap_orders": (["order_id"], "updated_at", snapshots.order_state),
@@ -185,6 +186,7 @@ def run(spark: SparkSession, sf_dir: str, warehouse: str, models: list[str] | No
     unknown = wanted - set(ORDER)
     if unknown:
         raise ValueError(f"no such models: {sorted(unknown)}")
+    measured: dict[str, dict[tuple[str, str], int]] = {}
     for name in (m for m in ORDER if m in wanted):
         path, spec = f"{root}/{name}", INCREMENTAL.get(name)
         if name in MERGED:
@@ -195,6 +197,10 @@ def run(spark: SparkSession, sf_dir: str, warehouse: str, models: list[str] | No
             found = _increment(t, spec, _read(spark, path, name).drop(MONTH), as_of)
         touched = found is not None
         rows = found[0] if touched else _full(name, t, as_of)
+        counted = quality_jobs.write_metrics(name) if checks else {}
+        failing = Observation(f"checks_{name}")
+        if counted:
+            rows = rows.observe(failing, *[c.alias(f"m{i}") for i, c in enumerate(counted.values())])
         if name in SYNCED:
             if not touched:
                 stored.forget_columns(spark, path)
@@ -202,13 +208,15 @@ def run(spark: SparkSession, sf_dir: str, warehouse: str, models: list[str] | No
         if spec:
             rows = rows.withColumn(MONTH, F.date_format(spec.date, "yyyy-MM"))
         done = write_observed(rows, path, name, run, f"{root}/{AUDIT_LOG}", partition_by=[MONTH] if spec else None, only_touched=touched)
+        if counted:
+            measured[name] = {k: failing.get[f"m{i}"] for i, k in enumerate(counted)}
         if touched:  # months of the window that lost all their rows
             for month in partitions(spark, path, MONTH):
                 if month >= found[1] and month not in done.partitions:
                     discard(spark, f"{path}/{MONTH}={month}")
         t.materialized[name] = _read(spark, path, name).drop(MONTH)
     if checks:
-        check_results(t, run).write.mode("append").parquet(f"{root}/{CHECK_LOG}")
+        check_results(t, run, measured).write.mode("append").parquet(f"{root}/{CHECK_LOG}")
     log = spark.read.parquet(f"{root}/{AUDIT_LOG}")
     return log.where((F.col("invocation_id") == run.invocation_id)
                      & (F.col("run_started_at") == F.lit(run.run_started_at.isoformat(sep=" ")).cast("timestamp_ntz"))
@@ -219,14 +227,18 @@ def _read(spark: SparkSession, path: str, name: str) -> DataFrame:
     return stored.read_synced(spark, path, [MONTH]) if name in SYNCED else spark.read.parquet(path)
 
 
-def check_results(t: Tables, run: RunContext) -> DataFrame:
-    """check_name, failures, run of every quality check over the handle's (written) tables."""
-    jobs, out = load_all(), None
+def check_results(t: Tables, run: RunContext, measured: dict[str, dict[tuple[str, str], int]] | None = None) -> DataFrame:
+    """check_name, failures, run of every quality check over the handle's (written) tables.
+    ``measured``: failures that the writes of models have counted, by model and check."""
+    jobs, out, measured = load_all(), None, measured or {}
     for name in CHECKS:
-        df = jobs[name](t)
+        known = sum(n for of in measured.values() for (check, _), n in of.items() if check == name)
+        df = jobs[name](t, set(measured)) if name in OBSERVED else jobs[name](t)
+        if df is None:  # every model of the check was written by this run
+            df = t.spark.range(0).select(F.lit(0).cast("long").alias("failures"))
         failures = (F.sum("failures") if "failures" in df.columns else
                     F.count_if(F.col("status") == "error") if "status" in df.columns else F.count(F.lit(1)))
-        row = df.agg(F.coalesce(failures, F.lit(0)).cast("long").alias("failures")).select(
+        row = df.agg((F.coalesce(failures, F.lit(0)) + known).cast("long").alias("failures")).select(
             F.lit(name).alias("check_name"), "failures", F.lit(run.invocation_id).alias("invocation_id"),
             F.lit(run.run_started_at.isoformat(sep=" ")).cast("timestamp_ntz").alias("run_started_at"))
         out = row if out is None else out.unionByName(row)

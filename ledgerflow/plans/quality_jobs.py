@@ -8,9 +8,9 @@ Summary checks return one row per declared test with its failure count
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Collection, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import audit
@@ -117,18 +117,30 @@ FRESHNESS = [
 ]
 
 
-def _union(frames: Sequence[DataFrame]) -> DataFrame:
+def _union(frames: Sequence[DataFrame]) -> DataFrame | None:
+    if not frames:
+        return None
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
     return out
 
 
+def write_metrics(model: str) -> dict[tuple[str, str], Column]:
+    """(check, what) -> failing rows of the model, as aggregates of its rows: what can be
+    counted while the model is written (Q1, Q6, Q7)."""
+    out = {("dq_not_null", c): F.count_if(F.col(c).isNull()) for c in NOT_NULL.get(model, [])}
+    out |= {("dq_accepted_values", c): F.count_if(~F.col(c).isin(*vals)) for m, c, vals in ACCEPTED if m == model}
+    return out | {("dq_expression", e): F.count_if(~F.expr(e)) for m, e in EXPRESSIONS if m == model}
+
+
 @job("dq_not_null")
-def dq_not_null(t: Tables) -> DataFrame:
-    """Null count per declared not-null column; one aggregate pass per model."""
+def dq_not_null(t: Tables, without: Collection[str] = ()) -> DataFrame:
+    """Null count per declared not-null column; one aggregate pass per model (not of models in ``without``)."""
     parts = []
     for model, cols in NOT_NULL.items():
+        if model in without:
+            continue
         nc = q.null_counts(MODELS[model](t).select(*cols), cols)
         parts.append(nc.select(F.lit(model).alias("model_name"), "column_name",
                                F.col("null_count").alias("failures")))
@@ -184,17 +196,15 @@ def dq_relationships_where(t: Tables) -> DataFrame:
 
 
 @job("dq_accepted_values")
-def dq_accepted_values(t: Tables) -> DataFrame:
-    parts = [_count(q.accepted_values(MODELS[m](t).select(c), c, vals), model_name=m, column_name=c)
-             for m, c, vals in ACCEPTED]
-    return _union(parts)
+def dq_accepted_values(t: Tables, without: Collection[str] = ()) -> DataFrame:
+    return _union([_count(q.accepted_values(MODELS[m](t).select(c), c, vals), model_name=m, column_name=c)
+                   for m, c, vals in ACCEPTED if m not in without])
 
 
 @job("dq_expression")
-def dq_expression(t: Tables) -> DataFrame:
-    parts = [_count(q.expression_is_true(MODELS[m](t), e), model_name=m, expression=e)
-             for m, e in EXPRESSIONS]
-    return _union(parts)
+def dq_expression(t: Tables, without: Collection[str] = ()) -> DataFrame:
+    return _union([_count(q.expression_is_true(MODELS[m](t), e), model_name=m, expression=e)
+                   for m, e in EXPRESSIONS if m not in without])
 
 
 @job("dq_no_overlap")

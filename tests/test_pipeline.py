@@ -76,3 +76,23 @@ def test_stored_snapshots_equal_the_replay(spark):
         out = pipeline.snapshot_run(spark, SF_SMALL, wh, "snap_customer_address", at)
     direct = E.queries()["snap_customer_address"](spark, SF_SMALL)
     assert sorted(map(repr, out.select(*direct.columns).collect())) == sorted(map(repr, direct.collect()))
+
+
+def test_row_checks_are_counted_by_the_write(spark, monkeypatch):
+    """Failures of written models are observed; the checks read none of these models again."""
+    from ledgerflow.plans import quality_jobs as qj
+    wh, models = scratch_dir(spark, "observed"), ["dim_policy", "dim_claim", "dim_product", "dim_customer", "dim_reserve_type"]
+    monkeypatch.setitem(qj.NOT_NULL, "dim_policy", ["policy_sk", "status_end_date"])  # open versions have none
+    monkeypatch.setattr(qj, "ACCEPTED", [("dim_claim", "claim_status", ["OPEN"]), ("dim_customer", "customer_type", ["PERSON", "ORGANIZATION"])])
+    monkeypatch.setattr(qj, "EXPRESSIONS", [("dim_policy", "premium_amount < 0")])
+    scanned = []
+    for m in models:
+        monkeypatch.setitem(qj.MODELS, m, lambda t, m=m, f=qj.MODELS[m]: scanned.append(m) or f(t))
+    monkeypatch.setattr(pipeline, "CHECKS", sorted(pipeline.OBSERVED))
+    pipeline.run(spark, SF_SMALL, wh, models, checks=True)
+    assert scanned == []
+    got = {r.check_name: r.failures for r in spark.read.parquet(f"{wh}/{pipeline.CHECK_LOG}").collect()}
+    policies, claims = table(spark, wh, "dim_policy"), table(spark, wh, "dim_claim")
+    assert got == {"dq_not_null": policies.where("status_end_date is null").count(), "dq_accepted_values": claims.where("claim_status <> 'OPEN'").count(),
+                   "dq_expression": policies.where("not premium_amount < 0").count()}
+    assert got["dq_not_null"] > 0 and got["dq_accepted_values"] > 0
