@@ -9,10 +9,13 @@ package is closed at ``package_bytes``. A task's attempt writes files of its own
 names and only the files of the attempt that succeeded are listed, so a repeated
 attempt or a lost executor leaves nothing half-read.
 
-Reading. The package's central directory (ZIP64 too) gives the members, the index
-gives the records; they are grouped into ranges of about ``range_bytes`` that are
-dealt over the cluster, and each range is read with one call. Nothing is unpacked
-to disk.
+Reading. Any package: the central directory (ZIP64 too) gives the members. Every stored
+``archive/`` member is read, gzip members or plain records. Its records are located by the
+``indexes/`` members where their lines tile the whole of it, else by walking it once;
+they are grouped into ranges of about ``range_bytes`` that are dealt over the cluster, and each range
+is read with one call. Nothing is unpacked to disk. A record comes back with its id, type, all its
+headers and its payload; a payload that is not the one of its SHA-1 is an error.
+``resolved`` gives revisits the payload of the record they refer to, by record id.
 
 Files are reached through pyarrow's file systems by their URI, the shared folder
 of ``spark.checkpoint.dir`` by default.
@@ -20,7 +23,8 @@ of ``spark.checkpoint.dir`` by default.
 Defined cases: null html is an empty payload; null page_id is kept, as a revisit if
 an equal payload has an id, else as response; rows that repeat the largest page_id of
 a payload are responses each; a null url leaves its header out; an empty table writes
-no package; other columns are ignored.
+no package; other columns are ignored. Of a foreign archive, records without an id, URL, digest or HTTP
+head have null there and their block as payload.
 """
 
 from __future__ import annotations
@@ -32,6 +36,7 @@ import json
 import re
 import uuid
 import zipfile
+import zlib
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -46,9 +51,14 @@ DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2000-01-01T00:00:00Z"  # of capture; the table has none
 PACKAGES = pa.schema([("path", pa.string()), ("records", pa.int64())])
-RECORD = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
-RECORD_SCHEMA = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
-                           ("record_type", pa.string()), ("refers_to", pa.int64())])
+RECORD = ("path string, member string, offset long, record_id string, record_type string, target_uri string, refers_to string, "
+          "headers map<string,string>, payload_bytes long, payload_digest string, payload binary")
+RECORD_SCHEMA = pa.schema([("path", pa.string()), ("member", pa.string()), ("offset", pa.int64()), ("record_id", pa.string()), ("record_type", pa.string()),
+                           ("target_uri", pa.string()), ("refers_to", pa.string()), ("headers", pa.map_(pa.string(), pa.string())),
+                           ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("payload", pa.binary())])
+GZIP = b"\x1f\x8b"
+STEP = 1 << 20  # bytes read at once where a member is walked
+FIRST = 1 << 14  # bytes of a record looked at first
 
 
 def file_system(uri: str):
@@ -80,25 +90,39 @@ def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int
     return gzip.compress("\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n", 6, mtime=0)
 
 
+def _fields(head: bytes) -> tuple[str, list[tuple[str, str]]]:
+    """First line and (name, value) of the others; a line that begins with a blank goes on with the one before."""
+    first, *lines = head.decode("utf-8", "replace").split("\r\n")
+    out: list[tuple[str, str]] = []
+    for line in lines:
+        if line[:1] in (" ", "\t") and out:
+            out[-1] = (out[-1][0], f"{out[-1][1]} {line.strip()}")
+        elif line:
+            name, _, value = line.partition(":")
+            out.append((name.strip(), value.strip()))
+    return first, out
+
+
 def parsed(data: bytes) -> dict:
-    """The row of one record; a response's payload is checked against its digest."""
-    raw = gzip.decompress(data)
-    head, _, rest = raw.partition(b"\r\n\r\n")
-    version, *lines = head.decode().split("\r\n")
-    fields = dict(x.split(": ", 1) for x in lines)
-    if not version.startswith("WARC/"):
+    """One record, a gzip member or plain; its payload is checked against its digest where that is a SHA-1."""
+    raw = gzip.decompress(data) if data[:2] == GZIP else data
+    head, there, rest = raw.partition(b"\r\n\r\n")
+    version, fields = _fields(head)
+    if not there or not version.startswith("WARC/"):
         raise BadArchive("no WARC record where the index says")
-    number = lambda name: int(n) if (n := fields[name][len("<urn:page:"):-1]) else None
-    block = rest[:int(fields["Content-Length"])]
-    http, _, payload = block.partition(b"\r\n\r\n")
-    length = int(re.search(rb"\r\nContent-Length: (\d+)", http)[1])
-    said = fields["WARC-Payload-Digest"].removeprefix("sha1:")
-    if fields["WARC-Type"] == "response" and (len(payload) != length or digest(payload) != said):
-        raise BadArchive(f"the payload of {fields['WARC-Record-ID']} is not the one written")
-    url = fields.get("WARC-Target-URI")
-    return {"page_id": number("WARC-Record-ID"), "payload_bytes": length, "payload_digest": said, "record_type": fields["WARC-Type"],
-            "url": None if url is None else re.sub(r"%([0-9A-F]{2})", lambda m: chr(int(m[1], 16)), url) if "%" in url else url,
-            "refers_to": number("WARC-Refers-To") if "WARC-Refers-To" in fields else None}
+    by_name = {k.lower(): v for k, v in fields}
+    length = int(by_name.get("content-length", "0"))
+    if len(rest) < length:
+        raise BadArchive(f"the archive ends within {by_name.get('warc-record-id')}")
+    payload, kind = rest[:length], by_name.get("warc-type")
+    if by_name.get("content-type", "").replace(" ", "").startswith("application/http") and payload[:5] == b"HTTP/":
+        payload = payload.partition(b"\r\n\r\n")[2]
+    found, (how, _, said) = digest(payload), by_name.get("warc-payload-digest", "").partition(":")
+    whole = kind != "revisit" and "warc-truncated" not in by_name
+    if whole and how.lower() == "sha1" and said.upper() not in (found, hashlib.sha1(payload).hexdigest().upper()):
+        raise BadArchive(f"the payload of {by_name.get('warc-record-id')} is not the one written")
+    return {"record_id": by_name.get("warc-record-id"), "record_type": kind, "target_uri": by_name.get("warc-target-uri"),
+            "refers_to": by_name.get("warc-refers-to"), "headers": fields, "payload_bytes": len(payload), "payload_digest": found, "payload": payload}
 
 
 # --- writing ----------------------------------------------------------------------------------------------------------
@@ -152,50 +176,155 @@ def write(pages: DataFrame, folder: str, min_bytes: int = 0, package_bytes: int
 
 # --- reading ----------------------------------------------------------------------------------------------------------
 
-def read(packages: DataFrame, range_bytes: int = 4 << 20) -> DataFrame:
-    """One row per record of the packages in column ``path``."""
+def _ahead(size: int, read_at):
+    """``read_at`` that reads STEP bytes at once and serves what follows from them."""
+    held = [0, b""]
+
+    def read(offset: int, length: int) -> bytes:
+        if not held[0] <= offset or offset + length > held[0] + len(held[1]):
+            held[:] = offset, read_at(offset, min(max(length, STEP), size - offset))
+        return held[1][offset - held[0]:offset - held[0] + length]
+
+    return read
+
+
+def _walked(size: int, read_at) -> list[tuple[int, int]]:
+    """(offset, length) of each record of an archive member, found by going through it."""
+    out, at, read_at = [], 0, _ahead(size, read_at)
+    while at < size:
+        piece = read_at(at, min(FIRST, size - at))
+        if piece[:2] == GZIP:
+            engine, taken = zlib.decompressobj(31), 0
+            while True:
+                engine.decompress(piece)
+                taken += len(piece) - len(engine.unused_data)
+                if engine.eof:
+                    break
+                if at + taken >= size:
+                    raise BadArchive("the archive ends within a record")
+                piece = read_at(at + taken, min(STEP, size - at - taken))
+            length = taken
+        else:
+            while b"\r\n\r\n" not in piece and len(piece) < size - at:
+                piece += read_at(at + len(piece), min(STEP, size - at - len(piece)))
+            head, there, _ = piece.partition(b"\r\n\r\n")
+            version, fields = _fields(head)
+            if not there or not version.startswith("WARC/"):
+                raise BadArchive("no WARC record where one should begin")
+            block = int({k.lower(): v for k, v in fields}.get("content-length", "0"))
+            length = min(len(head) + 4 + block + 4, size - at)  # two line ends close a record
+        out.append((at, length))
+        at += length
+    return out
+
+
+def _tiles(places: list[tuple[int, int]], size: int) -> bool:
+    """Whether the places, ascending, cover the whole member without gap or overlap."""
+    at = 0
+    for offset, length in places:
+        if offset != at or length <= 0:
+            return False
+        at += length
+    return at == size
+
+
+def _indexed(lines: list[str], archives: list[str]) -> dict[str, list[tuple[int, int]]]:
+    """Places of records by archive member, from lines with a JSON object (offset, length and,
+    where there are several archives, filename) behind whatever keys."""
+    out: dict[str, set[tuple[int, int]]] = {}
+    for line in lines:
+        at = line.find("{")
+        if line.startswith("!") or at < 0:
+            continue
+        entry = json.loads(line[at:])
+        if "offset" not in entry or "length" not in entry:
+            continue
+        name = entry.get("filename")
+        of = archives if name is None else [a for a in archives if a == name or a.rpartition("/")[2] == name]
+        if len(of) == 1:
+            out.setdefault(of[0], set()).add((int(entry["offset"]), int(entry["length"])))
+    return {name: sorted(places) for name, places in out.items()}
+
+
+def located(size: int, read_at) -> list[tuple[str, int, list[tuple[int, int]]]]:
+    """(member, where it begins in the package, places of its records) of every archive of a package."""
+    found = members(size, read_at)
+    archives = [m for m in found if m.name.startswith("archive/") and m.name.endswith((".warc", ".warc.gz"))]
+    lines: list[str] = []
+    for m in found:
+        if m.name.startswith("indexes/") and m.name.endswith((".cdx", ".cdxj")):
+            lines += read_at(data_start(m, read_at), m.size).decode().splitlines()
+    places = _indexed(lines, [m.name for m in archives])
+    out = []
+    for m in archives:
+        start = data_start(m, read_at)
+        inside = lambda offset, length, start=start: read_at(start + offset, length)
+        known = places.get(m.name, [])
+        out.append((m.name, start, known if _tiles(known, m.size) else _walked(m.size, inside)))
+    return out
+
+
+def read(packages: DataFrame, range_bytes: int = 4 << 20, payloads: bool = True) -> DataFrame:
+    """One row per record of the packages in column ``path``; without ``payloads`` only their sizes and digests."""
 
     def ranges(batches):
-        schema = pa.schema([("path", pa.string()), ("start", pa.int64()), ("lengths", pa.list_(pa.int64()))])
+        schema = pa.schema([("path", pa.string()), ("member", pa.string()), ("start", pa.int64()), ("offset", pa.int64()), ("lengths", pa.list_(pa.int64()))])
         for batch in batches:
             for path in batch.column("path").to_pylist():
                 files, at = file_system(path)
                 with files.open_input_file(at) as f:
-                    read_at = lambda offset, length: f.read_at(length, offset)
-                    found = {m.name: m for m in members(f.size(), read_at)}
-                    start = data_start(found[DATA], read_at)
-                    index = read_at(data_start(found[INDEX], read_at), found[INDEX].size)
-                    first, lengths, held = start, [], 0
-                    for line in index.decode().splitlines():
-                        entry = json.loads(line)
-                        if lengths and (held >= range_bytes or start + entry["offset"] != first + held):
-                            yield pa.RecordBatch.from_pylist([{"path": path, "start": first, "lengths": lengths}], schema=schema)
-                            lengths, held = [], 0
-                        if not lengths:
-                            first = start + entry["offset"]
-                        lengths.append(entry["length"])
-                        held += entry["length"]
-                    if lengths:
-                        yield pa.RecordBatch.from_pylist([{"path": path, "start": first, "lengths": lengths}], schema=schema)
+                    for name, start, places in located(f.size(), lambda offset, length: f.read_at(length, offset)):  # noqa: B023
+                        first, lengths, held = 0, [], 0
+                        for offset, length in places:
+                            if lengths and held >= range_bytes:
+                                yield pa.RecordBatch.from_pylist([{"path": path, "member": name, "start": start, "offset": first, "lengths": lengths}], schema=schema)
+                                first, lengths, held = offset, [], 0
+                            lengths.append(length)
+                            held += length
+                        if lengths:
+                            yield pa.RecordBatch.from_pylist([{"path": path, "member": name, "start": start, "offset": first, "lengths": lengths}], schema=schema)
 
     def records(batches):
         for batch in batches:
             for row in batch.to_pylist():
                 files, at = file_system(row["path"])
                 with files.open_input_file(at) as f:
-                    data, i, out = f.read_at(sum(row["lengths"]), row["start"]), 0, []
+                    data, i, out = f.read_at(sum(row["lengths"]), row["start"] + row["offset"]), 0, []
                     for n in row["lengths"]:
-                        out.append(parsed(data[i:i + n]))
+                        found = parsed(data[i:i + n])
+                        if not payloads:
+                            found["payload"] = None
+                        out.append(found | {"path": row["path"], "member": row["member"], "offset": row["offset"] + i})
                         i += n
                     yield pa.RecordBatch.from_pylist(out, schema=RECORD_SCHEMA)
 
     spark = packages.sparkSession
     n = shuffle_partitions(spark)
-    located = (packages.select("path").repartition(n).mapInArrow(ranges, "path string, start long, lengths array<long>"))
-    return located.repartition(n, "path", "start").mapInArrow(records, RECORD)
+    located_ranges = packages.select("path").repartition(n).mapInArrow(ranges, "path string, member string, start long, offset long, lengths array<long>")
+    return located_ranges.repartition(n, "path", "member", "offset").mapInArrow(records, RECORD)
+
+
+def resolved(records: DataFrame) -> DataFrame:
+    """``records`` in which a revisit has the payload, its size and its digest of the record it refers to
+    (null where that is not among them)."""
+    full = ["payload_bytes", "payload_digest", "payload"]
+    whole = (records.where((F.col("record_type") != "revisit") & F.col("record_id").isNotNull())
+             .select(F.col("record_id").alias("__id"), *[F.col(c).alias(f"__{c}") for c in full]).dropDuplicates(["__id"]))
+    again = F.col("record_type") == "revisit"
+    joined = records.where(again).join(whole, F.expr("refers_to = __id"), "left")
+    return (records.where(~F.coalesce(again, F.lit(False)))
+            .unionByName(joined.select(*[c for c in records.columns if c not in full], *[F.col(f"__{c}").alias(c) for c in full])))
+
+
+def url_of(target_uri):
+    """The url that ``record`` escaped."""
+    return F.url_decode(F.replace(target_uri, F.lit("+"), F.lit("%2B")))
 
 
 def round_trip(spark: SparkSession, pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     """Write ``pages`` into a new folder of the shared one and read every record back."""
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ledgerflow-llm/{uuid.uuid4().hex}/packages"
-    return read(write(pages, folder, min_bytes)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
+    number = lambda c: F.expr(f"try_cast(regexp_extract({c}, '^<urn:page:(.*)>$', 1) as long)")
+    rows = resolved(read(write(pages, folder, min_bytes), payloads=False))
+    return rows.select(number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                       number("refers_to").alias("refers_to"), url_of(F.col("target_uri")).alias("url"))
