@@ -24,7 +24,8 @@ Two sets link when 100 * |A and B| >= 75 * |A or B|, i.e. 7 |A and B| >= 3 (|A|
 5. Components. First each list links its sets of similar size to one of them (that
    with the fewest shingles of its own);
    the components of these links are labelled, and only sets of one list that
-   are in different components meet in the second step. A group of near copies
+   are in different components meet in the second step, each with those of the sizes that
+   its own shingles leave in reach (length and position filter before pairing). A group of near copies
    thus costs one verification per member, not one per pair, and no link between
    different components is lost. ``linked_pairs`` gives all links instead.
 
@@ -261,6 +262,21 @@ def _may_link(a: str, b: str):
                   f"and 7L * least({a}.left, {b}.left) >= 3L * ({a}.n + {b}.n)")
 
 
+def _in_reach(rows: DataFrame, also: str) -> DataFrame:
+    """Pairs of a list's entries (x, and y no larger) that may link, met by size.
+
+    An entry whose sets can share at most ``left`` shingles from here on links with none above
+    7 left / 3 - n, nor below 3 n / 4: it looks for the bands of sizes (5 % wide, single sizes below
+    twenty) in between, down from its own, and meets only these. Entries of one size
+    with too many shingles of their own thus never meet, however many share the list.
+    """
+    band = lambda n: F.floor(F.log(n) / math.log(1.05)).cast("int")
+    least, most = F.ceil(F.col("n") * 3 / 4), F.least(F.col("n"), F.floor(F.col("left") * 7 / 3 - F.col("n")))
+    looking = rows.where(most >= least).withColumn("band", F.explode(F.sequence(band(least), band(most))))
+    found = rows.where(7 * F.col("left") >= 6 * F.col("n")).withColumn("band", band(F.col("n")))
+    return looking.alias("x").join(found.alias("y"), F.expr(f"x.key = y.key and x.band = y.band and y.n <= x.n and {also}") & _may_link("x", "y"))
+
+
 def verified(pairs: DataFrame, indexed: DataFrame) -> DataFrame:
     """a, b, overlap, n_a, n_b of the pairs (a, b) that link."""
     side = lambda s: indexed.select(F.col("class").alias(s), F.col("n").alias(f"n_{s}"), F.col("keys").alias(f"keys_{s}"))
@@ -302,8 +318,7 @@ def class_components(listed: DataFrame, indexed: DataFrame) -> DataFrame:
              .withColumn("label", F.coalesce("label", "class")))
     split = named.groupBy("key").agg(F.min("label").alias("l0"), F.max("label").alias("l1")).where("l0 <> l1").select("key")
     left = stored(named.join(split, "key"), "split")
-    x, y = left.alias("x"), left.alias("y")
-    across = (x.join(y, F.expr("x.key = y.key and x.label < y.label") & _may_link("x", "y"))
+    across = (_in_reach(left, "x.label <> y.label")
               .select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")).distinct())
     more = stored(verified(across, indexed).select("a", "b"), "links")
     if more.isEmpty():

@@ -3,6 +3,7 @@ import random
 import re
 
 from conftest import SF_SMALL
+from pyspark.sql import functions as F
 
 from ledgerflow.llm import jaccard_join as jj
 from ledgerflow.llm.components import components
@@ -112,3 +113,23 @@ def test_long_texts_are_hashed_whole(monkeypatch):
     whole = next(shingle_sets([text]))
     monkeypatch.setattr(s, "BUFFER", 64)
     assert (next(shingle_sets([text])) == whole).all() and len(whole) == len(shingles(text.decode()))
+
+
+def test_pages_of_one_pattern_do_not_meet(spark):
+    """Texts that share a list but have one shingle too many of their own: no pairs, however many there are."""
+    rows = [(i, f"sorry the page you asked for w code x{i}", 1, "x") for i in range(600)] + [(1000 + i, "sorry the page you asked for w code", 1, "x") for i in range(2)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    indexed = jj.index(df, jj.sets(df))
+    listed = jj.entries(indexed).withColumn("label", F.col("class"))
+    assert jj._in_reach(listed, "x.label <> y.label").count() < 10 * 602  # each may meet the shorter text only
+    assert got(jj.join(df)) == brute(rows)
+
+
+def test_entries_in_reach_are_all_that_may_link(spark):
+    rnd = random.Random(6)
+    data = [(k, i, n, rnd.randint(1, n), 0, True, i % 7) for k in range(3) for i, n in enumerate(rnd.choices(range(1, 60), k=80))]
+    listed = spark.createDataFrame(data, "key long, class long, n int, left int, alone int, scans boolean, label long")
+    pairs = {tuple(sorted(((r[0], r[1]), (r[0], r[2])))) for r in jj._in_reach(listed, "x.label <> y.label").selectExpr("x.key", "x.class", "y.class").collect()}
+    want = {tuple(sorted(((a[0], a[1]), (b[0], b[1])))) for a, b in itertools.combinations(data, 2)
+            if a[0] == b[0] and a[6] != b[6] and 4 * a[2] >= 3 * b[2] and 4 * b[2] >= 3 * a[2] and 7 * min(a[3], b[3]) >= 3 * (a[2] + b[2])}
+    assert pairs == want and len(want) > 20
