@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -105,3 +106,28 @@ def check_summary(checks: Mapping[str, DataFrame]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise("fail"))
+
+
+def load_freshness(spark: SparkSession, sources: Sequence[tuple[str, str, int, int]], as_of: str) -> DataFrame:
+    """source, loaded_at, age_hours, status of each (source, path, warn hours, error hours).
+
+    A source's load time is the newest change of its files, from their listing: no data is
+    read. Without files the status is ``missing``.
+    """
+    out = None
+    for name, path, warn, error in sources:
+        try:
+            files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+                     .where(~F.col("_metadata.file_name").rlike("^[_.]")).select(F.col("modificationTime").alias("at")))
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            files = spark.createDataFrame([], "at timestamp")
+        row = files.agg(F.max("at").alias("loaded_at")).select(
+            F.lit(name).alias("source"), "loaded_at",
+            F.round((F.unix_seconds(F.lit(as_of).cast("timestamp")) - F.unix_seconds("loaded_at")) / 3600, 2).alias("age_hours"),
+            F.lit(warn).alias("warn_hours"), F.lit(error).alias("error_hours"))
+        out = row if out is None else out.unionByName(row)
+    age = F.col("age_hours")
+    return out.withColumn("status", F.when(age.isNull(), "missing").when(age > F.col("error_hours"), "error")
+                          .when(age > F.col("warn_hours"), "warn").otherwise("pass"))
