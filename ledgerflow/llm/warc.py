@@ -325,6 +325,7 @@ def round_trip(spark: SparkSession, pages: DataFrame, min_bytes: int = 0) -> Dat
     """Write ``pages`` into a new folder of the shared one and read every record back."""
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ledgerflow-llm/{uuid.uuid4().hex}/packages"
     number = lambda c: F.expr(f"try_cast(regexp_extract({c}, '^<urn:page:(.*)>$', 1) as long)")
-    rows = resolved(read(write(pages, folder, min_bytes), payloads=False))
+    found = read(write(pages, folder, min_bytes), payloads=False)
+    rows = resolved(stored(found.select("record_id", "record_type", "target_uri", "refers_to", "payload_bytes", "payload_digest", "payload"), "records"))
     return rows.select(number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
                        number("refers_to").alias("refers_to"), url_of(F.col("target_uri")).alias("url"))
