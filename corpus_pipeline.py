@@ -3,6 +3,12 @@
 Each stage takes (spark, docs, sf_dir) and works on all rows that the stage
 before it kept. All but the last return the columns of ``documents``; the last
 returns the pieces of the packed sequences with their ids.
+
+Defined cases: other columns of the documents are left out. A null or empty text is scored like
+any text, links with nothing, holds no personal data, has size 0 (the mix keeps it, once) and
+packs as one closing id. Null ids are kept: among
+near copies they come after all others. Repeated rows are copies of each other: one stays. Ties go to the smaller
+id. Texts are read whole at every stage. An empty table gives an empty result.
 """
 
 from __future__ import annotations

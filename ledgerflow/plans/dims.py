@@ -136,7 +136,7 @@ def current_account(t: Tables) -> DataFrame:
             .select("account_id", "customer_id", "product_code"))
 
 
-@memo
+@shared("current_policy")
 def current_policy(t: Tables) -> DataFrame:
     return (dim_policy(t).where("is_current_record")
             .select("policy_id", "policy_sk", "customer_id", "product_code"))

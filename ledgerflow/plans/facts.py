@@ -141,7 +141,7 @@ def eom_balance(t: Tables) -> DataFrame:
                  F.max_by("closing_balance", "balance_date").alias("eom_closing_balance")))
 
 
-@memo
+@shared("exposure_context")
 def exposure_context(t: Tables) -> DataFrame:
     """Per account with a current status: customer, risk rating and open credit limit."""
     limits = (t.stg_credit_limits().where(F.col("limit_end_date").isNull())
@@ -184,7 +184,7 @@ def premium_base(t: Tables) -> DataFrame:
                     ptype.alias("premium_type"), "amount", "currency_code")
 
 
-@memo
+@shared("premium_amounts")
 def premium_amounts(t: Tables) -> DataFrame:
     """All premium rows with signed amounts, whatever their policy."""
     return premium_base(t).withColumn("premium_amount", signed_amount("amount", "premium_type", "REFUND"))
@@ -239,7 +239,7 @@ def _claims_with_amounts(t: Tables) -> DataFrame:
             .withColumn("paid_amt", paid_amt).withColumn("res_amt", res_amt))
 
 
-@memo
+@shared("claim_amounts")
 def claim_amounts(t: Tables) -> DataFrame:
     """All claims with paid and incurred amounts, whatever their policy."""
     return _claims_with_amounts(t).select(

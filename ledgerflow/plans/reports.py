@@ -12,6 +12,7 @@ from ..functions.money import MONEY_SUM, exact_avg
 from ..operators.pit import point_in_time_join
 from ..sources.adapters import ORDERS_AS_OF, Tables
 from . import dims, facts
+from .shared import shared
 
 
 def _month(c: str):
@@ -73,6 +74,11 @@ def _fca_final(t: Tables, mf: DataFrame) -> DataFrame:
         "total_premium", "earned_premium", "total_claims", "avg_risk_score")
 
 
+@shared("ifrs_contract_metrics")
+def ifrs_contract_metrics(t: Tables) -> DataFrame:
+    return t.stg_ifrs_contract_metrics()
+
+
 def _ifrs(t: Tables, reserve_summary: DataFrame) -> DataFrame:
     """Summaries of all rows by policy and month; only policies with a current version
     stay, and these join once, at the end."""
@@ -84,7 +90,7 @@ def _ifrs(t: Tables, reserve_summary: DataFrame) -> DataFrame:
     cs = facts.claim_amounts(t).groupBy("policy_id", _month("claim_reported_date").alias("reporting_period")).agg(
         F.sum(F.coalesce("paid_amount", F.lit(0))).cast(MONEY_SUM).alias("total_paid"),
         F.sum(F.coalesce("incurred_amount", F.lit(0))).cast(MONEY_SUM).alias("total_incurred"))
-    icm = t.stg_ifrs_contract_metrics()
+    icm = ifrs_contract_metrics(t)
     pi = dims.current_policy(t).select("policy_id", "product_code")
     keys = ["policy_id", "reporting_period"]
     # the period-keyed summaries are each aggregated on (policy, month), so
@@ -103,7 +109,8 @@ def _ifrs(t: Tables, reserve_summary: DataFrame) -> DataFrame:
         "csm", "risk_adjustment")
 
 
-def _reserves_with_policy(t: Tables) -> DataFrame:
+@shared("reserves_with_policy")
+def reserves_with_policy(t: Tables) -> DataFrame:
     """Reserve snapshots with their claim's policy: exchanged by claim, once."""
     return facts.reserve_snapshots(t).join(t.stg_claims().select("claim_id", "policy_id"), "claim_id")
 
@@ -111,7 +118,7 @@ def _reserves_with_policy(t: Tables) -> DataFrame:
 def rpt_ifrs_balances(t: Tables) -> DataFrame:
     """IFRS balances; reserves are the latest snapshot per claim, type and
     month, summed per policy and month."""
-    latest = (_reserves_with_policy(t)
+    latest = (reserves_with_policy(t)
               .groupBy("claim_id", "policy_id", "reserve_type", _month("snapshot_date").alias("reporting_period"))
               .agg(F.max_by("reserve_amount", "snapshot_date").alias("latest_reserve")))
     rs = (latest.groupBy("policy_id", "reporting_period")
@@ -121,7 +128,7 @@ def rpt_ifrs_balances(t: Tables) -> DataFrame:
 
 def rpt_ifrs_balances_literal(t: Tables) -> DataFrame:
     """As written: every daily reserve snapshot of the month is summed."""
-    rs = (_reserves_with_policy(t).groupBy("policy_id", _month("snapshot_date").alias("reporting_period"))
+    rs = (reserves_with_policy(t).groupBy("policy_id", _month("snapshot_date").alias("reporting_period"))
           .agg(F.sum("reserve_amount").cast(MONEY_SUM).alias("total_reserves")))
     return _ifrs(t, rs)
 
