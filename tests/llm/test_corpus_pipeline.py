@@ -67,7 +67,7 @@ def test_packing_holds_every_mixed_document(stages):
 def test_columns_and_registration(stages):
     assert all(c == cp.COLUMNS for c, _ in stages[:-1])
     q = entry.queries()
-    assert "pipeline" in q and all(any(k.startswith(f"op{n}_") for k in q) for n in range(1, 11))
+    assert "pipeline" in q and all(any(k.startswith(f"op{n}_") for k in q) for n in range(1, 14))
     assert "pipeline" not in entry.oracle_sql()
 
 
@@ -76,3 +76,26 @@ def test_empty_documents(spark):
     for _, stage in cp.STAGES:
         docs = stage(spark, docs, SF_SMALL)
         assert docs.count() == 0
+
+
+def test_odd_rows_go_through_every_stage(spark):
+    """Null, empty, repeated and very long texts, null ids, ties and a clashing column."""
+    long = " ".join(f"word{i}" for i in range(60_000))
+    texts = [(1, None), (2, ""), (3, long), (4, long + " and a tail"), (5, "a short note of seven words, mail x@y.org"), (5, "a short note of seven words, mail x@y.org"),
+             (None, "no id stands before this text"), (None, None), (7, " \n"), (8, long.replace("word", "wort") + " card: 4111 1111 1111 1111")]
+    docs = spark.createDataFrame([(i, t, "en", "s" if (i or 0) % 2 else None, None if t is None else len(t), "x") for i, t in texts],
+                                 "doc_id long, text string, lang string, source string, n_chars long, label string")
+    known = {repr(t) for _, t in texts}
+    assert {repr(r.text) for r in cp.good_documents(spark, docs, SF_SMALL).collect()} <= known  # whatever the classifier says of them
+    unique = cp.one_of_near_copies(spark, docs, SF_SMALL)
+    assert sorted(((r.doc_id, r.text and r.text[:6]) for r in unique.collect()), key=repr) == sorted(
+        [(1, None), (2, ""), (3, "word0 "), (5, "a shor"), (None, "no id "), (None, None), (7, " \n"), (8, "wort0 ")], key=repr)
+    masked = cp.without_personal_data(spark, unique, SF_SMALL)
+    rows = {(r.doc_id, r.text): r.n_chars for r in masked.collect()}
+    assert len(rows) == 8 and all(n == (None if t is None else len(t)) for (_, t), n in rows.items())
+    whole = {i: t for i, t in rows if i is not None}
+    assert "x@y.org" not in whole[5] and whole[8].startswith("wort0 wort1 ") and "4111 1111" not in whole[8] and whole[3] == long
+    mixed = cp.mixed(spark, masked, SF_SMALL).cache()
+    assert mixed.columns == cp.COLUMNS and {(r.doc_id, r.text) for r in mixed.collect()} <= set(rows)
+    assert {(1, None), (2, ""), (7, " \n"), (None, None)} <= {(r.doc_id, r.text) for r in mixed.collect()}
+    check_pieces(cp.packed(spark, mixed, SF_SMALL).collect(), [(r.doc_id, r.text) for r in mixed.collect()])
