@@ -57,6 +57,26 @@ def packed(vectors: DataFrame, convert: Callable[[np.ndarray], np.ndarray]) -> D
 SCHEMA = pa.schema([("dim", pa.int32()), ("n", pa.int32()), ("norm", pa.float64()), ("ids", pa.binary()), ("vecs", pa.binary())])
 
 
+def narrowest(v: np.ndarray) -> np.ndarray:
+    """Whole numbers in the fewest of 16, 32 or 64 bits that hold them all."""
+    most = np.abs(v).max(initial=0)
+    return v.astype(np.int16 if most < 1 << 15 else np.int32 if most < 1 << 31 else np.int64)
+
+
+def widened(vecs: bytes, count: int, dim: int) -> np.ndarray:
+    """Whole numbers of any width, ``count`` vectors, in 64 bits."""
+    return np.frombuffer(vecs, f"i{len(vecs) // max(count * dim, 1) or 8}").reshape(-1, dim).astype(np.int64)
+
+
+def joined_whole_blocks(table: pa.Table, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """All vectors of the rows of ``table``, each stored in its own width: ids ascending, matrix of 64 bits."""
+    ids = [np.frombuffer(b, np.int64) for b in table["ids"].to_pylist()]
+    vecs = [widened(b, len(i), dim) for b, i in zip(table["vecs"].to_pylist(), ids, strict=True)]
+    ids, vecs = np.concatenate(ids or [np.empty(0, np.int64)]), np.concatenate(vecs or [np.empty((0, dim), np.int64)])
+    order = np.argsort(ids, kind="stable")
+    return ids[order], vecs[order]
+
+
 def joined_blocks(table: pa.Table, dim: int, kind) -> tuple[np.ndarray, np.ndarray]:
     """All vectors of the rows of ``table``: ids ascending, matrix of ``kind``."""
     ids = np.concatenate([np.frombuffer(b, np.int64) for b in table["ids"].to_pylist()] or [np.empty(0, np.int64)])

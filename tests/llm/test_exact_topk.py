@@ -35,3 +35,23 @@ def test_rows_that_take_no_part(spark):
             (20, [nan, 1.0], 1, None), (40, [None, 1.0], 1, None), (60, [inf, 1.0], 1, None), (80, [], 1, None), (None, [1.0, 1.0], 1, None)]
     assert got(spark, rows) == {(0, 1, 1, 2048)}
     assert got(spark, []) == set()
+
+
+def test_numbers_of_every_width_keep_their_values():
+    import numpy as np
+    from ledgerflow.llm.vectors import narrowest, widened
+
+    for most, width in ((0, 2), (32_767, 2), (32_768, 4), (2**31 - 1, 4), (2**31, 8), (2**61, 8)):
+        v = np.array([[most, -most, 1], [0, 5, -1]], float)
+        data = narrowest(v).tobytes()
+        assert len(data) == width * v.size and (widened(data, 2, 3) == v.astype(np.int64)).all()
+    assert widened(b"", 0, 3).shape == (0, 3)
+
+
+def test_vectors_of_different_widths_meet(spark):
+    rows = [(20 * i, [float(i), -1.0, 2.0 ** (i % 20)]) for i in range(40)]
+    out = exact_topk.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5), k=3).collect()
+    whole = {i: [int(64 * c) for c in v] for i, v in rows}
+    for q in whole:
+        best = sorted((-sum(a * b for a, b in zip(whole[q], whole[i], strict=True)), i) for i in whole if i != q)[:3]
+        assert [(-r.score, r.vec_id) for r in sorted((r for r in out if r.query_id == q), key=lambda r: r["rank"])] == best
