@@ -45,6 +45,13 @@ def relationships(df: DataFrame, column: str, to: DataFrame, field: str) -> Data
     return child.join(parents, child[column] == parents["_parent_key"], "left_anti")
 
 
+def orphan_count(df: DataFrame, column: str, to: DataFrame, field: str) -> DataFrame:
+    """Number of the rows that ``relationships`` returns, as ``failures``. Rows are counted by
+    key before the anti join, so a key that most rows share is a few rows of it, not one task's work."""
+    by_key = df.groupBy(column).agg(F.count(F.lit(1)).alias("_rows"))
+    return relationships(by_key, column, to, field).agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("failures"))
+
+
 def relationships_where(df: DataFrame, column: str, to: DataFrame, field: str,
                         from_condition: str = "1=1", to_condition: str = "1=1") -> DataFrame:
     return relationships(df.where(from_condition), column, to.where(to_condition), field)

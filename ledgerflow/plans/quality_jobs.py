@@ -172,27 +172,29 @@ def dq_unique_combo(t: Tables) -> DataFrame:
     return _dup_summary(UNIQUE_COMBO, t)
 
 
+def _labelled(failures: DataFrame, **labels: str) -> DataFrame:
+    return failures.select(*[F.lit(v).alias(k) for k, v in labels.items()], "failures")
+
+
 def _count(df: DataFrame, **labels: str) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("failures")).select(
-        *[F.lit(v).alias(k) for k, v in labels.items()], "failures")
+    return _labelled(df.agg(F.count(F.lit(1)).alias("failures")), **labels)
 
 
 @job("dq_relationships")
 def dq_relationships(t: Tables) -> DataFrame:
     parts = [
-        _count(q.relationships(MODELS[m](t).select(c), c, MODELS[to](t), f),
-               model_name=m, column_name=c, to_model=to, field=f)
+        _labelled(q.orphan_count(MODELS[m](t).select(c), c, MODELS[to](t), f),
+                  model_name=m, column_name=c, to_model=to, field=f)
         for m, c, to, f in RELATIONSHIPS]
     return _union(parts)
 
 
 @job("dq_relationships_where")
 def dq_relationships_where(t: Tables) -> DataFrame:
-    fails = q.relationships_where(facts.fct_claim_reserve_snapshots(t).select("reserve_type"),
-                                  "reserve_type", dims.dim_reserve_type(t), "reserve_type",
-                                  "1=1", "is_active = 1")
-    return _count(fails, model_name="fct_claim_reserve_snapshots", column_name="reserve_type",
-                  to_model="dim_reserve_type", field="reserve_type")
+    fails = q.orphan_count(facts.fct_claim_reserve_snapshots(t).select("reserve_type").where("1=1"), "reserve_type",
+                           dims.dim_reserve_type(t).where("is_active = 1"), "reserve_type")
+    return _labelled(fails, model_name="fct_claim_reserve_snapshots", column_name="reserve_type",
+                     to_model="dim_reserve_type", field="reserve_type")
 
 
 @job("dq_accepted_values")

@@ -210,3 +210,20 @@ def test_business_date_in_local_time_zone(spark):
     out = df.select(cal.business_date("ts", "Europe/London", 4).alias("b")).collect()
     # 00:30 BST on 2 July is before the 04:00 cutoff -> 1 July; 05:30 BST -> 2 July
     assert [r.b for r in out] == [dt.date(2024, 7, 1), dt.date(2024, 7, 2)]
+
+
+def test_orphans_are_counted_by_key_before_the_join(spark):
+    """36 rows of two keys and a null: the anti join meets a row for each key and task, not the rows."""
+    from pyspark.sql import Observation
+    rows = [("CASE",)] * 20 + [("GONE",)] * 15 + [(None,)]
+    child = spark.createDataFrame(rows, "k string").repartition(2)
+    parent = spark.createDataFrame([("CASE",), ("CASE",)], "p string")
+    assert q.orphan_count(child, "k", parent, "p").collect() == [(15,)]
+    assert q.relationships(child, "k", parent, "p").count() == 15
+    assert q.orphan_count(child.where("k = 'CASE'"), "k", parent, "p").collect() == [(0,)]
+    met = Observation()
+    by_key = q.relationships(child.groupBy("k").count().observe(met, F.count(F.lit(1)).alias("n")), "k", parent, "p")
+    by_key.collect()
+    assert met.get["n"] == 3
+    plan = q.orphan_count(child, "k", parent, "p")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join LeftAnti") < plan.rindex("Aggregate [k")
