@@ -7,9 +7,8 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings every job relies on. Shuffle sizing is left to the cluster's own
-# configuration; AQE coalesces small partitions and splits skewed join
-# partitions at runtime.
+# Settings every job relies on; AQE coalesces small partitions and splits skewed join
+# partitions at runtime. How many partitions it starts from is set by ``size_shuffles``.
 JOB_CONFIGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -60,5 +59,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+# A row of the ledger tables takes some twenty times its shuffled bytes in sorts and hash
+# tables: a task is given at most so many of them, whatever the size of the input.
+TASK_SHUFFLE_BYTES = 16 << 20
+# Parquet bytes of the input for each partition that a shuffle starts with.
+INPUT_BYTES_A_PARTITION = 4 << 20
+INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int) -> None:
+    """Shuffles start with a number of partitions that grows with the input, and AQE merges
+    them up to ``TASK_SHUFFLE_BYTES``, so that what one task holds does not grow. The
+    cluster's own numbers stay where they are more, or smaller, than these."""
+    own = spark.sparkContext.getConf()
+    least = int(own.get(INITIAL, None) or spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    spark.conf.set(INITIAL, str(max(least, -(-input_bytes // INPUT_BYTES_A_PARTITION))))
+    if own.get(ADVISORY, None) is None:
+        spark.conf.set(ADVISORY, str(TASK_SHUFFLE_BYTES))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    """Partitions of what is dealt by number and no longer changed at runtime."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), int(spark.conf.get(INITIAL, None) or 0))

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.money import MONEY
+from ..session import size_shuffles
 
 # Fixed values taken from the staging contracts.
 PERSON_SEGMENTS = ("HOUSEHOLD", "FURNITURE")
@@ -71,6 +72,7 @@ class Tables:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self._raw: dict[str, DataFrame] = {}
+        self._bytes: dict[str, int] = {}
         self.materialized: dict[str, DataFrame] = {}
         self._preds: dict[str, Column] = {}
 
@@ -79,7 +81,7 @@ class Tables:
         ``t.restrict(stg_transactions=F.col("transaction_timestamp") < cutoff)``.
         Used to replay incremental runs against the same inputs."""
         new = Tables(self.spark, self.sf_dir)
-        new._raw = self._raw
+        new._raw, new._bytes = self._raw, self._bytes
         # models stored by the full run hold the rows this view leaves out: start without them
         preds = dict(self._preds)
         for name, pred in predicates.items():
@@ -94,7 +96,11 @@ class Tables:
     # ---- raw tables -------------------------------------------------------
     def raw(self, name: str) -> DataFrame:
         if name not in self._raw:
-            self._raw[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            table = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            self._raw[name] = table
+            # from the file listing that the reader has made: no file is read
+            self._bytes[name] = int(str(table._jdf.queryExecution().analyzed().stats().sizeInBytes()))
+            size_shuffles(self.spark, sum(self._bytes.values()))
         return self._raw[name]
 
     def __getattr__(self, name: str) -> DataFrame:

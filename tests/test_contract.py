@@ -128,3 +128,29 @@ def test_exposure_context_joins_accounts_not_days(spark):
     plan = E.queries()["fct_credit_exposure"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     above = plan[:plan.index("explode(sequence(")]
     assert "Join" not in above and "Window" in above
+
+
+def test_shuffles_start_with_more_partitions_on_a_larger_input(spark, monkeypatch):
+    """What a task of the spending report holds does not grow with the input; rows stay."""
+    from ledgerflow import session
+    from ledgerflow.plans import reports
+    from ledgerflow.sources.adapters import Tables
+    default = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    plain = reports.customer_spending_analysis(Tables(spark, SF_SMALL))
+    want = plain.collect()
+    assert int(spark.conf.get(session.INITIAL)) == default
+    monkeypatch.setattr(session, "INPUT_BYTES_A_PARTITION", 5000)
+    t = Tables(spark, SF_SMALL)
+    got = reports.customer_spending_analysis(t)
+    n = -(-sum(t._bytes.values()) // 5000)
+    assert n > default and sum(t._bytes.values()) == sum(os.path.getsize(f"{SF_SMALL}/{x}.parquet") for x in t._raw)
+    assert sorted(got.collect(), key=repr) == sorted(want, key=repr)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = reports.customer_spending_analysis(t)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert f", {n})" in plan or f", {n}, ENSURE_REQUIREMENTS" in plan or f"{n}), ENSURE" in plan
+    monkeypatch.undo()
+    Tables(spark, SF_SMALL).raw("lineitem")
+    assert int(spark.conf.get(session.INITIAL)) == default
