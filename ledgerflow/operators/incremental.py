@@ -7,6 +7,7 @@ DataFrame-level forms (lazy; used by jobs and tests):
 * ``incremental_filter``    - inclusive mark; pair with ``append_new`` to stay idempotent
 * ``append_new``            - append rows whose key is not in the target (IN1)
 * ``merge``                 - upsert by key: target minus updated keys, plus updates (IN2/IN3)
+* ``merge_once``            - the same for one row a key, reading the updates once
 * ``insert_overwrite``      - replace whole partitions present in the new rows (IN4)
 * ``schema_sync``           - align old rows to the new column set (IN11)
 * ``lookback_filter``       - rows on or after as_of minus N days / months (IN8)
@@ -104,6 +105,22 @@ def merge(target: DataFrame | None, updates: DataFrame, keys: Sequence[str],
     return kept.unionByName(updates)
 
 
+def merge_once(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``merge`` of one row for each key on both sides, the updates computed once: an outer
+    join takes the updated row where there is one. Null keys match nothing, as in ``merge``."""
+    rest = [c for c in target.columns if c not in keys]
+    old = target.select(*[F.col(c).alias(f"_o_{c}") for c in keys], F.struct(*rest).alias("_old"))
+    new = updates.select(*keys, F.struct(*rest).alias("_new"))
+    cond = None
+    for c in keys:
+        e = F.col(f"_o_{c}") == F.col(c)
+        cond = e if cond is None else cond & e
+    j = old.join(new, cond, "full_outer")
+    row = F.when(F.col("_new").isNotNull(), F.col("_new")).otherwise(F.col("_old"))
+    return j.select(*[F.when(F.col("_new").isNotNull(), F.col(c)).otherwise(F.col(f"_o_{c}")).alias(c) for c in keys],
+                    row.alias("_row")).select(*keys, "_row.*").select(*target.columns)
+
+
 def insert_overwrite(target: DataFrame | None, new: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
     """Partitions present in ``new`` are replaced whole; others are kept."""
     if target is None:

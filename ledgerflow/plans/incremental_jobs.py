@@ -8,6 +8,7 @@ full build of the same model - that is what the oracle checks.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from ..operators import incremental as inc
 from ..functions.keys import surrogate_key
 from ..operators.balances import incremental_daily_balances
+from ..session import ensure_checkpoint_dir
 from ..sources.adapters import ORDERS_AS_OF, Tables
 from . import facts, reports
 from .registry import job
@@ -36,9 +38,11 @@ def _ts(s: str):
 
 def stored(run: DataFrame) -> DataFrame:
     """The first run's output as the stored target table the second run reads:
-    written once under spark.checkpoint.dir (reliable checkpoint), which also
-    cuts the lineage between the runs."""
-    return run.checkpoint(eager=True)
+    written once as Parquet under spark.checkpoint.dir, which also cuts the lineage
+    between the runs. The second run reads the columns and days it asks for, not all."""
+    path = f"{ensure_checkpoint_dir(run.sparkSession).rstrip('/')}/ledgerflow-runs/{uuid.uuid4().hex}"
+    run.write.parquet(path)
+    return run.sparkSession.read.schema(run.schema).parquet(path)
 
 
 @job("incr_append")
@@ -79,15 +83,22 @@ def _balance_window(t: Tables, run1: DataFrame, window_start: dt.date) -> DataFr
                       "opening_balance", "closing_balance")
 
 
+def _stored_balances(t: Tables) -> DataFrame:
+    """The first run's balances, without their key: the hash is larger than the rest of a
+    row, and what keeps such rows takes it from their account and day."""
+    return stored(facts.fct_account_daily_balance(t, as_of=BALANCE_RUN1_AS_OF).drop("account_balance_sk"))
+
+
 @job("incr_merge")
 def incr_merge(t: Tables) -> DataFrame:
     """fct_account_daily_balance: run 1 to 2001-07-25, run 2 recomputes the last
     14 days to 2001-08-01 seeded with stored closings. The window recomputes every
     account's day, so whole days are replaced: no anti-join of the stored history."""
-    run1 = stored(facts.fct_account_daily_balance(t, as_of=BALANCE_RUN1_AS_OF))
+    run1 = _stored_balances(t)
     window_start = ORDERS_AS_OF - dt.timedelta(days=BALANCE_LOOKBACK_DAYS)
     older = run1.where(F.col("balance_date") < F.lit(str(window_start)).cast("date"))
-    return older.unionByName(_balance_window(t, run1, window_start))
+    window = _balance_window(t, run1, window_start)
+    return older.withColumn("account_balance_sk", surrogate_key("account_id", "balance_date")).select(*window.columns).unionByName(window)
 
 
 @job("incr_merge_composite")
@@ -139,20 +150,22 @@ SPENDING_CUTOFF = "1998-01-01 00:00:00"
 def incr_spending(t: Tables) -> DataFrame:
     """customer_spending_analysis merged on its five grouping columns: rows
     updated after the mark touch some groups, and those groups are recomputed
-    from all their rows (a partial group never replaces a whole one)."""
+    from all their rows (a partial group never replaces a whole one). One pass over the
+    rows tells which groups are touched and recomputes them: a group with a null key is
+    never one of them."""
     src = t.retail_daily_transactions()
+    changed = F.col("last_updated_at") >= _ts(SPENDING_CUTOFF)
     run1 = stored(reports.spending(src.where(F.col("last_updated_at") < _ts(SPENDING_CUTOFF))))
-    changed = src.where(F.col("last_updated_at") >= _ts(SPENDING_CUTOFF))
-    touched = changed.select(*reports.SPENDING_KEYS).distinct()
-    run2 = reports.spending(src.join(touched, reports.SPENDING_KEYS, "left_semi"))
-    return inc.merge(run1, run2, reports.SPENDING_KEYS)
+    whole = src.dropna(subset=reports.SPENDING_KEYS)
+    run2 = reports.spending(whole, F.max(changed).alias("_touched")).where("_touched").drop("_touched")
+    return inc.merge_once(run1, run2, reports.SPENDING_KEYS)
 
 
 @job("incr_balance_scd2")
 def incr_balance_scd2(t: Tables) -> DataFrame:
     """Balance periods after the 14-day balance increment: closed periods stay, the
     period that reaches the window and the window's days are compressed anew."""
-    run1_balances = stored(facts.fct_account_daily_balance(t, as_of=BALANCE_RUN1_AS_OF))
+    run1_balances = _stored_balances(t)
     run1 = stored(facts.dim_account_balance_scd2(t, run1_balances))
     window_start = ORDERS_AS_OF - dt.timedelta(days=BALANCE_LOOKBACK_DAYS)
     window = _balance_window(t, run1_balances, window_start)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import surrogate_key
@@ -148,13 +148,14 @@ def rpt_pra_exposures(t: Tables) -> DataFrame:
 SPENDING_KEYS = ["customer_id", "transaction_date", "store_area", "payment_bank", "payment_card_type"]
 
 
-def spending(src: DataFrame) -> DataFrame:
+def spending(src: DataFrame, *more: Column) -> DataFrame:
+    """The report's rows of ``src``, with ``more`` aggregates of each group."""
     return src.groupBy(*SPENDING_KEYS).agg(
         F.countDistinct("transaction_id").alias("transactions_count"),
         F.sum("transaction_amount").cast(MONEY_SUM).alias("total_spent"),
         exact_avg("transaction_amount").alias("avg_transaction_value"),
         F.sum("loyalty_points_earned").alias("total_loyalty_points"),
-        F.max("transaction_timestamp").alias("last_transaction_time"))
+        F.max("transaction_timestamp").alias("last_transaction_time"), *more)
 
 
 def customer_spending_analysis(t: Tables) -> DataFrame:

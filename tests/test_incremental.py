@@ -121,3 +121,34 @@ def test_insert_overwrite_null_partition(spark):
     tgt = spark.createDataFrame([(1, None), (2, D)], "k int, d date")
     new = spark.createDataFrame([(3, None)], "k int, d date")
     assert sorted(r.k for r in inc.insert_overwrite(tgt, new, ["d"]).collect()) == [2, 3]
+
+
+def test_merge_once_takes_updates_and_keeps_the_rest(spark):
+    schema = "k string, d int, v int"
+    old = spark.createDataFrame([("a", 1, 1), ("b", 1, 2), (None, 1, 3), ("c", None, 4)], schema)
+    new = spark.createDataFrame([("b", 1, 20), ("d", 2, None), (None, 1, 30)], schema)
+    got = inc.merge_once(old, new, ["k", "d"])
+    assert got.columns == ["k", "d", "v"]
+    assert sorted(got.collect(), key=repr) == sorted(inc.merge(old, new, ["k", "d"]).collect(), key=repr)
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
+
+
+def test_spending_increment_reads_the_lines_once_a_run(spark):
+    """A touched group is recomputed from all its rows, without a second pass for its keys."""
+    from ledgerflow.plans import incremental_jobs as jobs
+    from ledgerflow.sources.adapters import Tables
+    t = Tables(spark, "/root/testdata/sf0.001")
+    plan = jobs.incr_spending(t)._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("l_extendedprice" in line and line.strip(" :+-").startswith("Relation") for line in plan.splitlines()) == 1
+    assert "LeftSemi" not in plan and "LeftAnti" not in plan
+
+
+def test_stored_run_is_read_by_column_and_day(spark):
+    from ledgerflow.plans import incremental_jobs as jobs
+    run = spark.range(10).selectExpr("id", "date_add(date'2024-01-01', int(id)) as d", "cast(id as decimal(38,2)) as m", "cast(null as string) as s")
+    kept = jobs.stored(run)
+    assert kept.schema.simpleString() == run.schema.simpleString()
+    assert sorted(kept.collect()) == sorted(run.collect())
+    assert jobs.stored(run.where("id < 0")).count() == 0
+    plan = kept.where("d = date'2024-01-03'").select("id")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(d), EqualTo(d," in plan and "ReadSchema: struct<id:bigint,d:date>" in plan
