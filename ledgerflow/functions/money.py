@@ -23,6 +23,30 @@ def money_sum(c) -> Column:
     return F.sum(F.col(c) if isinstance(c, str) else c).cast(MONEY_SUM)
 
 
+def money_parts(c) -> tuple[Column, Column]:
+    """(whole millions, the rest) of a MONEY column, both of its sign.
+
+    Numbers of more than 18 digits are kept as BigDecimal, built and written again in each
+    sum, join and exchange. The sums of these two, a bigint and a decimal(8,2), are kept as
+    longs, and ``parts_total`` of them is the same total for any amounts.
+    """
+    a = (F.col(c) if isinstance(c, str) else c).cast(MONEY)
+    millions = F.call_function("div", a.cast("bigint"), F.lit(1000000))
+    return millions, (a - (millions * 1000000).cast(MONEY)).cast("decimal(8,2)")
+
+
+def sum_parts(c, name: str) -> list[Column]:
+    """The summed ``money_parts`` of ``c`` as columns ``name``_0 and ``name``_1."""
+    return [F.sum(p).alias(f"{name}_{k}") for k, p in enumerate(money_parts(c))]
+
+
+def parts_total(name: str) -> Column:
+    """The MONEY_SUM of ``sum_parts``; null where nothing was summed."""
+    m, r = F.col(f"{name}_0"), F.col(f"{name}_1")
+    return F.when(m == 0, r.cast(MONEY_SUM)).otherwise(
+        (m.cast("decimal(20,0)") * F.lit(1000000).cast("decimal(7,0)") + r).cast(MONEY_SUM))
+
+
 def signed_amount(amount, kind, negative_value: str) -> Column:
     """-abs(amount) when ``kind == negative_value`` else abs(amount) (P10)."""
     a = F.col(amount) if isinstance(amount, str) else amount

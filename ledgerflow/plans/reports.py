@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import surrogate_key
-from ..functions.money import MONEY_SUM, exact_avg
+from ..functions.money import MONEY_SUM, exact_avg, parts_total, sum_parts
 from ..operators.pit import point_in_time_join
 from ..sources.adapters import ORDERS_AS_OF, Tables
 from . import dims, facts
@@ -81,12 +81,10 @@ def ifrs_contract_metrics(t: Tables) -> DataFrame:
 
 def _ifrs(t: Tables, reserve_summary: DataFrame) -> DataFrame:
     """Summaries of all rows by policy and month; only policies with a current version
-    stay, and these join once, at the end."""
+    stay, and these join once, at the end. Sums of MONEY stay in their two parts until then."""
     ps = facts.premium_amounts(t).groupBy("policy_id", _month("premium_date").alias("reporting_period")).agg(
-        F.sum(F.when(F.col("premium_type") == "WRITTEN", F.col("premium_amount")).otherwise(F.lit(0)))
-        .cast(MONEY_SUM).alias("written_premium"),
-        F.sum(F.when(F.col("premium_type") == "EARNED", F.col("premium_amount")).otherwise(F.lit(0)))
-        .cast(MONEY_SUM).alias("earned_premium"))
+        *sum_parts(F.when(F.col("premium_type") == "WRITTEN", F.col("premium_amount")), "written"),
+        *sum_parts(F.when(F.col("premium_type") == "EARNED", F.col("premium_amount")), "earned"))
     cs = facts.claim_amounts(t).groupBy("policy_id", _month("claim_reported_date").alias("reporting_period")).agg(
         F.sum(F.coalesce("paid_amount", F.lit(0))).cast(MONEY_SUM).alias("total_paid"),
         F.sum(F.coalesce("incurred_amount", F.lit(0))).cast(MONEY_SUM).alias("total_incurred"))
@@ -101,18 +99,20 @@ def _ifrs(t: Tables, reserve_summary: DataFrame) -> DataFrame:
     return j.select(
         surrogate_key("policy_id", "reporting_period").alias("ifrs_balance_sk"),
         "policy_id", "product_code", "reporting_period",
-        F.coalesce("written_premium", zero).alias("written_premium"),
-        F.coalesce("earned_premium", zero).alias("earned_premium"),
+        F.coalesce(parts_total("written"), zero).alias("written_premium"),
+        F.coalesce(parts_total("earned"), zero).alias("earned_premium"),
         F.coalesce("total_paid", zero).alias("claims_paid"),
         F.coalesce("total_incurred", zero).alias("claims_incurred"),
-        F.coalesce("total_reserves", zero).alias("claim_reserves"),
+        F.coalesce(parts_total("reserves"), zero).alias("claim_reserves"),
         "csm", "risk_adjustment")
 
 
 @shared("reserves_with_policy")
 def reserves_with_policy(t: Tables) -> DataFrame:
-    """Reserve snapshots with their claim's policy: exchanged by claim, once."""
-    return facts.reserve_snapshots(t).join(t.stg_claims().select("claim_id", "policy_id"), "claim_id")
+    """Reserve snapshots with their claim's policy: exchanged by claim, once. A partition's
+    claims, several times fewer than its snapshots, are hashed, so the snapshots are not sorted."""
+    claims = t.stg_claims().select("claim_id", "policy_id").hint("shuffle_hash")
+    return facts.reserve_snapshots(t).join(claims, "claim_id")
 
 
 def rpt_ifrs_balances(t: Tables) -> DataFrame:
@@ -122,14 +122,14 @@ def rpt_ifrs_balances(t: Tables) -> DataFrame:
               .groupBy("claim_id", "policy_id", "reserve_type", _month("snapshot_date").alias("reporting_period"))
               .agg(F.max_by("reserve_amount", "snapshot_date").alias("latest_reserve")))
     rs = (latest.groupBy("policy_id", "reporting_period")
-          .agg(F.sum("latest_reserve").cast(MONEY_SUM).alias("total_reserves")))
+          .agg(*sum_parts("latest_reserve", "reserves")))
     return _ifrs(t, rs)
 
 
 def rpt_ifrs_balances_literal(t: Tables) -> DataFrame:
     """As written: every daily reserve snapshot of the month is summed."""
     rs = (reserves_with_policy(t).groupBy("policy_id", _month("snapshot_date").alias("reporting_period"))
-          .agg(F.sum("reserve_amount").cast(MONEY_SUM).alias("total_reserves")))
+          .agg(*sum_parts("reserve_amount", "reserves")))
     return _ifrs(t, rs)
 
 

@@ -14,7 +14,7 @@ import functools
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.money import MONEY
+from ..functions.money import MONEY, parts_total, sum_parts
 from ..session import size_shuffles
 
 # Fixed values taken from the staging contracts.
@@ -290,30 +290,31 @@ class Tables:
 
     def stg_claim_payments(self) -> DataFrame:
         li = self.raw("lineitem").where((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F"))
-        v = li.withColumn("n", F.explode(F.array(F.lit(1), F.lit(2))))
+        v = li.select(line_id().alias("claim_id"), "l_extendedprice").withColumn("n", F.explode(F.array(F.lit(1), F.lit(2))))
         return v.select(
-            line_id().alias("claim_id"),
+            "claim_id",
             F.col("n").alias("payment_no"),
             (F.col("l_extendedprice").cast(MONEY) * F.col("n")).alias("payment_amount"),
         )
 
     def stg_claim_reserves(self) -> DataFrame:
         li = self.raw("lineitem").where(F.col("l_returnflag") == "R")
-        v = li.withColumn("n", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))))
+        v = li.select(line_id().alias("claim_id"), "l_quantity").withColumn("n", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))))
         return v.select(
-            line_id().alias("claim_id"),
+            "claim_id",
             F.col("n").alias("reserve_no"),
             (F.col("l_quantity") * 100 * F.col("n")).cast(MONEY).alias("reserve_amount"),
         )
 
     def stg_claim_reserves_snapshots(self) -> DataFrame:
         li = self.raw("lineitem").where(F.col("l_returnflag") == "R")
-        v = (li.withColumn("n", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
+        v = (li.select(line_id().alias("claim_id"), F.col("l_shipdate").cast("date").alias("d"), "l_quantity")
+             .withColumn("n", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
              .withColumn("rt", F.explode(F.array(F.lit("CASE"), F.lit("EXPENSE")))))
         mult = F.when(F.col("rt") == "CASE", 10).otherwise(1)
         return v.select(
-            line_id().alias("claim_id"),
-            F.date_add(F.col("l_shipdate").cast("date"), 20 * F.col("n")).alias("reserve_snapshot_date"),
+            "claim_id",
+            F.date_add("d", 20 * F.col("n")).alias("reserve_snapshot_date"),
             F.col("rt").alias("reserve_type"),
             (F.col("l_quantity") * (10 + F.col("n")) * mult).cast(MONEY).alias("reserve_amount"),
         )
@@ -322,7 +323,8 @@ class Tables:
         li = self.raw("lineitem")
         g = (li.groupBy(F.col("l_orderkey"),
                         F.trunc(F.col("l_shipdate").cast("date"), "month").alias("m"))
-             .agg(F.sum(F.col("l_extendedprice").cast(MONEY)).alias("s")))
+             .agg(*sum_parts(F.col("l_extendedprice").cast(MONEY), "s")))
+        g = g.withColumn("s", parts_total("s").cast("decimal(28,2)"))
         return g.select(
             F.col("l_orderkey").alias("policy_id"),
             F.col("m").alias("reporting_period"),
